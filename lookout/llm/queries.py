@@ -15,7 +15,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.mixing import mix_sources
+
+    return mix_sources(documents(spark, sf_dir))
+
+
+def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.sharding import kd_shards
+
+    return kd_shards(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sainte_lague_mix": op3_sainte_lague_mix,
+    "op7_kd_tree_sharding": op7_kd_tree_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
