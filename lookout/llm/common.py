@@ -172,3 +172,26 @@ def tokenizer_path(name: str) -> str:
         return public_tokenizers.path(name)
     except ImportError:
         return os.path.join(os.environ.get("LOOKOUT_TOKENIZERS", "/opt/tokenizers"), name)
+
+
+def bounded_sample(rows: DataFrame, group: str, most: int, columns: list[str], seed: int = 29) -> list:
+    """At most `most` rows of each group, those with the lowest seeded hash of doc_id, collected.
+
+    The groups are counted first, then only rows under a hash bound that lets about twice `most` through leave the executors;
+    so no group, however large, meets in one task.  For fitting models only.
+    """
+    counts = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return []
+    span = 1 << 31
+    bound = F.lit(0).cast("long")
+    for value, n in sorted(counts.items(), key=str):
+        bound = F.when(F.col(group).eqNullSafe(F.lit(value)), F.lit(min(span, int(span * (2 * most + 20) / n) + 1))).otherwise(bound)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(span))
+    found = rows.where(place < bound).select(*columns, place.alias("_place"), F.xxhash64(*columns).alias("_tie")).collect()
+    out, taken = [], {}
+    for r in sorted(found, key=lambda r: (r["_place"], r["_tie"])):
+        taken[r[group]] = taken.get(r[group], 0) + 1
+        if taken[r[group]] <= most:
+            out.append(r)
+    return out

@@ -21,6 +21,12 @@ def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op5_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.langid import identify
+
+    return identify(documents(spark, sf_dir))
+
+
 def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.sharding import kd_shards
 
@@ -29,6 +35,7 @@ def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sainte_lague_mix": op3_sainte_lague_mix,
+    "op5_compression_language": op5_compression_language,
     "op7_kd_tree_sharding": op7_kd_tree_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
