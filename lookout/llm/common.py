@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 #: The white space that separates words in all contracts: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
-M64 = (1 << 64) - 1
 
 
 def prepare(spark: SparkSession) -> None:
@@ -93,30 +92,6 @@ def offsets_within(df: DataFrame, groups: list[str], order: list[str], weight: s
     return joined.withColumn(out, (F.col("_start") + F.col("_within")).cast("long")).drop("_bucket", "_within", "_start", "_b", *[f"_g{i}" for i in range(len(groups))])
 
 
-class Hashes(dict):
-    """word -> 64-bit hash, remembered.  It is cleared when full, so a worker's memory stays bounded."""
-
-    def __init__(self, full: int = 400_000):
-        import xxhash
-
-        self.full, self.hash = full, xxhash.xxh64_intdigest
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.full:
-            self.clear()
-        h = self[word] = self.hash(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-@functools.cache
-def hashes() -> Hashes:
-    """One per worker process."""
-    return Hashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, on arrays of uint64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -195,3 +170,49 @@ def bounded_sample(rows: DataFrame, group: str, most: int, columns: list[str], s
         if taken[r[group]] <= most:
             out.append(r)
     return out
+
+
+class WordHasher:
+    """64-bit hashes of the words of a text, by array operations on its bytes.
+
+    codes: for each byte 0 where it separates words, else the byte it counts as.  A word's hash is a polynomial of random codes modulo
+    2**64 in an odd base, mixed; equal words have equal hashes, and that two words of one corpus share one is as unlikely as
+    for any 64-bit hash.
+    """
+
+    def __init__(self, codes: list[int], seed: int = 1):
+        rng = np.random.default_rng(seed)
+        self.table = np.array([int(x) | 1 for x in rng.integers(0, 1 << 63, 256, np.uint64)], np.uint64)[codes]
+        self.table[np.array(codes) == 0] = 0
+        self.base = int(rng.integers(0, 1 << 63, dtype=np.uint64)) | 1
+        self._powers(1 << 14)
+
+    def _powers(self, n: int) -> None:
+        def run(base: int) -> np.ndarray:
+            out = np.ones(1, np.uint64)
+            while len(out) < n:
+                out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+            return out
+
+        self.power, self.inverse = run(self.base), run(pow(self.base, -1, 1 << 64))
+
+    def __call__(self, data: bytes) -> np.ndarray:
+        """In order of the words, repeats included."""
+        a = self.table[np.frombuffer(b" " + data + b" ", np.uint8)]
+        n = len(a)
+        if n > len(self.power):
+            self._powers(n)
+        inside = a != 0
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+        sums = np.cumsum(a * self.inverse[:n])
+        found = mix((sums[ends - 1] - sums[starts - 1]) * self.power[ends])
+        if n > 1 << 20:
+            self._powers(1 << 14)  # a very long text must not keep its memory
+        return found
+
+
+#: A-Z counts as a-z; the white space of SPACES separates.
+PLAIN_CODES = [0 if chr(b) in SPACES else b + 32 if 65 <= b <= 90 else b for b in range(256)]
+#: Beyond that, all ASCII but letters and digits separates.
+TERM_CODES = [b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 0 for b in range(256)]

@@ -9,12 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from lookout.llm.common import documents
 
 
+def op8_attention_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.mil import score_quality
+
+    return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.packing import pack
 
     return pack(documents(spark, sf_dir))
 
 
+def op1_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.fingerprints import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.mixing import mix_sources
 
@@ -34,9 +46,11 @@ def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_imatch_fingerprints": op1_imatch_fingerprints,
     "op3_sainte_lague_mix": op3_sainte_lague_mix,
     "op5_compression_language": op5_compression_language,
     "op7_kd_tree_sharding": op7_kd_tree_sharding,
+    "op8_attention_mil_quality": op8_attention_mil_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
