@@ -27,6 +27,12 @@ def op1_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op2_rule_bitmask_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.quality_rules import judge
+
+    return judge(documents(spark, sf_dir))
+
+
 def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.mixing import mix_sources
 
@@ -47,6 +53,7 @@ def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch_fingerprints": op1_imatch_fingerprints,
+    "op2_rule_bitmask_ledger": op2_rule_bitmask_ledger,
     "op3_sainte_lague_mix": op3_sainte_lague_mix,
     "op5_compression_language": op5_compression_language,
     "op7_kd_tree_sharding": op7_kd_tree_sharding,
@@ -54,4 +61,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_rule_bitmask_ledger": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT k, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS v
+        FROM (SELECT k, words, unnest(range(1, len(words) - 1)) AS p FROM w)),
+twice AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY k, v) AS n FROM win) WHERE n > 1),
+covered AS (SELECT k, count(DISTINCT p + o) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS o) GROUP BY k),
+m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+             length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(lines) AS n_lines,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+             len(list_distinct(words)) AS n_distinct_words, length(regexp_replace(t, '\P{L}+', '', 'g')) AS n_letters,
+             length(regexp_replace(t, '\P{Lu}+', '', 'g')) AS n_upper
+      FROM w LEFT JOIN covered USING (k)),
+b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
+             + (CASE WHEN 100 * n_symbols > 40 * n_words THEN 4 ELSE 0 END)
+             + (CASE WHEN n_lines >= 5 AND 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END)
+             + (CASE WHEN 10 * word_chars < 20 * n_words THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
+             + (CASE WHEN n_letters >= 50 AND 100 * n_upper > 70 * n_letters THEN 64 ELSE 0 END)
+             + (CASE WHEN 10 * n_letters < 5 * word_chars THEN 128 ELSE 0 END)
+             + (CASE WHEN n_words >= 100 AND 100 * n_distinct_words < 8 * n_words THEN 256 ELSE 0 END) AS fail_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct_words, n_letters, n_upper,
+       CAST(fail_bits AS BIGINT) AS fail_bits, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept
+FROM b""",
+}
