@@ -15,6 +15,12 @@ def op8_attention_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.jaccard import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.packing import pack
 
@@ -45,6 +51,12 @@ def op5_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op6_count_only_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.token_count import count_tokens
+
+    return count_tokens(documents(spark, sf_dir))
+
+
 def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.sharding import kd_shards
 
@@ -56,8 +68,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_rule_bitmask_ledger": op2_rule_bitmask_ledger,
     "op3_sainte_lague_mix": op3_sainte_lague_mix,
     "op5_compression_language": op5_compression_language,
+    "op6_count_only_viterbi": op6_count_only_viterbi,
     "op7_kd_tree_sharding": op7_kd_tree_sharding,
     "op8_attention_mil_quality": op8_attention_mil_quality,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
