@@ -45,6 +45,12 @@ def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op4_site_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.html import main_text
+
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.langid import identify
 
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch_fingerprints": op1_imatch_fingerprints,
     "op2_rule_bitmask_ledger": op2_rule_bitmask_ledger,
     "op3_sainte_lague_mix": op3_sainte_lague_mix,
+    "op4_site_template_removal": op4_site_template_removal,
     "op5_compression_language": op5_compression_language,
     "op6_count_only_viterbi": op6_count_only_viterbi,
     "op7_kd_tree_sharding": op7_kd_tree_sharding,
