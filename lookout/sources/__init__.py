@@ -1 +1,111 @@
-"""TODO"""
+"""What is read and written: registries, sequence folders, label files, CSV and JSON tables, Parquet."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+REGISTRY = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "folder", "camera", "split")])
+PAIRS = "site string, azimuth_a int, azimuth_b int, n_kp_a int, n_kp_b int, n_good int, n_inliers int, dcx double, h_scale double, s_area double, d_area double"
+REPRESENTATIVES = "site string, azimuth int, folder string, image string, latest_timestamp string, n_sequences long"
+REMAP = "site string, cluster_id string, discard_azimuth int, keep_azimuth int, n_sequences long, n_train long, n_val long, n_test long, votes_keep long, votes_discard long, cluster_size long, cluster_members string, evidence_pairs string"
+DECISION = "struct<status:string,kept_azimuth:int,discarded_azimuth:int,n_inliers:int,decided_at:string>"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """By the file system of the path, whatever it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def registry(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """The sequences of a registry file; without the file or its key none, unless strict."""
+    if not exists(spark, path):
+        if strict:
+            raise FileNotFoundError(path)
+        return spark.createDataFrame([], REGISTRY)
+    schema = T.StructType([T.StructField("sequences", T.ArrayType(REGISTRY))])
+    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST" if strict else "PERMISSIVE").select(F.inline(F.coalesce("sequences", F.array().cast(T.ArrayType(REGISTRY)))))
+
+
+def save_registry(rows: DataFrame, path: str) -> None:
+    """As one JSON file a partition of rows; the whole is a table, so registries of any size can be written."""
+    rows.select("id", "folder", "camera", "split").write.mode("overwrite").json(path)
+
+
+def files(spark: SparkSession, root: str, extensions: tuple[str, ...] = ("jpg", "jpeg", "png")) -> DataFrame:
+    """folder, kind (images, labels, ...), stem, name, ext and bytes of all files <root>/<folder>/<kind>/<name>, not those under a name that begins with a dot.  Contents aren't read."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
+    part = F.split("path", "/")
+    rows = f.select(F.element_at(part, -3).alias("folder"), F.element_at(part, -2).alias("kind"), F.element_at(part, -1).alias("name"), F.col("length").alias("bytes"))
+    rows = rows.withColumns({"stem": F.regexp_replace("name", r"\.[^.]*$", ""), "ext": F.lower(F.regexp_extract("name", r"\.([^.]*)$", 1))})
+    return rows.where(~F.col("folder").startswith(".") & ~F.col("name").startswith(".") & ((F.col("kind") != "images") | F.col("ext").isin(*extensions)))
+
+
+def label_lines(spark: SparkSession, root: str) -> DataFrame:
+    """folder, stem and text of all label files <root>/<folder>/labels/<stem>.txt."""
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(root, wholetext=True).select("value", F.input_file_name().alias("path"))
+    part = F.split("path", "/")
+    return rows.select(F.element_at(part, -3).alias("folder"), F.regexp_replace(F.element_at(part, -1), r"\.txt$", "").alias("stem"), F.col("value").alias("text"))
+
+
+def table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV file with a header; empty fields are null."""
+    return spark.read.schema(schema).csv(path, header=True, nullValue="", emptyValue="")
+
+
+def tables(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV files with a header as one table, all columns text, by name; empty files don't count."""
+    found = [spark.read.csv(p, header=True) for p in paths]
+    found = [f for f in found if f.columns]
+    if not found:
+        raise ValueError("no CSV file with rows")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def decisions(spark: SparkSession, path: str) -> DataFrame:
+    """pair_id, site, azimuth_a, azimuth_b, status, kept_azimuth, n_inliers, decided_at of a decision log; none without the file."""
+    schema = f"pair_id string, site string, azimuth_a int, azimuth_b int, {DECISION[7:-1].replace(':', ' ')}"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string,{DECISION}>")).alias("pair_id", "d"))
+    part = F.split("pair_id", r"\|")
+    return rows.select("pair_id", part[0].alias("site"), part[1].cast("int").alias("azimuth_a"), part[2].cast("int").alias("azimuth_b"), "d.*")
+
+
+def embeddings(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    rows = spark.read.parquet(path)
+    return rows if split is None else rows.where(F.col("split") == split)
+
+
+def platform_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines that a download job has put down, one object each: cameras, organizations, sequences or detections."""
+    return spark.read.schema(schema).json(path)
+
+
+def save_dataset(rows: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """A data set as a table in a folder for each split (and category); it replaces what was there."""
+    rows.write.mode("overwrite").partitionBy(*(by or ["split"])).parquet(path)
+
+
+def append_table(rows: DataFrame, path: str) -> None:
+    """Adds rows to a Parquet table, whole rows once: what it has already is left out, so a repeated run adds nothing."""
+    spark = rows.sparkSession
+    new = rows.distinct()
+    if exists(spark, path):
+        old = spark.read.parquet(path)
+        new = new.join(old, on=[F.equal_null(new[c], old[c]) for c in rows.columns], how="left_anti")
+    new.write.mode("append").parquet(path)
+
+
+def save_csv(rows: DataFrame, path: str, order: list | None = None) -> None:
+    (rows.orderBy(*order) if order else rows).write.mode("overwrite").csv(path, header=True)
+
+
+def dataset_yaml(names: list[str], splits: tuple[str, ...] = ("train", "val", "test")) -> str:
+    """The text that describes a data set to a trainer."""
+    return "".join(f"{s}: ./images/{s}\n" for s in splits) + f"nc: {len(names)}\nnames: [{', '.join(names)}]\n"

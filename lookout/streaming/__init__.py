@@ -1 +1,18 @@
-"""TODO"""
+"""An extension: the ingest of platform records as a stream of files that are added once each."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from lookout.sources import append_table
+
+
+def ingest(spark: SparkSession, landing: str, schema: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Appends the JSON files of a landing folder to a table without repeating rows; runs until all that has arrived is in."""
+    rows = spark.readStream.schema(schema).json(landing)
+
+    def add(batch: DataFrame, _: int) -> None:
+        append_table(batch, table)
+
+    return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
