@@ -1,0 +1,367 @@
+"""Each operator over the awkward table and an empty one, against brute force where there is one."""
+
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from lookout.llm import fingerprints, jaccard, langid, mil, mixing, packing, quality_rules, sharding, token_count
+from lookout.llm.common import tokenizer_path
+
+from .helpers import SCHEMA, WORD, prose, rows, table
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark).cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(r[0], i % 2) for i, r in enumerate(rows())] + [(None, 1), (99999, 0), (5, None)], "doc_id long, quality int")
+
+
+def test_empty_tables(spark, labels):
+    none = spark.createDataFrame([], SCHEMA)
+    for f in (fingerprints.fingerprints, quality_rules.judge, mixing.mix_sources, mixing.mixed_documents, langid.identify, langid.keep_identified, token_count.count_tokens, sharding.kd_shards, jaccard.jaccard_components, jaccard.keep_one, packing.pack):
+        assert f(none).count() == 0, f
+    assert mil.score_quality(none, labels.limit(0)).count() == 0
+
+
+def test_fingerprints(docs):
+    data = sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0, fingerprints.text_tie(r[1] or "")), reverse=True)
+    want = collections.Counter()
+    for i, r in enumerate(data):
+        text, after = r[1] or "", data[(i + 1) % len(data)][1] or ""
+        cut = len(text) // 3
+        want[r[0], len(text), hashlib.sha256((text[: len(text) - cut] + after[:cut] if cut else text).encode()).hexdigest()] += 1
+    got = fingerprints.fingerprints(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+    of = {}
+    texts = {r[0]: r[1] for r in rows()}
+    for r in got:
+        assert of.setdefault(texts[r.doc_id] or "", r.fingerprint) == r.fingerprint
+        assert 0 <= r.near_edited <= 1
+        assert 0 <= r.near_next <= 1
+    assert of[""] == ""
+
+
+def test_likeness_tells_edits_from_others():
+    rng = random.Random(3)
+    lexicon = fingerprints.Lexicon(np.ones(1 << 10, np.uint32), 100, 0.0, 1.0)
+    long = lambda: " ".join(f"w{rng.randint(0, 100_000)}" for _ in range(300))
+    for _ in range(20):
+        a, b = long(), long()
+        mark = fingerprints.fingerprint(a, lexicon)
+        edited = fingerprints.fingerprint(a[: 2 * len(a) // 3] + b[: len(a) // 3], lexicon)
+        assert fingerprints.likeness(mark, edited) > 0.1 + fingerprints.likeness(mark, fingerprints.fingerprint(b, lexicon))
+        assert fingerprints.likeness(mark, mark) == 1
+
+
+def measures(text):
+    w = WORD.findall(text)
+    n = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+    covered = {j for i in range(len(w) - 2) if n[w[i], w[i + 1], w[i + 2]] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum(c in quality_rules.SYMBOLS for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_rules(spark):
+    extra = ["a b c a b c", "a b c d a b c", "x " * 500, "a b\na b\na b", "#*$ &|<> %%", "one\x0btwo\x0cthree", "ä ö ü", "a b c " * 7000, "\n\n\n", "AB CD " * 60]
+    data = rows() + [(1000 + i, t, "en", "s", len(t)) for i, t in enumerate(extra)]
+    got = quality_rules.judge(table(spark, data)).collect()
+    want = collections.Counter((r[0], *measures(r[1] or "")) for r in data)
+    assert collections.Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.kept and r.base_failed)
+
+
+def test_ablations(docs):
+    rows_ = quality_rules.judge(docs).cache()
+    bits = [r.fail_bits for r in rows_.collect()]
+    for r in quality_rules.ablations(rows_).collect():
+        mask, bit = quality_rules.POLICIES[r.policy, r.version], quality_rules.BIT[r.rule]
+        assert r.kept == sum(not b & mask for b in bits)
+        assert r.failed == sum(bool(b & bit) for b in bits)
+        assert r.failed_alone == sum(b & mask == bit for b in bits)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_sainte_lague(seed):
+    rng = random.Random(seed)
+    votes = [rng.choice([0, rng.random(), rng.randint(1, 50)]) for _ in range(rng.randint(1, 12))]
+    seats, most = rng.randint(0, 200), [rng.randint(0, 60) for _ in votes]
+    won = [0] * len(votes)
+    for _ in range(min(seats, sum(m for m, v in zip(most, votes, strict=True) if v > 0))):
+        i = max((i for i, v in enumerate(votes) if v > 0 and won[i] < most[i]), key=lambda i: (votes[i] / (2 * won[i] + 1), -i))
+        won[i] += 1
+    assert mixing.sainte_lague(votes, seats, most) == won
+
+
+def test_mix(docs):
+    got = mixing.mix_sources(docs).collect()
+    data = rows()
+    assert len(got) == len(data)
+    sizes = collections.Counter()
+    for r in data:
+        sizes[r[3]] += len(WORD.findall(r[1] or ""))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    wanted = dict(zip(names, mixing.targets([sizes[s] for s in names]), strict=True))
+    assert sum(wanted.values()) == pytest.approx(1.5 * sum(sizes.values()))
+    taken = collections.Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(wanted[r.source])
+        assert 0 <= r.taken <= 2 * r["size"]
+        taken[r.source] += r.taken
+    for s in names:
+        assert abs(taken[s] - wanted[s]) <= max(4, 0.03 * wanted[s]), s
+    again = mixing.mix_sources(docs.repartition(5)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
+def test_mixed_documents(docs):
+    taken = {}
+    for r in mixing.mix_sources(docs).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    words, texts = collections.Counter(), {r[0]: WORD.findall(r[1] or "") for r in rows()}
+    for r in out.collect():
+        found = WORD.findall(r.text)
+        words[r.doc_id] += len(found)
+        assert r.n_chars == len(r.text)
+        left = iter(texts[r.doc_id])
+        assert all(w in left for w in found)  # in order
+    assert {k: v for k, v in taken.items() if v} == dict(words)
+
+
+def test_language(docs):
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+    data = {r[0]: r for r in rows()}
+    for i, r in got.items():
+        text = data[i][1] or ""
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text))
+        assert 0 <= r.score <= 1
+        assert r.held_out == (i is not None and zlib.crc32(str(i).encode()) % 4 == 2)
+    sure = [i for i, r in got.items() if data[i][2] and len(data[i][1] or "") > 200]
+    assert sum(got[i].lang_pred == data[i][2] for i in sure) >= 0.95 * len(sure)
+    kept = langid.keep_identified(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.rejected}
+
+
+def test_language_learns_nothing_from_held_out(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2][:20]
+    rng = random.Random(1)
+    assert langid.dictionaries(table(spark, [(i, prose(rng, 50), "en", "s", 1) for i in ids])) == {}
+
+
+def test_viterbi_counts(docs):
+    from tokenizers import Tokenizer, models
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    pieces = token_count.vocabulary(path)
+    low = min(pieces.values())
+    oracle = Tokenizer(models.Unigram([("<unk>", low), *pieces.items(), *((f"<0x{i:02X}>", low) for i in range(256))], unk_id=0, byte_fallback=True))
+    count = token_count.counter(path).count
+    rng = random.Random(2)
+    texts = [r[1] for r in rows() if r[1]][:40] + ["a  b", "   x", " ", "a\n\nb", "日本語 \U0001f600\U0001f601", "\t\tq", "▁ a▁", "aaaa" * 300]
+    texts += ["".join(rng.choice(" \nabetheo▁éß") for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    for t in texts:
+        assert count(t)[1] == len(oracle.encode(("▁" + t.replace(" ", "▁")), add_special_tokens=False).ids), t
+    got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(docs).collect()}
+    assert all(got[r[0]] == count(r[1] or "")[1] for r in rows())
+    assert count("")[1] == 0
+
+
+def test_shards(docs):
+    got = sharding.kd_shards(docs, shards=5).collect()
+    data = rows()
+    assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == collections.Counter((r[0], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in data)
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.shard].append(r)
+    assert set(by) <= set(range(5))
+    for own in by.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+
+
+def test_shards_are_even(spark):
+    rng = random.Random(7)
+    data = [(i, prose(rng, rng.randint(5, 60)), "en", "s", 0) for i in range(900)] + [(1000 + i, "the same text again", "en", "s", 0) for i in range(500)]
+    sizes, shards_of = collections.Counter(), collections.defaultdict(set)
+    for r in sharding.kd_shards(table(spark, data), shards=7).collect():
+        sizes[r.shard] += r["size"]
+        shards_of[r.text_crc32].add(r.shard)
+    mean = sum(sizes.values()) / 7
+    assert len(sizes) == 7
+    assert max(sizes.values()) < 1.1 * mean
+    assert min(sizes.values()) > 0.9 * mean
+    assert sum(len(s) > 1 for s in shards_of.values()) <= 3
+
+
+def test_quality_model(spark, docs, labels):
+    rng = random.Random(8)
+    clean = [(i, prose(rng, rng.randint(40, 300)), None, None, 0) for i in range(0, 300)]
+    junk = [(i, prose(rng, 100) + " " + " ".join(w + rng.choice(["###", "$$$", "&&&"]) for w in prose(rng, rng.randint(60, 200)).split()), None, None, 0) for i in range(300, 500)]
+    d = table(spark, clean + junk)
+    marks = spark.createDataFrame([(r[0], int(r[0] < 300)) for r in clean + junk], "doc_id long, quality int")
+    got = mil.score_quality(d, marks).collect()
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in range(500) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert all(r.predicted == int(r.doc_id < 300) for r in held)
+    assert all(r.predicted == int(r.score >= 0.3) for r in got)
+    assert {r.doc_id for r in mil.keep_quality(d, marks).collect()} == {r.doc_id for r in got if r.predicted}
+    odd = mil.score_quality(docs, labels).collect()
+    assert len(odd) == len(rows())
+    assert all(0 <= r.score <= 1 for r in odd)
+
+
+def test_mil_gradient():
+    rng = np.random.default_rng(1)
+    bags = [rng.normal(size=(n, mil.FEATURES)).astype(np.float32) for n in (1, 3, 5)]
+    m = mil.Model.fit(bags, [0, 1, 1])
+    x, lengths, y = np.concatenate(bags), np.array([1, 3, 5]), np.array([0.0, 1.0, 1.0])
+    starts, bag = np.cumsum(lengths) - lengths, np.repeat(np.arange(3), lengths)
+
+    def loss():
+        p = m._forward(x, starts, bag)[-1]
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+
+    m.w = {k: v * 0.1 if k not in ("mean", "scale") else v for k, v in m.w.items()}
+    gradient = m._gradient(x, lengths, y)
+    for k in ("W", "b", "V", "U", "g", "c", "d"):
+        at = (0,) * m.w[k].ndim
+        m.w[k][at] += 1e-5
+        up = loss()
+        m.w[k][at] -= 2e-5
+        assert (up - loss()) / 2e-5 == pytest.approx(gradient[k][at], abs=1e-4), k
+        m.w[k][at] += 1e-5
+
+
+def brute_components(data, words=3, percent=90):
+    sets = {}
+    for i, r in enumerate(data):
+        w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in WORD.findall(r[1] or "")]
+        sets[i] = {tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))} if w else set()
+    parent = list(range(len(data)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sets:
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                parent[root(i)] = root(j)
+    low = {}
+    for i, r in enumerate(data):
+        if r[0] is not None:
+            low[root(i)] = min(r[0], low.get(root(i), r[0]))
+    return collections.Counter((r[0], len(sets[i]), low.get(root(i))) for i, r in enumerate(data))
+
+
+def near_copies():
+    rng = random.Random(9)
+    out, i = [], 0
+    for _ in range(6):
+        words = prose(rng, rng.randint(30, 150)).split()
+        for _ in range(12):
+            new = list(words)
+            for _ in range(rng.randint(0, 4)):
+                new[rng.randrange(len(new))] = f"n{rng.randint(0, 999)}"
+            out.append((i, " ".join(new).upper() if i % 5 == 0 else "  ".join(new), "en", "s", 0))
+            i += 1
+    return out
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_jaccard(spark, words, percent):
+    data = rows() + [(2000 + r[0], *r[1:]) for r in near_copies()]
+    got = jaccard.jaccard_components(table(spark, data), words, percent).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(data, words, percent)
+
+
+def test_jaccard_in_blocks(spark, monkeypatch):
+    """Large groups are compared block by block: the links are the same."""
+    monkeypatch.setattr(jaccard, "SPLIT", 3)
+    data = near_copies()
+    got = jaccard.jaccard_components(table(spark, data)).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(data)
+
+
+def test_keep_one(spark):
+    data = rows()
+    kept = jaccard.keep_one(table(spark, data))
+    want = collections.Counter()
+    for (i, n, c), k in brute_components(data).items():
+        if n == 0:
+            want[i] += k
+        elif i == c:
+            want[i] += 1
+    assert collections.Counter(r.doc_id for r in kept.collect()) == want
+    assert kept.columns == table(spark, data).columns
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_fit_plan(seed):
+    import bisect
+
+    rng = random.Random(seed)
+    capacity = rng.choice([10, 17, 64])
+    items = [rng.randint(1, capacity) for _ in range(rng.randint(0, 150))]
+    left = []
+    for s in sorted(items, reverse=True):
+        i = bisect.bisect_left(left, s)
+        bisect.insort(left, (left.pop(i) if i < len(left) else capacity) - s)
+    bins = collections.defaultdict(list)
+    for size, first, end, at, per, offset in packing.plan_runs(collections.Counter(items), capacity):
+        for r in range(end - first):
+            bins[at + r // per].append((offset + r % per * size, size))
+    for own in bins.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(s for _, s in own[:i]) for i in range(len(own))]
+    assert sorted(capacity - sum(s for _, s in own) for own in bins.values()) == left
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    want = collections.Counter()
+    for r in rows():
+        ids = [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0]
+        first = (len(ids) - 1) % 2048 + 1
+        for k, at in enumerate([0, *range(first, len(ids), 2048)]):
+            piece = ids[at : first if k == 0 else at + 2048]
+            want[r[0], k, at, len(piece), zlib.crc32(np.array(piece, "<u4").tobytes())] += 1
+    got = packing.pack(docs).collect()
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for own in by.values():
+        own.sort()
+        at = 0
+        for o, n in own:
+            assert o == at
+            at += n
+        assert at <= 2048
+
+
+def test_ids_of_odd_texts():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rng = random.Random(4)
+    texts = ["  a  b \n c\n\n  d \x1c e  f 　g <|endoftext|> x<|endoftext|>y", "", " ", " a", "a ", "\n \n x", "a\x1c b", "don't we'll", "日本 語"]
+    texts += ["".join(rng.choice(" \n\tab'sé1#! 　") for _ in range(rng.randint(1, 40))) for _ in range(500)]
+    for text, found in zip(texts, packing.token_bytes(texts, path), strict=True):
+        assert found == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
