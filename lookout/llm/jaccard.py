@@ -31,8 +31,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from lookout.llm.common import PLAIN_CODES, WordHasher, materialise, mix, prepare, shared_sketch, texts
 
 SKETCH_BITS, SPLIT = 22, 8000
-#: Extra prefix shingles for each doubling of a node's estimated candidates beyond CHEAP of them.
-STEP, CHEAP = 4, 8
+#: Extra prefix shingles of every node, and for each doubling of its estimated candidates beyond CHEAP of them.
+EXTRA, STEP, CHEAP = 16, 4, 8
 
 
 @functools.cache
@@ -77,20 +77,20 @@ class Order:
         self.chance = max(1.0, float(sketch.sum(dtype=np.float64)) / len(sketch))
         self.shift = np.uint64(64 - (len(sketch).bit_length() - 1))
 
-    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, int, int]:
-        """The longer prefix in order, the length of the plain one, and l."""
+    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, int, bool]:
+        """The longer prefix in order, the length of the plain one, and whether many candidates are estimated."""
         n = len(s)
         count = self.sketch[(s >> self.shift).astype(np.int64)].astype(float)
         level = np.where(count <= max(2 * self.chance, 4), 0, 1 + np.log2(np.maximum(count, 1) / (2 * self.chance)).clip(0).astype(np.int64))
         plain = n - -(-self.percent * n // 100) + 1
         order = np.lexsort((s, level))
         cost = float(np.maximum(count[order[:plain]] - 2 * self.chance, 0).sum())
-        extra = min(n - plain, STEP * int(np.ceil(np.log2(cost / CHEAP)))) if cost > CHEAP else 0
-        return s[order[: plain + extra]], plain, 1 + extra
+        extra = EXTRA + (STEP * int(np.ceil(np.log2(cost / CHEAP))) if cost > CHEAP else 0)
+        return s[order[: plain + min(n - plain, extra)]], plain, cost > CHEAP
 
 
 def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """A row for each document: doc_id, n, key (null: an empty set), plain, prefix, mark (16 bits of each of the longer prefix)."""
+    """A row for each document: doc_id, n, key (null: an empty set), prefix, mark (16 bits of each of the longer prefix), costly."""
 
     def keys(batch) -> np.ndarray:
         found = [shingles(t, words) for t in texts(batch)]
@@ -105,14 +105,14 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
                 s = shingles(text, words)
                 if not len(s):
-                    out.append((doc_id, 0, None, [], None))
+                    out.append((doc_id, 0, None, [], None, False))
                     continue
-                longer, plain, more = order.prefix(s)
-                out.append((doc_id, len(s), set_key(s), longer[:plain].view(np.int64), (longer & np.uint64(0xFFFF)).astype("<u2").tobytes() if more > 1 else None))
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()), strict=True)], ["doc_id", "n", "key", "prefix", "mark"])
+                longer, plain, costly = order.prefix(s)
+                out.append((doc_id, len(s), set_key(s), longer[:plain].view(np.int64), (longer & np.uint64(0xFFFF)).astype("<u2").tobytes(), costly))
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.bool_()), strict=True)], ["doc_id", "n", "key", "prefix", "mark", "costly"])
 
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, mark binary"), "shingle-sets")
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, mark binary, costly boolean"), "shingle-sets")
 
 
 def _met(postings: DataFrame, percent: int, partitions: int) -> DataFrame:
@@ -151,25 +151,41 @@ def _met(postings: DataFrame, percent: int, partitions: int) -> DataFrame:
     return ordered.mapInArrow(run, "shingle long, key binary, n long, pos int, pivot binary, near boolean")
 
 
-def shares_enough(a: bytes | None, n: int, b: bytes | None, m: int, percent: int) -> bool:
+def unmark(mark: bytes | None) -> list[int] | None:
+    return None if mark is None else np.frombuffer(mark, "<u2").tolist()
+
+
+def shares_enough(a: list[int] | None, n: int, b: list[int] | None, m: int, percent: int) -> bool:
     """Whether the longer prefixes share l shingles, with the greatest l that both allow (16 bits of each are compared, so never too few)."""
     if a is None or b is None:
         return True
-    o = int(overlap(n, m, percent))
+    o = -(-percent * (n + m) // (100 + percent))
     if o > min(n, m):
         return False
-    more = min(len(a) // 2 - (n - o), len(b) // 2 - (m - o))
+    more = min(len(a) - (n - o), len(b) - (m - o))
     if more <= 1:
         return True
-    x, y = np.frombuffer(a, "<u2")[: n - o + more], np.frombuffer(b, "<u2")[: m - o + more]
-    return int(np.isin(x, y).sum()) >= more
+    other = set(b[: m - o + more])
+    return sum(map(other.__contains__, a[: n - o + more])) >= more
+
+
+def _filtered(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of keys whose longer prefixes share enough."""
+    one, other = (marks.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("mark").alias(f"m{x}")) for x in "ab")
+
+    def run(batches):
+        for batch in batches:
+            na, ma, nb, mb = (c.to_pylist() for c in batch.columns[2:])
+            keep = pa.array([shares_enough(unmark(x), n, unmark(y), m, percent) for n, x, m, y in zip(na, ma, nb, mb, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], ["a", "b"])
+
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "na", "ma", "nb", "mb").mapInArrow(run, "a binary, b binary")
 
 
 def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
     """met(shingle, part, block, key, n, pos, mark, comp), by group and part: pairs of different components that may link."""
 
     def pairs(rows: list[tuple]) -> tuple[list, list]:
-        rows = [r for r in rows if r is not None]
         n, pos = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
         comp = np.unique([r[7].hex() for r in rows], return_inverse=True)[1]
         block = np.array([r[2] for r in rows])
@@ -177,6 +193,7 @@ def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
         if comp.max(initial=0) == 0:
             return left, right
         two_blocks = len(set(block.tolist())) > 1
+        marks = [unmark(r[6]) for r in rows]
         for i in range(len(rows) - 1):
             js = np.arange(i + 1, len(rows))
             o = overlap(n[i], n[js], percent)
@@ -184,7 +201,7 @@ def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
             if two_blocks:
                 ok &= block[js] != block[i]
             for j in js[ok].tolist():
-                if shares_enough(rows[i][6], int(n[i]), rows[j][6], int(n[j]), percent):
+                if shares_enough(marks[i], rows[i][4], marks[j], rows[j][4], percent):
                     a, b = sorted((rows[i][3], rows[j][3]))
                     left.append(a), right.append(b)
         return left, right
@@ -278,32 +295,25 @@ def set_components(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[
     prepare(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = _nodes(docs, words, percent)
-    nodes = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("mark").alias("mark"))
+    nodes = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     postings = nodes.select("key", "n", F.posexplode("prefix").alias("pos", "shingle"))
     met = materialise(_met(postings, percent, partitions), "met")
-    marks = materialise(sets.where(F.col("mark").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("mark").alias("mark")), "marks")
+    marks = materialise(sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("costly").alias("costly")), "marks")
 
     # each with its group's pivot
     pivots = met.where("near").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    one, other = marks.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma")), marks.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
-
-    def enough(batches):
-        for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for keep in [[shares_enough(x, n, y, m, percent) for n, x, m, y in rows]] for c in batch.columns[:2]], ["a", "b"])
-
-    tried = materialise(pivots.join(one, "a", "left").join(other, "b", "left").select("a", "b", "na", "ma", "nb", "mb").mapInArrow(enough, "a binary, b binary"), "pivot-pairs")
+    tried = materialise(_filtered(pivots, marks, percent), "pivot-pairs")
     first = materialise(_verify(tried, docs, words, percent), "links")
     comps = components(first)
 
     # pairs of different components
-    about = marks.select("key", "mark").join(comps, "key", "full")
+    about = marks.where("costly").select("key", "mark").join(comps, "key", "full")  # in a group only costly nodes bring their marks
     big = met.groupBy("shingle").agg(F.count("*").alias("size")).where(F.col("size") > SPLIT).withColumn("blocks", F.ceil(F.col("size") / SPLIT).cast("int"))
     rows = met.select("shingle", "key", "n", "pos").join(big.select("shingle", "blocks"), "shingle", "left").join(about, "key", "left")
     rows = rows.withColumn("comp", F.coalesce("comp", "key")).withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(j, F.col("block")) * F.col("blocks") + F.greatest(j, F.col("block")))
     cross = _cross_pairs(rows.withColumn("part", F.explode(parts)), percent, partitions)
-    cross = materialise(cross.join(tried, ["a", "b"], "left_anti"), "cross-pairs")
+    cross = materialise(_filtered(cross, marks, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
     second = materialise(_verify(cross, docs, words, percent), "links")
     return sets.select("doc_id", "n", "key"), components(first.union(second))
 
