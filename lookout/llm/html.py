@@ -3,6 +3,8 @@
 Every page is parsed to elements; an element's subtree is hashed, and Spark counts on how many pages of its host each subtree recurs.  Subtrees
 that recur across many pages of a host are its template and are deleted.  What tags and class names tell by themselves
 (menus, footers, forms, scripts, adverts, comments and the like) goes too; where a page marks an article or main part, the text is taken from there.
+No name and no form takes what holds the article, or most of a page without one; a name that only has such a word in it
+(`has-sidebar`) takes nothing by itself, but lets a subtree in an article count as a template at the lower share.
 
 An article that many pages copy is no template: pages with the same main part count once.  Within an article a subtree must
 recur on most pages of the host, elsewhere on a fair share of them.
@@ -10,6 +12,7 @@ recur on most pages of the host, elsewhere on a fair share of them.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from urllib.parse import urlsplit
@@ -30,9 +33,16 @@ MOST_SENT = 200_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|select|textarea|title|audio|video"
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("head nav footer aside form button dialog menu label fieldset header".split())
+#: Dropped whatever their names; a form counts as a name, as pages can stand in one.
+DROPPED = frozenset("head nav footer aside button dialog menu label fieldset header".split())
 #: Words of class, id or role that mark what isn't main text.
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus replies respond share sharing social related recommended login signup search skip complementary contentinfo dialog".split())
+#: A name made of a word of MARKS and these, as ad-box, counts as one of MARKS; with any other word, as has-sidebar, it is doubtful.
+PLAIN = frozenset("box block unit slot widget list area form section buttons links posts items bar".split())
+#: Never dropped by name.
+PAGE = frozenset("html body main article".split())
+#: What a wrapper of a whole page has in it.
+PAGE_PARTS = frozenset("h1 nav header footer main article".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the first closes open elements of the second, up to the third.
 CLOSES = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
@@ -41,6 +51,7 @@ CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSE
 _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+DOUBTFUL, SURE = 1, 2
 
 
 def host_of(url: str | None) -> str:
@@ -50,11 +61,23 @@ def host_of(url: str | None) -> str:
         return ""
 
 
+@functools.lru_cache(10_000)
+def mark_of(name: str) -> int:
+    """What a whole class, id or role tells: SURE, DOUBTFUL or nothing."""
+    parts = _PART.findall(name)
+    if MARKS.isdisjoint(parts):
+        return 0
+    return SURE if all(p in MARKS or p in PLAIN for p in parts) else DOUBTFUL
+
+
 class Element:
-    __slots__ = ("tag", "start", "end", "dropped", "main", "heading", "parent", "text")
+    __slots__ = ("tag", "start", "end", "parent", "mark", "article", "dropped", "main", "heading", "text", "held", "size", "whole", "tagged", "nested", "parts", "block")
 
-    def __init__(self, tag, start, parent, dropped, main, heading):
-        self.tag, self.start, self.end, self.parent, self.dropped, self.main, self.heading, self.text = tag, start, -1, parent, dropped, main, heading, False
+    def __init__(self, tag, start, parent, mark, article):
+        """mark: what its names tell; article: whether it is one, or a main part."""
+        self.tag, self.start, self.end, self.parent, self.mark, self.article = tag, start, -1, parent, mark, article
+        self.dropped = self.main = self.heading = self.text = self.held = self.tagged = self.parts = self.block = False
+        self.size = self.whole = self.nested = 0
 
     def hash(self, page: str) -> int:
         return xxhash.xxh64_intdigest(" ".join(page[self.start : self.end].split()).encode()) >> 1
@@ -62,7 +85,7 @@ class Element:
 
 def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
     """The elements, and the texts in order: each with the element that holds it, and whether a block boundary comes before it."""
-    root = Element("", 0, None, False, False, False)
+    root = Element("", 0, None, 0, False)
     elements, pieces, stack, at, boundary = [], [], [root], 0, True
 
     def close(depth: int, end: int) -> bool:
@@ -115,26 +138,67 @@ def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
                     break
                 if stack[depth].tag in BLOCK:
                     break
-        up = stack[-1]
-        names = {w for a, b, c in _NAMES.findall(m[4]) for w in _PART.findall((a or b or c).lower())} if m[4] and "=" in m[4] else ()
-        dropped = up.dropped or (tag in DROPPED and not (tag == "header" and up.main)) or not MARKS.isdisjoint(names)
-        e = Element(tag, m.start(), up, dropped, up.main or (not dropped and (tag in ("article", "main") or "main" in names and "role" in m[4].lower())), tag in HEADINGS or up.heading)
-        if tag == "header" and not dropped:
-            e.dropped, e.heading = False, False
+        names = {w for a, b, c in _NAMES.findall(m[4]) for w in (a or b or c).lower().split()} if m[4] and "=" in m[4] else ()
+        mark = max(map(mark_of, names), default=0)
+        article = tag in ("article", "main") or "main" in names and "role" in m[4].lower()
+        e = Element(tag, m.start(), stack[-1], SURE if tag == "form" else 0 if tag in PAGE or article else mark, article)
         elements.append(e)
         if not m[4].endswith("/") or tag not in ("path",):
             stack.append(e)
     text(len(page))
     close(0, len(page))
+    settle(root, elements, pieces)
     return elements, pieces
 
 
+def settle(root: Element, elements: list[Element], pieces: list[tuple[str, Element, bool]]) -> None:
+    """Finds the page's article, then what is dropped by tag or name and what is main; elements come after those that hold them.
+
+    The article is the article or main part with the most text outside of others in it.  What holds it is kept, and so are a marked
+    element and a form that hold all the text of the article, or of a page without one, or most of it with parts of a page.
+    """
+    within = {root: False}
+    for e in elements:
+        within[e] = within[e.parent] or e.article
+        e.tagged = e.parent.tagged or (e.tag in DROPPED and not (e.tag == "header" and within[e.parent]))
+    for t, e, _ in pieces:
+        n = len(t.strip())
+        e.whole += n
+        if not e.tagged:
+            e.size += n
+    for e in reversed(elements):
+        up = e.parent
+        up.whole += e.whole
+        up.size += e.size
+        up.nested += e.size if e.article else e.nested
+        up.parts |= e.parts or e.tag in PAGE_PARTS
+        up.block |= e.text and (e.block or e.tag in BLOCK)
+    found = [e for e in elements if e.article]
+    own = max((e for e in found if e.size > e.nested), key=lambda e: e.size - e.nested, default=None) or max((e for e in found if 2 * e.whole > root.whole), key=lambda e: e.whole, default=None)
+    e = own
+    while e is not None:
+        e.held, e = True, e.parent
+    base = own or root
+    size = (lambda e: e.size) if base.size else (lambda e: e.whole)
+    inside = {base}
+    for e in elements:
+        up = e.parent
+        if up in inside:
+            inside.add(e)
+            if e.mark == SURE and (2 * size(e) > size(base) and e.parts or 0 < size(e) == size(base) and e.block):
+                e.mark = 0
+        by_tag = e.tag in DROPPED and not (e.tag == "header" and up.main)
+        e.dropped = not e.held and (up.dropped or by_tag or e.mark == SURE)
+        e.main = up.main or (not e.dropped and e.article)
+        e.heading = e.tag in HEADINGS or (up.heading and not (e.tag == "header" and not e.dropped))
+
+
 def in_article_header(e: Element | None) -> bool:
     """Whether e stands in a header of an article, but in none of its headings: of such a header only headings stay."""
     if e is None or e.heading:
         return False
     while e is not None:
-        if e.tag == "header":
+        if e.tag == "header" and not e.held:
             return True
         e = e.parent
     return False

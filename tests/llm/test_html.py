@@ -20,6 +20,20 @@ def test_extract(page, text):
     assert html.extract(page, lambda h: False) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<body class="page has-sidebar"><nav>n</nav><main><p>story</p></main></body>', "story"), ('<body class="no-sidebar"><p>story</p></body>', "story"), ('<html class="sidebar"><body class="menu single comments-open"><article><p>story</p></article>', "story"),
+        ('<article class="post comments-open"><p>story</p></article>', "story"), ('<main class="share"><p>story</p></main>', "story"), ('<div class="page sidebar"><article><p>story</p></article></div><div class="sidebar">side</div>', "story"),
+        ('<body><form id="aspnetForm"><nav>n</nav><div><article><p>story</p></article></div></form></body>', "story"), ('<form><div class="notice"><p>story</p></div><p>more</p></form>', "more"), ("<form><h1>Title</h1><p>story</p></form><p>foot</p>", "Title story foot"),
+        ('<header class="banner"><main><p>story</p></main></header>', "story"), ("<article>story<section id='comments'><article>nice</article></section></article>", "story"), ("<main><article><p>story</p></article><div class='comment-list'><article>nice</article></div></main>", "story"),
+        ("<article><p>story</p><form>mail</form><div class='share'>s</div></article>", "story"), ("<aside><article>t</article></aside><p>story</p>", "story"), ('<div class="page-wrap has-nav"><p>story</p></div>', "story"), ("<div class='ad'>buy</div><p>story</p>", "story"),
+    ],
+)
+def test_names_take_no_article(page, text):
+    assert html.extract(page, lambda h: False) == text
+
+
 def site(n, host="a.example", seed=1):
     """Pages without an article part: only recurrence tells their template."""
     rng = random.Random(seed)
