@@ -1,13 +1,13 @@
 """Main text of web pages by site template removal.
 
-Every page is parsed to elements; an element's subtree is hashed, and Spark counts on how many pages of its host each subtree recurs.  Subtrees
-that recur across many pages of a host are its template and are deleted.  What tags and class names tell by themselves
-(menus, footers, forms, scripts, adverts, comments and the like) goes too; where a page marks an article or main part, the text is taken from there.
+Every page is parsed to elements; the subtree of every element with text is hashed, whatever it is named and wherever it stands, and Spark counts
+on how many pages of its host each subtree recurs.  Subtrees that recur across many pages of a host are its template and are deleted first.  What tags and class names tell by themselves
+(menus, footers, forms, scripts, adverts, comments and the like) goes too; where a page marks an article or main part and that has text left, the text is taken from there.
 No name and no form takes what holds the article, or most of a page without one; a name that only has such a word in it
 (`has-sidebar`) takes nothing by itself, but lets a subtree in an article count as a template at the lower share.
 
 An article that many pages copy is no template: pages with the same main part count once.  Within an article a subtree must
-recur on most pages of the host, elsewhere on a fair share of them.
+recur on most pages of the host, elsewhere on a fair share of them; the two are counted apart.
 """
 
 from __future__ import annotations
@@ -52,6 +52,8 @@ _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 DOUBTFUL, SURE = 1, 2
+#: Where a subtree stands, which its key tells: links and the like in menus take none in a text.
+ELSEWHERE, IN_ARTICLE, INLINE_DROPPED = 0, 1, 2
 
 
 def host_of(url: str | None) -> str:
@@ -71,16 +73,25 @@ def mark_of(name: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "start", "end", "parent", "mark", "article", "dropped", "main", "heading", "text", "held", "size", "whole", "tagged", "nested", "parts", "block")
+    __slots__ = ("tag", "start", "end", "parent", "mark", "article", "dropped", "main", "heading", "text", "held", "size", "whole", "tagged", "nested", "parts", "block", "gone")
 
     def __init__(self, tag, start, parent, mark, article):
         """mark: what its names tell; article: whether it is one, or a main part."""
         self.tag, self.start, self.end, self.parent, self.mark, self.article = tag, start, -1, parent, mark, article
-        self.dropped = self.main = self.heading = self.text = self.held = self.tagged = self.parts = self.block = False
+        self.dropped = self.main = self.heading = self.text = self.held = self.tagged = self.parts = self.block = self.gone = False
         self.size = self.whole = self.nested = 0
 
-    def hash(self, page: str) -> int:
-        return xxhash.xxh64_intdigest(" ".join(page[self.start : self.end].split()).encode()) >> 1
+    def counted(self) -> bool:
+        """Whether the subtree may be a template: not what holds the article, and no empty one."""
+        return self.text and not self.held and self.tag not in ("html", "body") and not (self.main and self.article)
+
+    def key(self, page: str) -> int:
+        """A hash of the subtree, with where it stands in the two lowest bits."""
+        if self.dropped:
+            place = ELSEWHERE if self.tag in BLOCK else INLINE_DROPPED
+        else:
+            place = IN_ARTICLE if self.main and self.mark != DOUBTFUL else ELSEWHERE
+        return xxhash.xxh64_intdigest(" ".join(page[self.start : self.end].split()).encode()) >> 3 << 2 | place  # under 2**63
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
@@ -204,55 +215,38 @@ def in_article_header(e: Element | None) -> bool:
     return False
 
 
-def main_pieces(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]], bool]:
-    """Elements and texts that the page by itself leaves: in its article or main part, if that has any text."""
-    elements, pieces = parse(page)
+def main_text_of(elements: list[Element], pieces: list[tuple[str, Element, bool]]) -> str:
+    """The text that templates (`gone`) and names leave: of the article or main part, if that has any."""
     pieces = [(t, e, b) for t, e, b in pieces if not e.dropped and not in_article_header(e)]
-    article = any(e.main and not t.isspace() for t, e, _ in pieces)
-    if article:
+    if any(e.main and not e.gone and not t.isspace() for t, e, _ in pieces):
         pieces = [x for x in pieces if x[1].main]
-    return [e for e in elements if e.text and not e.dropped and e.main == article and e.parent.tag and not (article and e.tag in ("article", "main")) and e.tag not in ("body", "html")], pieces, article
-
-
-def join(pieces: list[tuple[str, Element, bool]], gone: set[int]) -> str:
-    """The blocks' text; gone: ids of deleted elements."""
-    out = []
-    for t, e, boundary in pieces:
-        up, deleted = e, False
-        while up is not None and gone:
-            if id(up) in gone:
-                deleted = True
-                break
-            up = up.parent
-        if deleted:
-            out.append(" ")
-        else:
-            out.append(" " + t if boundary else t)
+    out = [" " if e.gone else " " + t if boundary else t for t, e, boundary in pieces]
     return " ".join(entities.unescape("".join(out)).split())
 
 
-def subtrees(page: str) -> tuple[int, bool, list[int]]:
-    """A hash of the main text, whether it is an article, and the distinct hashes of its subtrees."""
-    elements, pieces, article = main_pieces(page)
-    return xxhash.xxh64_intdigest(join(pieces, set()).encode()) >> 1, article, sorted({e.hash(page) for e in elements})
+def subtrees(page: str) -> tuple[int, list[int]]:
+    """A hash of the main text, and the distinct keys of all subtrees."""
+    elements, pieces = parse(page)
+    return xxhash.xxh64_intdigest(main_text_of(elements, pieces).encode()) >> 1, sorted({e.key(page) for e in elements if e.counted()})
 
 
 def extract(page: str, is_template) -> str:
-    elements, pieces, _ = main_pieces(page)
-    gone = {id(e) for e in elements if is_template(e.hash(page))}
-    return join(pieces, gone)
+    elements, pieces = parse(page)
+    for e in elements:
+        e.gone = e.parent.gone or (e.counted() and is_template(e.key(page)))
+    return main_text_of(elements, pieces)
 
 
-def _with_host(hash_: int, host: str) -> int:
-    return (hash_ ^ xxhash.xxh64_intdigest(host.encode())) & 0x7FFFFFFFFFFFFFFF
+def _with_host(key: int, host: str) -> int:
+    return key ^ (xxhash.xxh64_intdigest(host.encode()) & 0x7FFFFFFFFFFFFFFC)
 
 
 def templates(found: DataFrame, min_pages: int = MIN_PAGES, article_share: float = ARTICLE_SHARE, other_share: float = OTHER_SHARE) -> DataFrame:
-    """found(host, main, article, hashes) -> the keys of templates: subtrees of a host, hashed with it."""
-    distinct = found.groupBy("host", "main").agg(F.first("article").alias("article"), F.first("hashes").alias("hashes"))
-    counted = distinct.select("host", "article", F.explode("hashes").alias("key")).groupBy("host", "article", "key").agg(F.count("*").alias("n"))
+    """found(host, main, hashes) -> the keys of templates: subtrees of a host, hashed with it.  Of pages with one main part the least hashes count."""
+    distinct = found.groupBy("host", "main").agg(F.min("hashes").alias("hashes"))
+    counted = distinct.select("host", F.explode("hashes").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
     pages = distinct.groupBy("host").agg(F.count("*").alias("pages"))
-    share = F.when(F.col("article"), F.lit(article_share)).otherwise(F.lit(other_share))
+    share = F.when(F.col("key").bitwiseAND(3) == IN_ARTICLE, F.lit(article_share)).otherwise(F.lit(other_share))
     return counted.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= share * F.col("pages")).select("key").distinct()
 
 
@@ -271,12 +265,12 @@ def main_text(pages: DataFrame, most_sent: int = MOST_SENT, **options) -> DataFr
             out = []
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 host = host_of(url)
-                main, article, hashes = subtrees(page)
-                out.append((host, main, article, [_with_host(h, host) for h in hashes]))
-            cols = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.string(), pa.int64(), pa.bool_(), pa.list_(pa.int64())), strict=True)], ["host", "main", "article", "hashes"])
+                main, hashes = subtrees(page)
+                out.append((host, main, sorted(_with_host(h, host) for h in hashes)))
+            cols = list(zip(*out, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.string(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["host", "main", "hashes"])
 
-    kind = "host string, main long, article boolean, hashes array<long>"
+    kind = "host string, main long, hashes array<long>"
     keys = materialise(templates(rows.select("url", "html").mapInArrow(look, kind), **options), "templates")
     schema = "page_id long, url string, text string, n_chars long"
 
@@ -299,7 +293,7 @@ def main_text(pages: DataFrame, most_sent: int = MOST_SENT, **options) -> DataFr
             out = []
             for row, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 host = host_of(url)
-                out += [(row, _with_host(h, host)) for h in subtrees(page)[2]]
+                out += [(row, _with_host(h, host)) for h in subtrees(page)[1]]
             cols = list(zip(*out, strict=True)) or [[]] * 2
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], ["row", "key"])
 

@@ -60,3 +60,14 @@ def test_templates(spark, most_sent):
         else:
             assert r.text == want[r.url]
     assert html.main_text(df.limit(0)).count() == 0
+
+
+def test_all_subtrees_are_counted(spark):
+    page = "<body><nav><ul><li>Menu</li></ul></nav><div class='ad'>buy</div><article><p>story</p></article><footer>me</footer></body>"
+    assert len(html.subtrees(page)[1]) == 6  # nav, ul, li, ad, p, footer
+    share = "<div class='post-share'>tell others</div>"
+    pages = [(p[0], p[1], f"<nav><a href='/x'>us</a></nav><div><p>{p[3]}{' <a href=/x>us</a>' if p[0] < 2 else ''}</p></div>".replace("=/x", "='/x'"), p[3] + " us" * (p[0] < 2)) for p in site(20)]  # a menu's link takes none in a text
+    pages += [(p[0], p[1], f"<{'footer' if p[0] else 'div'}><p>all rights</p></{'footer' if p[0] else 'div'}><div><p>{p[3]}</p></div>", p[3]) for p in site(20, "c.example", 3)]  # one page has the footer's text elsewhere
+    pages += [(p[0], p[1], f"<article><p>{p[3]}</p>{share if p[0] < 10 else ''}</article>", p[3]) for p in site(40, "b.example", 2)]  # a doubtful name on a quarter of the pages
+    got = html.main_text(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")).collect()
+    assert {r.url: r.text for r in got} == {p[1]: p[3] for p in pages}
