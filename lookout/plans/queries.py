@@ -523,7 +523,7 @@ def knn2_ratio(spark, sf):
 def two_stage_select(spark, sf):
     items = proxy(spark, sf, "items")
     boxes = proxy(spark, sf, "frames").withColumn("folder", F.concat(F.lit("f"), F.regexp_extract("folder", "([0-9]+)$", 1)))
-    return select.two_stage(items, boxes, 20, restarts=3)
+    return select.two_stage(items, boxes, 20)
 
 
 # ---- reports ----

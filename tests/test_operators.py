@@ -209,6 +209,16 @@ def test_two_stage(spark):
     assert select.two_stage(df, boxes, 100).count() == 33  # ten items in three atoms, and thirty alone
 
 
+def test_two_stage_select_restarts(spark, monkeypatch):
+    from lookout.plans import queries
+
+    monkeypatch.setattr(queries, "proxy", lambda *a: spark.createDataFrame([("f1",)], "folder string"))
+    seen = {}
+    monkeypatch.setattr(select, "two_stage", lambda items, boxes, quota, match_iou=0.7, seed=0, restarts=10: seen.update(restarts=restarts))
+    queries.QUERIES["two_stage_select"](spark, "")
+    assert seen == {"restarts": 10}
+
+
 def test_nearest(spark):
     rng = random.Random(5)
     v = {i: [float(rng.randint(0, 3)) for _ in range(3)] for i in range(60)}
