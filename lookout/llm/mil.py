@@ -2,8 +2,8 @@
 
 A text is a bag of passages of PASSAGE words.  Every passage is encoded (counts of its characters and words, then a learned
 layer); gated attention, a = softmax(w . (tanh(V h) * sigmoid(U h))), weighs the passages, and the score is a logistic function of the
-weighted encoding.  All weights are learned together from labels of whole documents, by Adam on a bounded sample; scoring
-encodes every passage of every whole text.
+weighted encoding.  All weights are learned together from labels of whole documents, by Adam on a bounded sample of documents;
+fitting and scoring encode every passage of every whole text.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from lookout.llm.common import bounded_sample, learned_split, prepare, texts
 
-#: Labelled documents of each label in the sample, at most; characters of each, at most.  For fitting alone.
-SAMPLE, SAMPLE_CHARS = 2000, 60_000
+#: Labelled documents of each label in the sample, at most.  For fitting alone.
+SAMPLE = 2000
 PASSAGE, WIDTH, GATE, EPOCHS, SEED = 64, 16, 8, 60, 5
 THRESHOLD = 0.3
 _MARKS = [bytes([c]) for c in b"#*$%&|<>!?.,;:@=_/-()[]{}\"'\\~^+"]
@@ -123,9 +123,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits the model on at most SAMPLE documents of each label, none of them held out."""
     rows = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~learned_split(F.col("doc_id"), 5, 0))
     label = {r["doc_id"]: r["quality"] for r in reversed(bounded_sample(rows, "quality", SAMPLE, ["doc_id", "quality"]))}
-    found = docs.where(F.col("doc_id").isin([*label]) & F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect() if label else []
-    found = sorted(found, key=lambda r: (r["doc_id"], r["text"]))
-    return Model.fit([encode(r["text"]) for r in found], [label[r["doc_id"]] for r in found])
+    prepare(docs.sparkSession)
+
+    def bags(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([encode(t).tobytes() for t in texts(batch)], pa.binary())], ["doc_id", "bag"])
+
+    rows = docs.where(F.col("doc_id").isin([*label]) & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = sorted((r["doc_id"], bytes(r["bag"])) for r in rows.mapInArrow(bags, "doc_id long, bag binary").collect()) if label else []  # under half of the texts' bytes
+    return Model.fit([np.frombuffer(bag, np.float32).reshape(-1, FEATURES) for _, bag in found], [label[i] for i, _ in found])
 
 
 def _shared(spark: SparkSession, docs: DataFrame, labels: DataFrame, model: Model | None):

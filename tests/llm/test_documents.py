@@ -365,3 +365,13 @@ def test_ids_of_odd_texts():
     texts += ["".join(rng.choice(" \n\tab'sé1#! 　") for _ in range(rng.randint(1, 40))) for _ in range(500)]
     for text, found in zip(texts, packing.token_bytes(texts, path), strict=True):
         assert found == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
+def test_quality_learns_whole_texts(spark, monkeypatch):
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5][:2]
+    words = ["plain words here " * 6000 + "end of it " * 3000, "short text"]
+    docs = table(spark, [(i, t, "en", "s", len(t)) for i, t in zip(ids, words)])
+    seen = []
+    monkeypatch.setattr(mil.Model, "fit", classmethod(lambda cls, bags, labels: seen.extend(bags)))
+    mil.learn(docs, spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "doc_id long, quality int"))
+    assert [b.tolist() for b in seen] == [mil.encode(t).tolist() for t in words]
