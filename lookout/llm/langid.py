@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lookout.llm.common import bounded_sample, learned_split, prepare, texts
 
-#: Labelled documents a language is learned from, at most; bytes taken from each; bytes of a dictionary.
+#: Labelled documents a language is learned from, at most; bytes taken from each, at most; bytes of a dictionary, shared evenly by its documents.
 SAMPLE, EACH, DICTIONARY = 600, 2000, 256 << 10
 PIECE, SHORT, PREFIX = 2048, 300, 300
 LEVEL, SHORT_LEVEL, MARGIN = 9, 19, 0.01
@@ -33,12 +33,22 @@ def letters(text: str) -> bytes:
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Learns a dictionary for each language from rows with text and lang, outside the held-out quarter."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~learned_split(F.col("doc_id"), 4, 2))
-    found: dict[str, bytearray] = {}
+    found: dict[str, list[bytes]] = {}
     for r in bounded_sample(rows, "lang", SAMPLE, ["lang", "text"]):
-        d = found.setdefault(r["lang"], bytearray(b" "))
-        if len(d) < DICTIONARY:
-            d += letters(r["text"])[:EACH] + b" "
-    return {lang: bytes(d[:DICTIONARY]) for lang, d in sorted(found.items()) if len(d) > 8}
+        found.setdefault(r["lang"], []).append(letters(r["text"])[:EACH] + b" ")
+    learned = {lang: b" " + b"".join(evenly(parts, DICTIONARY - 1)) for lang, parts in sorted(found.items())}
+    return {lang: d for lang, d in learned.items() if len(d) > 8}
+
+
+def evenly(parts: list[bytes], most: int) -> list[bytes]:
+    """The parts cut to one length, the largest at which they have `most` bytes in all; each still ends in a space."""
+    left = most
+    for k, n in enumerate(sorted(map(len, parts))):
+        share = left // (len(parts) - k)
+        if n > share:
+            return [p if len(p) <= share else p[: share - 1] + b" " for p in parts]
+        left -= n
+    return parts
 
 
 class Coders:

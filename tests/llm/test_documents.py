@@ -375,3 +375,19 @@ def test_quality_learns_whole_texts(spark, monkeypatch):
     monkeypatch.setattr(mil.Model, "fit", classmethod(lambda cls, bags, labels: seen.extend(bags)))
     mil.learn(docs, spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "doc_id long, quality int"))
     assert [b.tolist() for b in seen] == [mil.encode(t).tolist() for t in words]
+
+
+def test_language_learns_from_all_sampled():
+    parts = [b"x" * n + b" " for n in (5, 3000, 10, 3000, 3000)]
+    got = langid.evenly(parts, 1000)
+    assert [len(p) for p in got] == [6, 327, 11, 327, 327]
+    assert all(p.endswith(b" ") for p in got)
+    assert langid.evenly(parts, 10_000) == parts
+
+
+def test_language_dictionary_has_all_sampled(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    marks = {i: "q" + "".join(chr(97 + int(c)) for c in str(i)) + "q" for i in ids}
+    learned = langid.dictionaries(table(spark, [(i, f"{marks[i]} " * 800, "en", "s", 1) for i in ids]))["en"]
+    assert len(learned) <= langid.DICTIONARY
+    assert all(f" {m} ".encode() in learned for m in marks.values())
