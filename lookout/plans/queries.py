@@ -510,6 +510,12 @@ def atom_representative(spark, sf):
     return select.representatives(proxy(spark, sf, "items"), "label", "id").select("label", "id")
 
 
+@query(f"WITH m AS ({_MEANS}), c AS (SELECT label, i, m / greatest(1e-12, sqrt(sum(m * m) OVER (PARTITION BY label))) AS m FROM m), s AS (SELECT vec_id, c.label, round(sum(CAST(v AS DOUBLE) * m), 9) AS s FROM ({_VALUES}) x JOIN c ON c.i = x.i GROUP BY ALL) SELECT vec_id AS id, label FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS p FROM s) WHERE p = 1")
+def nearest_centroid_assign(spark, sf):
+    items = proxy(spark, sf, "items")
+    return select.assign(items, select.centroids(items, "label"), "label", "id").select("id", "label")
+
+
 @query("""WITH q AS (SELECT vec_id, embedding FROM {embeddings} WHERE vec_id % 50 = 0),
 d AS (SELECT q.vec_id AS query, e.vec_id AS neighbour, round(list_distance(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 9) AS d FROM q JOIN {embeddings} e ON e.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY d, neighbour) AS k FROM d)

@@ -219,6 +219,15 @@ def test_two_stage_select_restarts(spark, monkeypatch):
     assert seen == {"restarts": 10}
 
 
+def test_assign(spark):
+    rng = random.Random(6)
+    v = {i: [rng.gauss(0, 1) for _ in range(4)] for i in range(30)}
+    c = {"a": [1.0, 0.0, 0.0, 0.0], "b": [0.0, 1.0, 0.0, 0.0], "c": [0.0, 1.0, 0.0, 0.0]}
+    df, centres = spark.createDataFrame(list(v.items()), "id long, embedding array<double>"), spark.createDataFrame(list(c.items()), "label string, centroid array<double>")
+    got = {r.id: r.label for r in select.assign(df, centres, "label", "id").collect()}
+    assert got == {i: "a" if round(x[0], 9) >= round(x[1], 9) else "b" for i, x in v.items()}
+
+
 def test_nearest(spark):
     rng = random.Random(5)
     v = {i: [float(rng.randint(0, 3)) for _ in range(3)] for i in range(60)}
