@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -21,7 +24,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ships this package to the executors once, and keeps Arrow batches small enough for long texts."""
+    """Ships this package to the executors once, and keeps Arrow batches small enough for long texts.
+
+    The two Arrow settings stay with the session, as results are lazy and need them when they are read.
+    """
     sc = spark.sparkContext
     if not getattr(sc, "_lookout_shipped", False):
         top = Path(__file__).resolve().parents[2]
@@ -51,12 +57,102 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage: writes df as a table in the shared folder and reads it again.
 
-    The files outlive a lost executor.  They stay until the folder is cleared, as the result is read lazily.
+    The files outlive a lost executor.  They go when a `temporary` block they were written in ends without keeping them, or by clear().
+    Row groups are small, as each writing task holds one in memory.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written(spark).append((path, out))
+    return out
+
+
+def _written(spark: SparkSession) -> list[tuple[str, DataFrame]]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_lookout_written"):
+        sc._lookout_written = []
+    return sc._lookout_written
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Yields keep(table).  At the end of the block, the tables written in it go, but for those kept.
+
+    A block must end only after all that reads its tables has been written itself.
+    """
+    kept: list[int] = []
+    written = _written(spark)
+    before = len(written)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(id(df))
+        return df
+
+    try:
+        yield keep
+    finally:
+        for path, df in written[before:]:
+            if id(df) not in kept:
+                _remove(spark, path)
+        written[before:] = [x for x in written[before:] if id(x[1]) in kept]
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all tables that operators have written in this session; results that weren't written elsewhere can't be read after it."""
+    written = _written(spark)
+    while written:
+        _remove(spark, written.pop()[0])
+
+
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, each with underscores behind it until no column has it (case doesn't tell names apart)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+_slot: dict = {}
+
+
+def held(key, make):
+    """A large object that a worker process keeps between tasks; there is one at a time, so what another operator has left goes first."""
+    if key not in _slot:
+        _slot.clear()
+        release()
+        _slot[key] = make()
+    return _slot[key]
+
+
+def release() -> None:
+    """Hands memory that is free in this process back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no glibc
+        pass
+
+
+def tidy(run):
+    """run(batches) for mapInArrow, after which the worker, which lives on for other stages, keeps no free memory."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +169,7 @@ def learned_split(doc_id: Column, folds: int, held_out: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == held_out, F.lit(False))
 
 
-def offsets_within(df: DataFrame, groups: list[str], order: list[str], weight: str | None, out: str, buckets: int = 512) -> DataFrame:
+def offsets_within(df: DataFrame, groups: list[str], order: list[str], weight: str | None, out: str, buckets: int = 1024) -> DataFrame:
     """Adds `out`: the sum of `weight` (None: the number of rows) over the rows of the same group that come earlier.
 
     The order is by a hash bucket of `order`, then by `order`.  A group of any size is spread over `buckets` windows: the
@@ -140,38 +236,51 @@ def shared_sketch(df: DataFrame, keys_of, width_bits: int, slices: int = 64) ->
 
 
 def tokenizer_path(name: str) -> str:
-    """Where the public tokenizers lie: their package, or the folder in LOOKOUT_TOKENIZERS or /opt/tokenizers."""
-    try:
-        import public_tokenizers
+    """Where a public tokenizer's file lies: name itself if it is a path, else by the package `public_tokenizers`."""
+    if os.path.dirname(name):
+        return name
+    import public_tokenizers
 
-        return public_tokenizers.path(name)
-    except ImportError:
-        return os.path.join(os.environ.get("LOOKOUT_TOKENIZERS", "/opt/tokenizers"), name)
+    return public_tokenizers.path(name)
 
 
 def bounded_sample(rows: DataFrame, group: str, most: int, columns: list[str], seed: int = 29) -> list:
-    """At most `most` rows of each group, those with the lowest seeded hash of doc_id, collected.
+    """At most `most` rows of each group, those with the lowest seeded hash of doc_id, collected in that order.
 
-    The groups are counted first, then only rows under a hash bound that lets about twice `most` through leave the executors;
-    so no group, however large, meets in one task.  For fitting models only.
+    The groups are counted first; then the ids' hashes under a bound that lets about twice `most` through give the exact place
+    of the last row to take, so no group, however large, meets in one task, and only rows that are taken leave the executors.  For fitting models only.
     """
-    counts = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return []
+    counts = rows.groupBy(group).agg(F.count("*").alias("n")).where(F.col(group).isNotNull())
     span = 1 << 31
-    bound = F.lit(0).cast("long")
-    for value, n in sorted(counts.items(), key=str):
-        bound = F.when(F.col(group).eqNullSafe(F.lit(value)), F.lit(min(span, int(span * (2 * most + 20) / n) + 1))).otherwise(bound)
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(span))
-    found = rows.where(place < bound).select(*columns, place.alias("_place"), F.xxhash64(*columns).alias("_tie")).collect()
+    bound = F.least(F.lit(span), (F.lit(span) * F.lit(2.0 * most + 20) / F.col("n")).cast("long") + 1)
+    placed = rows.select(*{*columns, group}, place.alias("_place"), F.xxhash64("doc_id", *columns).alias("_tie"))
+    low = placed.join(counts.select(group, bound.alias("_bound")), group).where(F.col("_place") < F.col("_bound"))
+    first: dict = {}
+    for r in sorted(low.select(group, "_place", "_tie").collect(), key=lambda r: (r["_place"], r["_tie"])):
+        own = first.setdefault(r[group], [])
+        if len(own) < most:
+            own.append((r["_place"], r["_tie"]))
+    if not first:
+        return []
+    last = pa.table({"_group": pa.array(list(first), _arrow_type(rows, group)), "_last": pa.array([own[-1][0] for own in first.values()], pa.int64())})
+    last = rows.sparkSession.createDataFrame(last)  # a row for each group
+    found = placed.join(last, F.col(group) == F.col("_group")).where(F.col("_place") <= F.col("_last")).collect()
+    chosen = {(g, *x) for g, own in first.items() for x in own}
     out, taken = [], {}
     for r in sorted(found, key=lambda r: (r["_place"], r["_tie"])):
         taken[r[group]] = taken.get(r[group], 0) + 1
-        if taken[r[group]] <= most:
+        if taken[r[group]] <= most and (r[group], r["_place"], r["_tie"]) in chosen:
             out.append(r)
     return out
 
 
+def _arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(df.schema[column].dataType)
+
+
 class WordHasher:
     """64-bit hashes of the words of a text, by array operations on its bytes.
 

@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from lookout.llm.common import PLAIN_CODES, WordHasher, bounded_sample, offsets_within, shared_sketch
+from lookout.llm import common
+from lookout.llm.common import PLAIN_CODES, WordHasher, bounded_sample, free_names, offsets_within, shared_sketch
 
 
 def test_offsets(spark):
@@ -36,3 +37,32 @@ def test_bounded_sample(spark):
     assert len(one) == 40
     assert [r.doc_id for r in one] == [r.doc_id for r in two]
     assert bounded_sample(df.limit(0), "g", 20, ["doc_id", "g"]) == []
+    null = df.withColumn("g", F.when(F.col("g"), F.lit("a"))).withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))
+    assert [r.g for r in bounded_sample(null, "g", 20, ["doc_id", "g"])] == ["a"] * 20  # null groups teach nothing; null ids do
+    few = df.where("doc_id < 30")
+    assert sorted(r.doc_id for r in bounded_sample(few, "g", 20, ["doc_id"])) == sorted(set(range(0, 30, 10)) | {r.doc_id for r in bounded_sample(few.where("not g"), "g", 20, ["doc_id"])})
+
+
+def test_free_names():
+    assert free_names(["A", "b_"], "a", "b", "b_") == ["a_", "b", "b__"]
+
+
+def test_temporary_tables(spark, tmp_path):
+    import os
+
+    with common.temporary(spark) as keep:
+        one = common.materialise(spark.range(5), "one")
+        two = keep(common.materialise(one.selectExpr("id + 1 AS id"), "two"))
+    paths = [p.removeprefix("file://") for p, df in common._written(spark) if df is two]
+    assert len(paths) == 1
+    assert not any(df is one for _, df in common._written(spark))
+    assert sorted(r.id for r in two.collect()) == [1, 2, 3, 4, 5]
+    common.clear(spark)
+    assert not os.path.exists(paths[0])
+
+
+def test_one_large_object_at_a_time():
+    a = common.held("a", lambda: [1])
+    assert common.held("a", lambda: [2]) is a
+    common.held("b", lambda: [3])
+    assert common.held("a", lambda: [4]) == [4]
