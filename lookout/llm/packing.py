@@ -10,7 +10,6 @@ run by its rank among the pieces of its length.  Nothing the driver holds grows
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.common import materialise, offsets_within, prepare, texts, tokenizer_path
+from lookout.llm.common import held, materialise, offsets_within, prepare, texts, tidy, tokenizer_path
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers; when full, they are forgotten.
-WORDS_KEPT = 1_000_000
+#: Words whose ids a worker remembers, and the longest of them in characters: 100 MB at most.  When full, they are forgotten; longer ones are kept for a batch.
+WORDS_KEPT, LONGEST_KEPT = 300_000, 64
 #: A fixed value: how the public byte-level tokenizer cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -103,11 +102,12 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[in
 
 
 class WordIds(dict):
-    """word -> the ids of a space and the word, as little-endian 32-bit bytes; a worker remembers WORDS_KEPT of them.
+    """word -> the ids of a space and the word, as little-endian 32-bit bytes; a worker remembers WORDS_KEPT of up to LONGEST_KEPT characters.
 
     The tokenizer's pattern starts a new word at every space that a character other than white space follows, and looks
     no further back.  So the ids of a text are those of its words, one after another, and words recur.  New words are
-    encoded many at a time, by the rank file of the same vocabulary, and told apart by the lengths of their ids' bytes.
+    encoded many at a time, by the rank file of the same vocabulary, and told apart by the lengths of their ids' bytes.  Without a
+    rank file beside it, the tokenizer file encodes whole texts.
     """
 
     def __init__(self, path: str, ranks_path: str):
@@ -121,6 +121,9 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.core = None
+        if not os.path.exists(ranks_path):
+            return
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.core = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -145,6 +148,9 @@ class WordIds(dict):
             at = end
 
     def of(self, found: list[str]) -> Iterator[bytes]:
+        if self.core is None:
+            yield from map(self.whole, found)
+            return
         split = [None if any(s in t for s in self.special) else [*self.odd_split(t)] if self.odd.search(t) else t.split(" ") for t in found]
         new: set[str] = set()
         for words in split:
@@ -158,6 +164,9 @@ class WordIds(dict):
             self.learn([*new])
         for text, words in zip(found, split, strict=True):
             yield self.whole(text) if words is None else self.plain(words[0]).tobytes() + b"".join(map(self.__getitem__, words[1:]))
+        for word in new:
+            if len(word) > LONGEST_KEPT:
+                del self[word]
 
     @staticmethod
     def odd_split(text: str) -> list[str]:
@@ -165,10 +174,9 @@ class WordIds(dict):
         return re.split(r" (?=\S)", text)
 
 
-@functools.cache
 def word_ids(path: str, ranks_path: str) -> WordIds:
     """One per worker process."""
-    return WordIds(path, ranks_path)
+    return held(("ids", path, ranks_path), lambda: WordIds(path, ranks_path))
 
 
 def token_bytes(found: list[str], path: str) -> Iterator[bytes]:
@@ -199,13 +207,14 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = "by
                     at, k = to, k + 1
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0) -> DataFrame:
     """Packs all documents: token_pieces() and sequence_id, offset.
 
-    Null doc_ids and repeated rows are packed like any other; other columns of docs are ignored; an empty table gives no rows.
+    Null doc_ids and repeated rows are packed like any other; a null or empty text is its end id alone; a very long one is cut; pieces of equal length stand
+    in an order of hashes, in which rows that tie are alike; other columns of docs are ignored; an empty table gives no rows.
     """
     pieces = materialise(token_pieces(docs, capacity, tokenizer, end_id), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
@@ -233,4 +242,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = "byte_bpe_5
             yield pa.RecordBatch.from_arrays([*keep, pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     ranked = offsets_within(pieces, ["length"], ["doc_id", "piece", "start", "ids_crc32"], None, "rank")
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

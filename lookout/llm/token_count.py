@@ -11,19 +11,18 @@ sum of its words, each behind its spaces; and words recur, so a worker remembers
 
 from __future__ import annotations
 
-import functools
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.common import prepare, texts, tokenizer_path
+from lookout.llm.common import held, prepare, texts, tidy, tokenizer_path
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words a worker remembers; when full, they are forgotten.
-WORDS_KEPT = 800_000
+#: Words a worker remembers, and the longest of them in characters: 100 MB at most.  When full, they are forgotten; longer ones aren't kept.
+WORDS_KEPT, LONGEST_KEPT = 300_000, 64
 
 
 def vocabulary(path: str) -> dict[str, float]:
@@ -74,9 +73,11 @@ class Counter(dict):
         return best[size], pieces[size]
 
     def __missing__(self, word: str) -> tuple[float, int]:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        found = self[word] = self.search(word.replace(" ", SPACE))
+        found = self.search(word.replace(" ", SPACE))
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = found
         return found
 
     def count(self, text: str) -> tuple[float, int]:
@@ -92,16 +93,15 @@ class Counter(dict):
         return score, pieces
 
 
-@functools.cache
 def counter(path: str) -> Counter:
     """One per worker process."""
-    return Counter(vocabulary(path))
+    return held(("pieces", path), lambda: Counter(vocabulary(path)))
 
 
 def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
     """doc_id, n_tokens and score, the best segmentation's, for each whole text; a null or empty text has 0 tokens and score 0.
 
-    Null and repeated doc_ids are counted each; an empty table gives no rows.
+    Null and repeated doc_ids are counted each; a very long text or word is searched whole; other columns don't matter; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     path = tokenizer_path(model)
@@ -112,4 +112,4 @@ def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFra
             found = [c.count(t) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n in found], pa.int64()), pa.array([s for s, _ in found], pa.float64())], ["doc_id", "n_tokens", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, n_tokens long, score double")
