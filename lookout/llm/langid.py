@@ -5,21 +5,22 @@ and the language whose dictionary makes it smallest is chosen; where the runner-
 counts as rejected.  Long texts are encoded whole, in pieces of PIECE bytes.  Zstandard leaves very short inputs as they are, so
 texts under SHORT bytes are encoded behind a stretch of the dictionary itself, at the highest level, and once more from each
 of their words on, which gives a finer measure than whole bytes.
+
+A dictionary is whole texts of a bounded sample of labelled rows, in a seeded order, as far as they fit.
 """
 
 from __future__ import annotations
 
-import functools
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookout.llm.common import bounded_sample, learned_split, prepare, texts
+from lookout.llm.common import bounded_sample, held, learned_split, prepare, texts, tidy
 
-#: Labelled documents a language is learned from, at most; bytes taken from each, at most; bytes of a dictionary, shared evenly by its documents.
-SAMPLE, EACH, DICTIONARY = 600, 2000, 256 << 10
+#: Labelled rows that a language is learned from, at most; the bytes of a text in the sample, at most; the bytes of a dictionary, which whole texts fill.
+SAMPLE, LONGEST, DICTIONARY = 600, 16 << 10, 256 << 10
 PIECE, SHORT, PREFIX = 2048, 300, 300
 LEVEL, SHORT_LEVEL, MARGIN = 9, 19, 0.01
 #: All but lower-case ASCII letters and bytes of longer characters become spaces.
@@ -31,24 +32,31 @@ def letters(text: str) -> bytes:
 
 
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
-    """Learns a dictionary for each language from rows with text and lang, outside the held-out quarter."""
+    """Learns a dictionary for each language from rows with text and lang, outside the held-out quarter.
+
+    The sample has at most SAMPLE rows of a language, with texts of at most LONGEST bytes; for a language that has only longer ones, its shortest.
+    """
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~learned_split(F.col("doc_id"), 4, 2))
     found: dict[str, list[bytes]] = {}
-    for r in bounded_sample(rows, "lang", SAMPLE, ["lang", "text"]):
-        found.setdefault(r["lang"], []).append(letters(r["text"])[:EACH] + b" ")
-    learned = {lang: b" " + b"".join(evenly(parts, DICTIONARY - 1)) for lang, parts in sorted(found.items())}
+    for r in bounded_sample(rows.where(F.octet_length("text") <= LONGEST), "lang", SAMPLE, ["lang", "text"]):
+        found.setdefault(r["lang"], []).append(letters(r["text"]) + b" ")
+    long = rows.where(~F.col("lang").isin([*found])) if found else rows
+    shortest = long.groupBy("lang").agg(F.min(F.struct(F.octet_length("text").alias("n"), F.xxhash64("text").alias("tie"))).alias("x")).select("lang", "x.*").collect()  # a row for each language
+    for r in shortest:
+        text = long.where((F.col("lang") == r["lang"]) & (F.octet_length("text") == r["n"]) & (F.xxhash64("text") == r["tie"])).select("text").first()["text"]
+        found[r["lang"]] = [letters(text) + b" "]
+    learned = {lang: b" " + b"".join(fill(parts, DICTIONARY - 1)) for lang, parts in sorted(found.items())}
     return {lang: d for lang, d in learned.items() if len(d) > 8}
 
 
-def evenly(parts: list[bytes], most: int) -> list[bytes]:
-    """The parts cut to one length, the largest at which they have `most` bytes in all; each still ends in a space."""
-    left = most
-    for k, n in enumerate(sorted(map(len, parts))):
-        share = left // (len(parts) - k)
-        if n > share:
-            return [p if len(p) <= share else p[: share - 1] + b" " for p in parts]
-        left -= n
-    return parts
+def fill(parts: list[bytes], most: int) -> list[bytes]:
+    """The parts in order, without those for which there is no room left; the first one is in whatever its size."""
+    out, room = parts[:1], most - sum(map(len, parts[:1]))
+    for p in parts[1:]:
+        if len(p) <= room:
+            out.append(p)
+            room -= len(p)
+    return out
 
 
 class Coders:
@@ -89,16 +97,9 @@ class Coders:
         return self.names[order[0]], margin / (margin + 0.05), margin
 
 
-_coders: dict[int, Coders] = {}
-
-
 def _coders_of(shared) -> Coders:
     """One set of compressors per worker process and broadcast dictionaries."""
-    key = hash(tuple(shared.value.items()))
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coders(shared.value)
-    return _coders[key]
+    return held(("coders", hash(tuple(shared.value.items()))), lambda: Coders(shared.value))
 
 
 def _shared(spark: SparkSession, docs: DataFrame, learned: dict[str, bytes] | None):
@@ -111,6 +112,7 @@ def identify(docs: DataFrame, learned: dict[str, bytes] | None = None, margin: f
 
     A text that is null or has no letter is `und`, score 0, rejected; so is all where nothing could be learned.  Equal sizes go to the
     language that comes first.  Null doc_ids count as not held out.  Null or empty lang only means that a row teaches nothing or its own value.
+    Long texts are encoded whole; repeated rows are told each, alike; other columns don't matter; an empty table gives no rows.
     """
     shared = _shared(docs.sparkSession, docs, learned)
 
@@ -121,11 +123,15 @@ def identify(docs: DataFrame, learned: dict[str, bytes] | None = None, margin: f
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[0] == "und" or x[2] < margin for x in out], pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), learned_split(F.col("doc_id"), 4, 2).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, learned: dict[str, bytes] | None = None, margin: float = MARGIN) -> DataFrame:
-    """The rows of docs whose language is told without rejection, with all their columns."""
+    """The rows of docs whose language is told without rejection, with all their columns, whatever their names.
+
+    As identify() says: rows with a null or empty text, without a letter or with a narrow margin go; repeated rows stay or go together; null ids and
+    nulls in other columns don't matter; an empty table stays empty.
+    """
     shared = _shared(docs.sparkSession, docs, learned)
 
     def run(batches):
@@ -134,4 +140,4 @@ def keep_identified(docs: DataFrame, learned: dict[str, bytes] | None = None, ma
             out = [coders.predict(t) for t in texts(batch)]
             yield batch.filter(pa.array([x[0] != "und" and x[2] >= margin for x in out], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -377,17 +377,39 @@ def test_quality_learns_whole_texts(spark, monkeypatch):
     assert [b.tolist() for b in seen] == [mil.encode(t).tolist() for t in words]
 
 
-def test_language_learns_from_all_sampled():
-    parts = [b"x" * n + b" " for n in (5, 3000, 10, 3000, 3000)]
-    got = langid.evenly(parts, 1000)
-    assert [len(p) for p in got] == [6, 327, 11, 327, 327]
-    assert all(p.endswith(b" ") for p in got)
-    assert langid.evenly(parts, 10_000) == parts
+def test_dictionary_is_filled_with_whole_texts():
+    parts = [b"x" * n + b" " for n in (5, 3000, 10, 900, 3000, 20)]
+    assert [len(p) for p in langid.fill(parts, 1000)] == [6, 11, 901, 21]
+    assert langid.fill(parts, 100_000) == parts
+    assert langid.fill([b"y" * 50], 10) == [b"y" * 50]
 
 
-def test_language_dictionary_has_all_sampled(spark):
+def test_language_learns_whole_texts(spark):
+    """A sampled text is in the dictionary from its first to its last word or not at all, and the dictionary has as many as there is room for."""
     ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
     marks = {i: "q" + "".join(chr(97 + int(c)) for c in str(i)) + "q" for i in ids}
-    learned = langid.dictionaries(table(spark, [(i, f"{marks[i]} " * 800, "en", "s", 1) for i in ids]))["en"]
-    assert len(learned) <= langid.DICTIONARY
-    assert all(f" {m} ".encode() in learned for m in marks.values())
+    data = [(i, f"{marks[i]} " * 800, "en", "s", 1) for i in ids] + [(1000 + i, "lang " * 9000 + f"z{i}", "xx", "s", 1) for i in range(12)]
+    learned = langid.dictionaries(table(spark, data))
+    assert len(learned["en"]) <= langid.DICTIONARY
+    words = collections.Counter(learned["en"].split())
+    assert set(words.values()) == {800}
+    assert len(learned["en"]) + 800 * 5 > langid.DICTIONARY
+    assert learned["xx"].count(b"lang ") == 9000  # only long texts: one of them, whole
+
+
+def test_caches_are_bounded(monkeypatch):
+    monkeypatch.setattr(token_count, "WORDS_KEPT", 5)
+    monkeypatch.setattr(packing, "WORDS_KEPT", 5)
+    rng = random.Random(6)
+    texts = [prose(rng, 8) + " " + "verylong" * 40 + " end" for _ in range(6)]
+    counter = token_count.Counter(token_count.vocabulary(tokenizer_path("piece_bpe_32k.model")))
+    whole = token_count.counter(tokenizer_path("piece_bpe_32k.model"))
+    for t in texts:
+        assert counter.count(t)[1] == whole.count(t)[1]
+        assert len(counter) <= 5
+        assert max(map(len, counter)) <= token_count.LONGEST_KEPT
+    path = tokenizer_path("byte_bpe_50k.json")
+    ids = packing.WordIds(path, path.removesuffix(".json") + ".tiktoken")
+    assert list(ids.of(texts)) == [ids.whole(t) for t in texts]
+    assert not any("verylong" in w for w in ids)
+    assert list(packing.WordIds(path, "/no/such.file").of(texts)) == [ids.whole(t) for t in texts]
