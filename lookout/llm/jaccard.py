@@ -12,7 +12,8 @@ A document's set is its distinct shingles of `words` words.  Two documents link
 3. Nodes that share a prefix shingle meet in that shingle's group.  First every one is compared with one of the group alone, which
    costs a row for each; verified links are closed to components.  Then pairs from different components of a group are compared, as
    others can't change the result; groups over SPLIT nodes are compared block by block, spread over tasks.
-4. Verification is exact, on whole texts: the two shingle sets are intersected.
+4. Verification is exact, on whole texts: the two shingle sets are intersected.  Of a pair the one with more partners is the head; a head's partners
+   are dealt into chunks of about CHUNK, and its text is sent once to each, so a head with any number of partners is spread over tasks.
 
 Shingles are 64-bit hashes of their words' hashes; sets are told apart by 128 bits.
 """
@@ -28,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from lookout.llm.common import PLAIN_CODES, WordHasher, materialise, mix, prepare, shared_sketch, texts
+from lookout.llm.common import PLAIN_CODES, WORD, WordHasher, free_names, materialise, mix, prepare, shared_sketch, temporary, texts, tidy
 
-SKETCH_BITS, SPLIT = 22, 8000
+SKETCH_BITS, SPLIT, CHUNK = 22, 8000, 256
 #: Extra prefix shingles of every node, and for each doubling of its estimated candidates beyond CHEAP of them.
 EXTRA, STEP, CHEAP = 16, 4, 8
 
@@ -112,7 +113,7 @@ def _nodes(docs: DataFrame, words: int, percent: int) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.bool_()), strict=True)], ["doc_id", "n", "key", "prefix", "mark", "costly"])
 
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, mark binary, costly boolean"), "shingle-sets")
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, n long, key binary, prefix array<long>, mark binary, costly boolean"), "shingle-sets")
 
 
 def _met(postings: DataFrame, percent: int, partitions: int) -> DataFrame:
@@ -186,6 +187,7 @@ def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
     """met(shingle, part, block, key, n, pos, mark, comp), by group and part: pairs of different components that may link."""
 
     def pairs(rows: list[tuple]) -> tuple[list, list]:
+        rows.sort(key=lambda r: r[4])  # by size, so that the sizes that may link are a stretch
         n, pos = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
         comp = np.unique([r[7].hex() for r in rows], return_inverse=True)[1]
         block = np.array([r[2] for r in rows])
@@ -193,15 +195,17 @@ def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
         if comp.max(initial=0) == 0:
             return left, right
         two_blocks = len(set(block.tolist())) > 1
-        marks = [unmark(r[6]) for r in rows]
+        upto = np.searchsorted(n, n * 100 // percent, "right")
         for i in range(len(rows) - 1):
-            js = np.arange(i + 1, len(rows))
+            js = np.arange(i + 1, upto[i])
             o = overlap(n[i], n[js], percent)
-            ok = (comp[js] != comp[i]) & (o <= np.minimum(n[i], n[js])) & (np.minimum(n[i] - pos[i], n[js] - pos[js]) >= o)
+            ok = (comp[js] != comp[i]) & (o <= n[i]) & (np.minimum(n[i] - pos[i], n[js] - pos[js]) >= o)
             if two_blocks:
                 ok &= block[js] != block[i]
-            for j in js[ok].tolist():
-                if shares_enough(marks[i], rows[i][4], marks[j], rows[j][4], percent):
+            js = js[ok].tolist()
+            mark = unmark(rows[i][6]) if js else None
+            for j in js:
+                if shares_enough(mark, rows[i][4], unmark(rows[j][6]), rows[j][4], percent):
                     a, b = sorted((rows[i][3], rows[j][3]))
                     left.append(a), right.append(b)
         return left, right
@@ -227,7 +231,7 @@ def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
     return ordered.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, partitions: int) -> DataFrame:
     """The pairs (a, b) of set keys that link, by their whole texts."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key"))
     sketch = shared_sketch(needed, lambda batch: np.frombuffer(b"".join(k[:8] for k in batch.column(0).to_pylist()), ">u8").astype(np.uint64), SKETCH_BITS)
@@ -248,23 +252,31 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
                         keys.append(key), packed.append(pack(text.encode()))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], ["key", "packed"])
 
-    found = materialise(docs.select("text").mapInArrow(pick, "key binary, packed binary").groupBy("key").agg(F.first("packed").alias("packed")), "needed-texts")
+    found = docs.select("text").mapInArrow(tidy(pick), "key binary, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
+    partners = needed.groupBy("key").agg(F.count("*").alias("n"))
+    both = pairs.join(partners.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(partners.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
+    by_a = F.col("na") >= F.col("nb")
+    turned = both.select(F.when(by_a, F.col("a")).otherwise(F.col("b")).alias("head"), F.when(by_a, F.col("b")).otherwise(F.col("a")).alias("key"), F.ceil(F.greatest("na", "nb") / CHUNK).alias("chunks"))
+    turned = materialise(turned.select("head", F.pmod(F.xxhash64("key"), F.col("chunks")).alias("chunk"), "key"), "turned-pairs")
+    members = turned.select("head", "chunk", "key", F.lit(False).alias("is_head")).union(turned.select("head", "chunk", F.col("head").alias("key"), F.lit(True)).distinct())
 
     def run(batches):
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
+        s = None
         for batch in batches:
-            kept, before, s = [], None, None
-            for i, (a, x, y) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                if a != before:
-                    before, s = a, shingles(unpack(x).decode(), words)
-                if linked(s, shingles(unpack(y).decode(), words), percent):
+            kept = []
+            for i, (is_head, packed) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                own = shingles(unpack(packed).decode(), words)
+                if is_head:
+                    s = own
+                elif linked(s, own, percent):
                     kept.append(i)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(kept, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
 
-    left, right = found.select(F.col("key").alias("a"), F.col("packed").alias("x")), found.select(F.col("key").alias("b"), F.col("packed").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    ordered = members.join(found, "key").repartition(partitions, "head", "chunk").sortWithinPartitions("head", "chunk", F.desc("is_head"))
+    return ordered.select("head", "key", "is_head", "packed").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -290,39 +302,43 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def set_components(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
-    """The documents' sets (doc_id, n, key) and, for keys that link to another set, their component (key, comp)."""
+    """The documents' sets (doc_id, n, key) and, for keys that link to another set, their component (key, comp).  Both are tables; all others go."""
     spark = docs.sparkSession
     prepare(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets = _nodes(docs, words, percent)
-    nodes = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    postings = nodes.select("key", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    met = materialise(_met(postings, percent, partitions), "met")
-    marks = materialise(sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("costly").alias("costly")), "marks")
-
-    # each with its group's pivot
-    pivots = met.where("near").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    tried = materialise(_filtered(pivots, marks, percent), "pivot-pairs")
-    first = materialise(_verify(tried, docs, words, percent), "links")
-    comps = components(first)
-
-    # pairs of different components
-    about = marks.where("costly").select("key", "mark").join(comps, "key", "full")  # in a group only costly nodes bring their marks
-    big = met.groupBy("shingle").agg(F.count("*").alias("size")).where(F.col("size") > SPLIT).withColumn("blocks", F.ceil(F.col("size") / SPLIT).cast("int"))
-    rows = met.select("shingle", "key", "n", "pos").join(big.select("shingle", "blocks"), "shingle", "left").join(about, "key", "left")
-    rows = rows.withColumn("comp", F.coalesce("comp", "key")).withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(j, F.col("block")) * F.col("blocks") + F.greatest(j, F.col("block")))
-    cross = _cross_pairs(rows.withColumn("part", F.explode(parts)), percent, partitions)
-    cross = materialise(_filtered(cross, marks, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
-    second = materialise(_verify(cross, docs, words, percent), "links")
-    return sets.select("doc_id", "n", "key"), components(first.union(second))
+    with temporary(spark) as keep:
+        sets = _nodes(docs, words, percent)
+        nodes = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        postings = nodes.select("key", "n", F.posexplode("prefix").alias("pos", "shingle"))
+        met = materialise(_met(postings, percent, partitions), "met")
+        marks = materialise(sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("costly").alias("costly")), "marks")
+
+        # each with its group's pivot
+        pivots = met.where("near").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+        tried = materialise(_filtered(pivots, marks, percent), "pivot-pairs")
+        first = materialise(_verify(tried, docs, words, percent, partitions), "links")
+        comps = materialise(components(first), "components")
+
+        # pairs of different components
+        about = marks.where("costly").select("key", "mark").join(comps, "key", "full")  # in a group only costly nodes bring their marks
+        big = met.groupBy("shingle").agg(F.count("*").alias("size")).where(F.col("size") > SPLIT).withColumn("blocks", F.ceil(F.col("size") / SPLIT).cast("int"))
+        rows = met.select("shingle", "key", "n", "pos").join(big.select("shingle", "blocks"), "shingle", "left").join(about, "key", "left")
+        rows = rows.withColumn("comp", F.coalesce("comp", "key")).withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(j, F.col("block")) * F.col("blocks") + F.greatest(j, F.col("block")))
+        cross = _cross_pairs(rows.withColumn("part", F.explode(parts)), percent, partitions)
+        cross = materialise(_filtered(cross, marks, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
+        second = materialise(_verify(cross, docs, words, percent, partitions), "links")
+        of = keep(materialise(components(first.union(second)), "components"))
+        slim = keep(materialise(sets.select("doc_id", "n", "key"), "sets"))
+    return slim, of
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, for each document.
 
     A null text or one without words has an empty set and is linked with nothing: it is its own component, also beside equal ones.
-    Repeated rows have equal sets.  Null doc_ids link like others; a component of null ids alone has a null id.
+    Repeated rows have equal sets.  Null doc_ids link like others; a component of null ids alone has a null id.  Very long texts are compared
+    whole; other columns don't matter; an empty table gives no rows.
     """
     sets, comps = set_components(docs, words, percent)
     lowest = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("least")).join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
@@ -332,26 +348,30 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
 
 
 def keep_one(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of docs without those of which another of their component stays: the one with the smallest doc_id.
+    """The rows of docs without those of which another of their component stays: the one with the smallest doc_id (null last).
 
-    Documents with an empty set all stay.  Of repeated rows one stays.
+    Documents with an empty set (a null or empty text, or one without words) all stay.  Of repeated rows one stays, as of rows that share doc_id and set; ties between null ids go to the least set.
+    Nulls in other columns don't matter, columns of any name are kept, and an empty table stays empty.  Texts are shuffled once, to meet the decisions.
     """
     columns = docs.columns
+    set_key_, set_id, doc = free_names(columns, "set_key", "set_id", "set_doc")
     sets, comps = set_components(docs, words, percent)
     sets = sets.where(F.col("key").isNotNull())
     one = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key"))
     by_set = sets.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id")).alias("low")).join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    stays = by_set.select("comp", F.col("low.doc_id").alias("doc_id"), "key").groupBy("comp").agg(one.alias("s")).select("s.doc_id", "s.key")
+    stays = by_set.select("comp", F.col("low.doc_id").alias("doc_id"), "key").groupBy("comp").agg(one.alias("s")).select(F.col("s.doc_id").alias(set_id), F.col("s.key").alias(set_key_))
+
+    at = [c.lower() for c in columns].index("text")
 
     def keyed(batches):
         for batch in batches:
-            keys = [set_key(s) if len(s) else None for s in (shingles(t, words) for t in texts(batch))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "_set_key"])
+            keys = [set_key(s) if len(s) else None for s in (shingles(t or "", words) for t in batch.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, set_key_])
 
-    rows = docs.mapInArrow(keyed, StructType([*docs.schema.fields, StructField("_set_key", BinaryType())]))
-    stays = stays.select(F.col("key").alias("_set_key"), F.col("doc_id").alias("_set_id"))
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    rows = docs.where(has_words).mapInArrow(tidy(keyed), StructType([*docs.schema.fields, StructField(set_key_, BinaryType())])).withColumn(doc, F.col("doc_id").cast("long"))
     repeated = sets.groupBy("doc_id", "key").agg(F.count("*").alias("c")).where("c > 1").limit(1).count() > 0
-    kept = rows.where(F.col("_set_key").isNotNull()).join(stays, "_set_key").where(F.col("doc_id").eqNullSafe(F.col("_set_id")))
+    kept = rows.join(stays, set_key_).where(F.col(doc).eqNullSafe(F.col(set_id)))
     if repeated:
-        kept = kept.dropDuplicates(["_set_key"])
-    return kept.select(columns).union(rows.where(F.col("_set_key").isNull()).select(columns))
+        kept = kept.dropDuplicates([set_key_])
+    return kept.select(columns).union(docs.where(~has_words))

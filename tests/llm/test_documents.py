@@ -309,6 +309,26 @@ def test_keep_one(spark):
     assert kept.columns == table(spark, data).columns
 
 
+def test_hot_heads_are_spread(spark, monkeypatch):
+    """A text with many partners is verified chunk by chunk: the links are the same."""
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    data = near_copies()
+    got = jaccard.jaccard_components(table(spark, data)).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(data)
+
+
+def test_keep_one_with_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    data = rows()
+    odd = table(spark, data).withColumns({c: F.lit("x") for c in ("_set_key", "SET_KEY", "set_id", "set_doc", "_set_id", "comp", "n")})
+    kept = jaccard.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted(map(repr, kept.select("doc_id", "text").collect())) == sorted(map(repr, jaccard.keep_one(spark.createDataFrame(data, SCHEMA)).select("doc_id", "text").collect()))
+    assert kept.where("set_key <> 'x' or set_id <> 'x'").count() == 0
+    assert jaccard.keep_one(odd.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_best_fit_plan(seed):
     import bisect
