@@ -1,30 +1,37 @@
 """I-Match document fingerprints with randomised lexicon subsets.
 
-A term is a run of letters and digits, in lower case (A-Z).  The lexicon is the terms whose inverse document frequency lies in a band.
-Document frequencies are counted over all documents in a sketch of 2**SKETCH_BITS counters, whose size doesn't depend on the
-corpus; other terms that share a counter can only raise a count, by about (all terms of all documents) / 2**SKETCH_BITS, which stays far below the band's
-lower bound, a share of the documents.  A document keeps its distinct terms in the lexicon, sorted, and hashes those that
-fall into each of SUBSETS random subsets of the lexicon.  The share of the lexicon in a subset is 2**-level, with the level
-at which a subset keeps one or two of the document's terms, and the next; so a fingerprint has both levels' hashes, and the likeness
-of two is the share of equal hashes on the levels they have in common, without subsets that keep nothing of either.
+A term is a run of letters and digits, in lower case (A-Z).  The lexicon is the terms whose inverse document frequency lies in a band, by
+exact counts over all documents: tasks add up the terms of their documents, and what is shuffled is one number for each term of a task.
+A document keeps its distinct terms in the lexicon, sorted, and hashes those that fall into each of SUBSETS random subsets of the lexicon.
+A document without a term in the band keeps all its terms.
+
+The subsets are nested: a document uses those that have 2**-level of the lexicon, level being where a subset keeps one or two of its terms, and
+the next ones, half as large.  So a fingerprint has both levels' hashes, and the likeness of two is the share of equal hashes on the levels they have in
+common, without subsets that keep nothing of either.  Subsets this small are what lets a text that is a third different share hashes at all; of
+large fixed subsets, each of which loses its hash with one term, it would share none.  In this the hashes are close to sampled minima.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.common import TERM_CODES, WordHasher, mix, prepare, shared_sketch, texts
+from lookout.llm.common import TERM_CODES, WordHasher, materialise, mix, prepare, temporary, texts, tidy
 
 #: The band, as shares of all documents that hold a term: idf = -ln(share).
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.05
-SUBSETS, SKETCH_BITS, ROWS_A_BUCKET = 32, 22, 2000
+SUBSETS, ROWS_A_BUCKET = 32, 2000
+#: Terms that a task adds up before it hands their counts on.
+TERMS_AT_ONCE = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+TOP = (1 << 63) - 1
 
 
 @functools.cache
@@ -43,15 +50,14 @@ def terms(text: str) -> np.ndarray:
 
 
 class Lexicon:
-    """Which terms lie in the band; `sketch` counts documents by the upper bits of a term's hash."""
+    """Which terms lie in the band; `inside` has their hashes, sorted."""
 
-    def __init__(self, sketch: np.ndarray, n_docs: int, least: float = LEAST_SHARE, most: float = MOST_SHARE):
-        self.sketch, self.low, self.high = sketch, least * n_docs, max(most * n_docs, 1)
-        self.shift = np.uint64(64 - (len(sketch).bit_length() - 1))
+    def __init__(self, inside: np.ndarray):
+        self.inside = inside
 
     def keep(self, found: np.ndarray) -> np.ndarray:
-        counts = self.sketch[(found >> self.shift).astype(np.int64)]
-        kept = found[(counts >= self.low) & (counts <= self.high)]
+        at = np.searchsorted(self.inside, found)
+        kept = found[(at < len(self.inside)) & (self.inside[np.minimum(at, len(self.inside) - 1)] == found)] if len(self.inside) else found[:0]
         return kept if len(kept) else found  # a text with no term in the band keeps all
 
 
@@ -93,12 +99,63 @@ def likeness(a: str, b: str) -> float:
     return same / total if total else 0.0
 
 
-def lexicon_of(docs: DataFrame, n_docs: int) -> tuple[np.ndarray, int]:
-    def keys(batch) -> np.ndarray:
-        found = [terms(t) for t in texts(batch)]
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+def lexicon_of(docs: DataFrame, n_docs: int, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> np.ndarray:
+    """The hashes of all terms that `least` to `most` of the documents hold (an upper bound under one document counts as one), sorted.
 
-    return shared_sketch(docs.select("text"), keys, SKETCH_BITS), n_docs
+    They number (distinct terms of a document, on average) / least at most, however many documents there are.
+    """
+
+    def count(batches):
+        terms_, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(terms_.view(np.int64)), pa.array(counts)], ["term", "n"])
+
+        for batch in batches:
+            every = np.concatenate([terms_, *(terms(t) for t in texts(batch))])
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            n = np.concatenate([counts, np.ones(len(every) - len(counts), np.int64)])[order]
+            first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+            terms_, counts = every[first], np.add.reduceat(n, first) if len(first) else counts
+            if len(terms_) > TERMS_AT_ONCE:
+                yield rows()
+                terms_, counts = terms_[:0], counts[:0]
+        yield rows()
+
+    total = docs.select("text").mapInArrow(tidy(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    band = total.where((F.col("n") >= least * n_docs) & (F.col("n") <= max(most * n_docs, 1))).select("term").toArrow()
+    return np.sort(band.column(0).to_numpy().view(np.uint64))
+
+
+def edges_of(rows: DataFrame) -> list[tuple[int, int]]:
+    """The greatest (key, tie) of each of the ranges, of about ROWS_A_BUCKET rows(key, tie), that have rows.  A key with more rows is split by its ties.
+
+    Cuts are quantiles, which needn't be exact; the greatest rows under them are.
+    """
+    ranges = max(1, min(100_000, rows.count() // ROWS_A_BUCKET))
+
+    def shares(n: int):
+        return F.array(*[F.lit((i + 1) / n) for i in range(n)])
+
+    times = Counter(rows.agg(F.percentile_approx("key", shares(ranges), F.lit(max(10_000, 20 * ranges))).alias("b")).first()["b"] or [])
+    cuts = {(k, TOP) for k in times}
+    for bits in {n.bit_length() for n in times.values() if n > 2}:
+        hot = [k for k, n in times.items() if n > 2 and n.bit_length() == bits]
+        found = rows.where(F.col("key").isin(hot)).groupBy("key").agg(F.percentile_approx("tie", shares(1 << bits), F.lit(10_000 + (20 << bits))).alias("b"))
+        cuts |= {(r["key"], t) for r in found.collect() for t in r["b"]}
+    ordered = sorted(cuts)
+
+    def tops(batches):
+        best: dict[int, tuple[int, int]] = {}
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = bisect.bisect_left(ordered, row)
+                best[at] = max(best.get(at, row), row)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([*best], [k for k, _ in best.values()], [t for _, t in best.values()])], ["range", "key", "tie"])
+
+    top = rows.select("key", "tie").mapInArrow(tops, "range long, key long, tie long").groupBy("range").agg(F.max(F.struct("key", "tie")).alias("top")).select("top.*").collect()
+    return sorted((r["key"], r["tie"]) for r in top)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -106,35 +163,33 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The order is by descending doc_id (null last; repeated ids by a hash of the text); the edited text has its last floor(n_chars / 3)
     code points replaced by the first as many (or all) of the next document, after the last: the first.  A single document is its own next.
-    A null text is empty: its fingerprint is empty, and it is like only another one.  Equal texts have equal fingerprints.
+    A null text is empty: its fingerprint is empty, and it is like only another one.  Equal texts have equal fingerprints.  Very long texts are
+    read whole; rows that agree in doc_id and text may stand in each other's place; other columns don't matter; an empty table gives no rows.
 
-    Documents are dealt by ranges of doc_id, so that a range's rows can be read in order; the first document of the range
+    Documents are dealt by ranges of (doc_id, hash of the text), so that a range's rows can be read in order; the first document of the range
     after it comes along as a guest.
     """
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"))
-    n_docs = rows.count()
-    ranges = max(1, min(100_000, n_docs // ROWS_A_BUCKET))
-    shares = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges)]) if ranges < 2000 else F.transform(F.sequence(F.lit(1), F.lit(ranges)), lambda i: i / ranges)
-    bounds = rows.agg(F.percentile_approx("key", shares, F.lit(max(10_000, 20 * ranges))).alias("b"), F.max("key").alias("top")).first()  # keys that occur
-    edges = np.unique(np.array([*(bounds["b"] or []), bounds["top"] if bounds["top"] is not None else 0], np.int64))
-    shared = spark.sparkContext.broadcast((edges, *lexicon_of(rows, n_docs)))  # at most 100,000 edges and 4 * 2**SKETCH_BITS bytes
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), F.xxhash64(text).alias("tie"))
+    with temporary(spark):
+        edges = edges_of(materialise(rows.select("key", "tie"), "document-keys"))
+    shared = spark.sparkContext.broadcast((edges, lexicon_of(rows, rows.count())))  # some 100,000 edges at most, and the lexicon, as small as it says
 
     def deal(batches):
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
-        edges, sketch, n = shared.value
-        lexicon = Lexicon(sketch, n)
+        edges, inside = shared.value
+        lexicon = Lexicon(inside)
         for batch in batches:
-            key = batch.column(2).to_numpy()
-            home = np.searchsorted(edges, key, "left")
             out = []
-            for doc_id, text, k, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), key.tolist(), home.tolist(), strict=True):
-                row = (doc_id, k, text_tie(text), len(text), fingerprint(text, lexicon), pack(text.encode()))
+            for doc_id, text, k, tie in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = bisect.bisect_left(edges, (k, tie))
+                row = (doc_id, k, tie, len(text), fingerprint(text, lexicon), pack(text.encode()))
                 out.append((at, False, *row))
-                if k == edges[at]:  # the first of its range: the one before it may be the last of another
+                if (k, tie) == edges[at]:  # the first of its range: the one before it may be the last of another
                     out.append(((at + 1) % len(edges), True, *row))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)] if out else [pa.array([], t) for t in (pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())], ["range", "guest", "doc_id", "key", "tie", "n_chars", "fingerprint", "packed"])
 
@@ -142,8 +197,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        _, sketch, n = shared.value
-        lexicon = Lexicon(sketch, n)
+        lexicon = Lexicon(shared.value[1])
         before = None
         for batch in batches:
             out = []
@@ -159,13 +213,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()), strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    dealt = rows.mapInArrow(deal, "range int, guest boolean, doc_id long, key long, tie long, n_chars long, fingerprint string, packed binary")
+    dealt = rows.mapInArrow(tidy(deal), "range int, guest boolean, doc_id long, key long, tie long, n_chars long, fingerprint string, packed binary")
     ordered = dealt.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "range").sortWithinPartitions("range", "guest", F.desc("key"), F.desc("tie"))
-    return ordered.mapInArrow(edit, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.mapInArrow(tidy(edit), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def text_tie(text: str) -> int:
-    """A signed 64-bit hash of the text, for the order of repeated doc_ids."""
+    """The signed 64-bit hash of the text that orders repeated doc_ids, as xxhash64() of Spark gives it."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+    n = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return n - (1 << 64) if n > TOP else n

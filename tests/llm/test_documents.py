@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -51,7 +52,7 @@ def test_fingerprints(docs):
 
 def test_likeness_tells_edits_from_others():
     rng = random.Random(3)
-    lexicon = fingerprints.Lexicon(np.ones(1 << 10, np.uint32), 100, 0.0, 1.0)
+    lexicon = fingerprints.Lexicon(np.zeros(0, np.uint64))  # without a term in the band all are kept
     long = lambda: " ".join(f"w{rng.randint(0, 100_000)}" for _ in range(300))
     for _ in range(20):
         a, b = long(), long()
@@ -61,6 +62,85 @@ def test_likeness_tells_edits_from_others():
         assert fingerprints.likeness(mark, mark) == 1
 
 
+def mixed(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+    return x ^ (x >> 31)
+
+
+def brute_terms(text):
+    """term -> its hash."""
+    found = set(re.findall(rb"[a-z0-9\x80-\xff]+", text.encode().lower()))
+    return {w: int(fingerprints.hasher()(w)[0]) for w in found}
+
+
+def brute_fingerprint(text, band):
+    """Two levels of hashes, in plain numbers."""
+    own = brute_terms(text)
+    kept = sorted({h for w, h in own.items() if w in band} or set(own.values()))
+    if not kept:
+        return None
+    level = 1
+    while 2 ** (level + 1) <= len(kept):
+        level += 1
+    factors = [int(x) for x in fingerprints._multipliers()[:, 0]]
+    out = {}
+    for one in (level, level + 1):
+        for k, factor in enumerate(factors):
+            chosen = [h for h in kept if h * factor % 2**64 < 2 ** (64 - one)]
+            total = sum(mixed((h + 0x9E3779B97F4A7C15 * (i + 1)) % 2**64) for i, h in enumerate(chosen))
+            out[one, k] = mixed(total % 2**64) % 0xFFFF + 1 if chosen else 0
+    return out
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    both = [k for k in a if k in b and (a[k] or b[k])]
+    return sum(a[k] == b[k] for k in both) / len(both) if both else 0.0
+
+
+def test_fingerprints_by_brute_force(spark):
+    """Over rows with terms in and outside the band, against exact counts and plain numbers; documents are dealt by many small ranges, null ids by several."""
+    rng = random.Random(11)
+    common = [f"common{i}" for i in range(5)]
+    data = [(i if i % 4 else None, " ".join([*rng.choices([f"Term{k}" for k in range(400)], k=rng.randint(1, 60)), *common, f"only{i}"]) + rng.choice([".", " é!", ""]), None, None, 0) for i in range(150)]
+    data += [(1000, None, None, None, None), (1001, "", None, None, 0), (1002, "common1 common2", None, None, 0), (None, data[0][1], None, None, 0)]
+    old = fingerprints.ROWS_A_BUCKET
+    fingerprints.ROWS_A_BUCKET = 7
+    try:
+        got = fingerprints.fingerprints(table(spark, data)).collect()
+    finally:
+        fingerprints.ROWS_A_BUCKET = old
+    n = collections.Counter(w for r in data for w in brute_terms(r[1] or ""))
+    band = {w for w, c in n.items() if fingerprints.LEAST_SHARE * len(data) <= c <= max(fingerprints.MOST_SHARE * len(data), 1)}
+    assert 0 < len(band) < len(n)
+    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, fingerprints.text_tie(r[1] or "")), reverse=True)
+    want = collections.Counter()
+    for i, r in enumerate(order):
+        text, after = r[1] or "", order[(i + 1) % len(order)][1] or ""
+        cut = len(text) // 3
+        own, edited, other = (brute_fingerprint(t, band) for t in (text, text[: len(text) - cut] + after[:cut] if cut else text, after))
+        want[r[0], len(text), round(brute_likeness(own, edited), 9), round(brute_likeness(own, other), 9)] += 1
+    assert collections.Counter((r.doc_id, r.n_chars, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == want
+    by_text = {r[1] or "": brute_fingerprint(r[1] or "", band) for r in data}
+    of = collections.defaultdict(set)
+    for r in data:
+        of[r[0]].add(r[1] or "")
+    for r in got:
+        if len(of[r.doc_id]) == 1:
+            (text,) = of[r.doc_id]
+            plain = by_text[text]
+            if plain is None:
+                assert r.fingerprint == ""
+            else:
+                level, digits = r.fingerprint.split(":")
+                assert [int(digits[4 * i : 4 * i + 4], 16) for i in range(2 * fingerprints.SUBSETS)] == [plain[k] for k in sorted(plain)]
+                assert int(level) == min(k for k, _ in plain)
+
+
 def measures(text):
     w = WORD.findall(text)
     n = collections.Counter(zip(w, w[1:], w[2:], strict=False))
