@@ -3,17 +3,18 @@
 A node with k leaves is split at the key where floor(k / 2) of its k leaves' bytes are reached, along the metadata
 dimension in which its documents are spread widest (of the whole table's spread).  The weighted quantile is exact and distributed:
 a radix select over 63-bit keys, 16 bits a round, all nodes of a level at once; each round is one aggregate with map-side sums.
-Keys are (dimension, hash of the text), and by default the dimensions depend on the text alone, so equal texts stay together;
-only a group of equal texts over `tolerance` of a leaf's bytes is cut, by a hash of doc_id.
-The driver holds the tree alone.
+Keys are (dimension, hash of the text), and by default the dimensions depend on the text alone, so equal texts stay together: they go to the side that comes nearer,
+and the leaves are then shared out by the bytes of the sides.  Only a group of equal texts that doesn't fit a leaf is cut, by a hash of doc_id.
+The driver holds the tree alone: a row for each node, which plans join as a table, broadcast only where Spark finds it small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lookout.llm.common import materialise, offsets_within, prepare
+from lookout.llm.common import materialise, offsets_within, prepare, temporary
 
 DIGIT = 16
 TOP = (1 << 63) - 1
@@ -26,12 +27,9 @@ def text_dimensions(text: Column, size: Column) -> dict[str, Column]:
     return {"length": F.log2(size.cast("double")), "spacing": spaces / (chars + 1), "beyond_ascii": (F.octet_length(text) - chars) / (chars + 1)}
 
 
-def _literal(values: list[int]) -> Column:
-    return F.array(*[F.lit(int(v)).cast("long") for v in values])
-
-
-def _at(values: list[int], index: Column) -> Column:
-    return F.element_at(_literal(values), (index + 1).cast("int"))
+def _small(spark: SparkSession, **columns: tuple[list, pa.DataType]) -> DataFrame:
+    """A table of what the driver knows of each node, with its size known to the planner."""
+    return spark.createDataFrame(pa.table({name: pa.array(values, kind) for name, (values, kind) in columns.items()}))
 
 
 def _select(rows: DataFrame, wanted: dict[int, float]) -> dict[int, tuple[int, int, int]]:
@@ -45,14 +43,12 @@ def _select(rows: DataFrame, wanted: dict[int, float]) -> dict[int, tuple[int, i
         if not state:
             break
         nodes = sorted(state)
-        size = max(nodes) + 1
-        prefix = [state[n][0] if n in state else -1 for n in range(size)]
-        left = F.element_at(F.array(*[F.lit(state[n][1] if n in state else 0.0) for n in range(size)]), (F.col("node") + 1).cast("int"))
+        known = _small(rows.sparkSession, node=(nodes, pa.int64()), prefix=([state[n][0] for n in nodes], pa.int64()), left=([state[n][1] for n in nodes], pa.float64()))
         above = F.shiftright("key", shift + DIGIT) if shift + DIGIT < 64 else F.lit(0).cast("long")
-        sums = rows.where((F.col("node") < size) & (above == _at(prefix, F.col("node")))).groupBy("node", F.shiftright("key", shift).bitwiseAND((1 << DIGIT) - 1).alias("digit")).agg(F.sum("w").alias("w"))
+        sums = rows.join(known, "node").where(above == F.col("prefix")).groupBy("node", "left", F.shiftright("key", shift).bitwiseAND((1 << DIGIT) - 1).alias("digit")).agg(F.sum("w").alias("w"))
         run = Window.partitionBy("node").orderBy("digit")
         reached = sums.withColumn("run", F.sum("w").over(run.rowsBetween(Window.unboundedPreceding, 0))).withColumn("last", F.lead("digit").over(run).isNull())
-        hit = reached.where((F.col("run") >= left) | F.col("last")).groupBy("node").agg(F.min(F.struct("digit", "run", "w")).alias("x")).select("node", "x.*").collect()
+        hit = reached.where((F.col("run") >= F.col("left")) | F.col("last")).groupBy("node").agg(F.min(F.struct("digit", "run", "w")).alias("x")).select("node", "x.*").collect()
         new = {}
         for r in hit:
             bits, want, below = state[r["node"]]
@@ -63,13 +59,25 @@ def _select(rows: DataFrame, wanted: dict[int, float]) -> dict[int, tuple[int, i
     return {n: (s[0], s[2], at[n]) for n, s in state.items()}
 
 
-def kd_shards(docs: DataFrame, shards: int | None = 40, target_bytes: int | None = None, dimensions=text_dimensions, tolerance: float = 0.01) -> DataFrame:
+def kd_shards(docs: DataFrame, shards: int | None = 40, target_bytes: int | None = None, dimensions=text_dimensions) -> DataFrame:
     """Puts all documents into shards: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     size is the text's UTF-8 bytes (null: none) plus 16.  Without `shards`, as many as target_bytes asks for.  The law is `bytes`; grown_shard is null.
-    slot counts a shard's rows from 0 without gaps.  Null or repeated doc_ids are placed like others; no rows give no rows.
+    slot counts a shard's rows from 0 without gaps.  Null or repeated doc_ids are placed like others, null and empty texts by their 16 bytes; a text longer than a
+    leaf has one to itself as far as others allow; equal texts are in one shard unless all of them are more than a leaf.  Other columns, whatever
+    their names, don't matter; no rows give no rows.
     """
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
+    with temporary(spark) as keep:
+        placed = keep(_placed(docs, shards, target_bytes, dimensions))
+    numbered = offsets_within(placed, ["shard"], ["doc_id", "text_crc32", "size"], None, "slot")
+    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _placed(docs: DataFrame, shards: int | None, target_bytes: int | None, dimensions) -> DataFrame:
+    """doc_id, size, text_crc32 and shard, as a table."""
+    spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"))
     size = (F.octet_length("t") + 16).cast("long")
@@ -88,28 +96,40 @@ def kd_shards(docs: DataFrame, shards: int | None = 40, target_bytes: int | None
     while max(leaves.values()) > 1:
         spread = rows.groupBy("node").agg(F.sum("size").alias("bytes"), *[(F.max(F.col("codes")[i]) - F.min(F.col("codes")[i])).alias(f"s{i}") for i in range(len(d))]).collect()
         found = {r["node"]: r for r in spread if leaves.get(r["node"], 1) > 1}
-        last = max(leaves)
-        widest = [max(range(len(d)), key=lambda i, n=n: found[n][f"s{i}"]) if n in found else 0 for n in range(last + 1)]
-        keyed = rows.withColumn("key", F.shiftleft(F.element_at("codes", (_at(widest, F.col("node")) + 1).cast("int")), 32).bitwiseOR(F.col("text_crc32")))
+        nodes = sorted(found)
+        axis = _small(spark, node=(nodes, pa.int64()), axis=([max(range(len(d)), key=lambda i, n=n: found[n][f"s{i}"]) + 1 for n in nodes], pa.int32()))
+        keyed = rows.join(axis, "node").withColumn("key", F.shiftleft(F.element_at("codes", F.col("axis")), 32).bitwiseOR(F.col("text_crc32")))
         wanted = {n: r["bytes"] * (leaves[n] // 2) / leaves[n] for n, r in found.items()}
         cut = _select(keyed.select("node", "key", F.col("size").alias("w")), wanted)
-        first, second, hot = [TOP] * (last + 1), [TOP] * (last + 1), {}  # so all rows of a leaf go left
+        first, second, left, hot = {}, {}, {}, {}
         for n, (key, below, at) in cut.items():
             first[n] = key
-            if at > tolerance * share:
+            if at > share:
                 hot[n] = wanted[n] - below
             else:
                 second[n] = TOP if below + at - wanted[n] < wanted[n] - below else 0
+                left[n] = below + (at if second[n] else 0)
         if hot:
-            keys = [first[n] if n in hot else -1 for n in range(last + 1)]
-            group = keyed.where(F.col("key") == _at(keys, F.col("node"))).select("node", F.col("second").alias("key"), F.col("size").alias("w"))
+            own = _small(spark, node=([*hot], pa.int64()), first=([first[n] for n in hot], pa.int64()))
+            group = keyed.join(own, "node").where(F.col("key") == F.col("first")).select("node", F.col("second").alias("key"), F.col("size").alias("w"))
             for n, (key, below, at) in _select(group, hot).items():
-                second[n] = key + int(below + at - hot[n] < hot[n] - below)
-        here = F.col("node")
-        goes_left = (F.col("key") < _at(first, here)) | ((F.col("key") == _at(first, here)) & (F.col("second") < _at(second, here)))
-        rows = materialise(keyed.withColumn("node", 2 * here + F.when(goes_left, 0).otherwise(1)).drop("key"), "shard-nodes")  # else the tests of all levels pile up in one expression
-        leaves = {2 * n + side: (m // 2, m - m // 2)[side] if m > 1 else 1 for n, m in leaves.items() for side in (0, 1) if m > 1 or side == 0}
-    numbers = {n: i for i, n in enumerate(sorted(leaves))}
-    rows = rows.select("doc_id", "size", "text_crc32", _at([numbers.get(n, 0) for n in range(max(leaves) + 1)], F.col("node")).cast("int").alias("shard"))
-    placed = offsets_within(rows, ["shard"], ["doc_id", "text_crc32", "size"], None, "slot")
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+                over = below + at - hot[n] < hot[n] - below
+                second[n] = key + int(over)
+                left[n] = wanted[n] - hot[n] + below + (at if over else 0)
+        plan = _small(spark, node=([*first], pa.int64()), first=([*first.values()], pa.int64()), then=([second[n] for n in first], pa.int64()))
+        goes_left = (F.col("key") < F.col("first")) | ((F.col("key") == F.col("first")) & (F.col("second") < F.col("then")))
+        split = keyed.join(plan, "node").withColumn("node", 2 * F.col("node") + F.when(goes_left, 0).otherwise(1))
+        columns = ["doc_id", "size", "text_crc32", "codes", "second", "node"]
+        whole_ones = rows.join(axis, "node", "left_anti").withColumn("node", 2 * F.col("node"))
+        rows = materialise(split.select(columns).unionByName(whole_ones.select(columns)), "shard-nodes")  # else the joins of all levels pile up in one plan
+        new = {}
+        for n, m in leaves.items():
+            if m < 2 or n not in found:
+                new[2 * n] = m if m < 2 else 1
+                continue
+            k_left = min(m - 1, max(1, round(m * left[n] / found[n]["bytes"]))) if n not in hot else m // 2
+            new |= {2 * n: k_left, 2 * n + 1: m - k_left}
+        leaves = new
+    order = sorted(leaves)
+    numbers = _small(spark, node=(order, pa.int64()), shard=([*range(len(order))], pa.int32()))
+    return materialise(rows.join(numbers, "node").select("doc_id", "size", "text_crc32", "shard"), "shards")
