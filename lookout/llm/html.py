@@ -1,7 +1,7 @@
 """Main text of web pages by site template removal.
 
-Every page is parsed to elements; the subtree of every element with text is hashed, whatever it is named and wherever it stands, and Spark counts
-on how many pages of its host each subtree recurs.  Subtrees that recur across many pages of a host are its template and are deleted first.  What tags and class names tell by themselves
+Every page is parsed to elements; the subtree of every element with text is hashed from the bottom up, by its tags and texts (so an id or token in a template
+doesn't hide it), whatever it is named and wherever it stands, and Spark counts on how many pages of its host each subtree recurs.  Subtrees that recur across many pages of a host are its template and are deleted first.  What tags and class names tell by themselves
 (menus, footers, forms, scripts, adverts, comments and the like) goes too; where a page marks an article or main part and that has text left, the text is taken from there.
 No name and no form takes what holds the article, or most of a page without one; a name that only has such a word in it
 (`has-sidebar`) takes nothing by itself, but lets a subtree in an article count as a template at the lower share.
@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import html as entities
 import re
+from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.common import materialise, prepare
+from lookout.llm.common import materialise, prepare, tidy
 
 #: A template recurs on this many distinct pages of the host at least, and on this share of them: in an article, elsewhere.
 MIN_PAGES, ARTICLE_SHARE, OTHER_SHARE = 8, 0.5, 0.1
@@ -48,7 +49,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 
-_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 DOUBTFUL, SURE = 1, 2
@@ -73,37 +74,50 @@ def mark_of(name: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "start", "end", "parent", "mark", "article", "dropped", "main", "heading", "text", "held", "size", "whole", "tagged", "nested", "parts", "block", "gone")
+    __slots__ = ("tag", "parent", "mark", "article", "hash", "dropped", "main", "heading", "in_header", "text", "held", "size", "whole", "tagged", "nested", "parts", "block", "gone")
 
-    def __init__(self, tag, start, parent, mark, article):
+    def __init__(self, tag, parent, mark, article):
         """mark: what its names tell; article: whether it is one, or a main part."""
-        self.tag, self.start, self.end, self.parent, self.mark, self.article = tag, start, -1, parent, mark, article
-        self.dropped = self.main = self.heading = self.text = self.held = self.tagged = self.parts = self.block = self.gone = False
-        self.size = self.whole = self.nested = 0
+        self.tag, self.parent, self.mark, self.article = tag, parent, mark, article
+        self.dropped = self.main = self.heading = self.in_header = self.text = self.held = self.tagged = self.parts = self.block = self.gone = False
+        self.size = self.whole = self.nested = self.hash = 0
+
+    def take(self, part: int) -> None:
+        """Adds what the element holds next, a text or a subtree, to its hash."""
+        self.hash = (self.hash * 0x9E3779B97F4A7C15 + part + 1) & 0xFFFFFFFFFFFFFFFF
+
+    def close(self) -> None:
+        """Ends the hash, and adds it to that of the element around."""
+        if self.text:
+            self.hash = xxhash.xxh64_intdigest(f"{self.tag} {self.hash}".encode())
+            self.parent.take(self.hash)
 
     def counted(self) -> bool:
         """Whether the subtree may be a template: not what holds the article, and no empty one."""
         return self.text and not self.held and self.tag not in ("html", "body") and not (self.main and self.article)
 
-    def key(self, page: str) -> int:
-        """A hash of the subtree, with where it stands in the two lowest bits."""
+    def key(self) -> int:
+        """The hash of the subtree, with where it stands in the two lowest bits."""
         if self.dropped:
             place = ELSEWHERE if self.tag in BLOCK else INLINE_DROPPED
         else:
             place = IN_ARTICLE if self.main and self.mark != DOUBTFUL else ELSEWHERE
-        return xxhash.xxh64_intdigest(" ".join(page[self.start : self.end].split()).encode()) >> 3 << 2 | place  # under 2**63
+        return self.hash >> 3 << 2 | place  # under 2**63
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
     """The elements, and the texts in order: each with the element that holds it, and whether a block boundary comes before it."""
-    root = Element("", 0, None, 0, False)
+    root = Element("", None, 0, False)
     elements, pieces, stack, at, boundary = [], [], [root], 0, True
 
-    def close(depth: int, end: int) -> bool:
+    open_ = Counter()
+
+    def close(depth: int) -> bool:
         block = False
         while len(stack) > depth:
             e = stack.pop()
-            e.end = end
+            e.close()
+            open_[e.tag] -= 1
             block |= e.tag in BLOCK
         return block
 
@@ -112,6 +126,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
         if upto > at and (found := page[at:upto]):
             if not found.isspace():
                 e = stack[-1]
+                e.take(xxhash.xxh64_intdigest(" ".join(found.split()).encode()))
                 while e is not None and not e.text:
                     e.text = True
                     e = e.parent
@@ -126,9 +141,9 @@ def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
             continue
         tag = tag.lower()
         if m[2]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_[tag] else ():
                 if stack[depth].tag == tag:
-                    boundary |= close(depth, m.end())
+                    boundary |= close(depth)
                     break
             continue
         boundary |= tag in BLOCK
@@ -140,24 +155,25 @@ def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
                 if stack[depth].tag in stop:
                     break
                 if stack[depth].tag in shut:
-                    close(depth, m.start())
+                    close(depth)
                     break
         elif tag in BLOCK:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    close(depth, m.start())
+                    close(depth)
                     break
                 if stack[depth].tag in BLOCK:
                     break
         names = {w for a, b, c in _NAMES.findall(m[4]) for w in (a or b or c).lower().split()} if m[4] and "=" in m[4] else ()
         mark = max(map(mark_of, names), default=0)
         article = tag in ("article", "main") or "main" in names and "role" in m[4].lower()
-        e = Element(tag, m.start(), stack[-1], SURE if tag == "form" else 0 if tag in PAGE or article else mark, article)
+        e = Element(tag, stack[-1], SURE if tag == "form" else 0 if tag in PAGE or article else mark, article)
         elements.append(e)
         if not m[4].endswith("/") or tag not in ("path",):
             stack.append(e)
+            open_[tag] += 1
     text(len(page))
-    close(0, len(page))
+    close(1)
     settle(root, elements, pieces)
     return elements, pieces
 
@@ -202,22 +218,12 @@ def settle(root: Element, elements: list[Element], pieces: list[tuple[str, Eleme
         e.dropped = not e.held and (up.dropped or by_tag or e.mark == SURE)
         e.main = up.main or (not e.dropped and e.article)
         e.heading = e.tag in HEADINGS or (up.heading and not (e.tag == "header" and not e.dropped))
-
-
-def in_article_header(e: Element | None) -> bool:
-    """Whether e stands in a header of an article, but in none of its headings: of such a header only headings stay."""
-    if e is None or e.heading:
-        return False
-    while e is not None:
-        if e.tag == "header" and not e.held:
-            return True
-        e = e.parent
-    return False
+        e.in_header = up.in_header or (e.tag == "header" and not e.held)
 
 
 def main_text_of(elements: list[Element], pieces: list[tuple[str, Element, bool]]) -> str:
     """The text that templates (`gone`) and names leave: of the article or main part, if that has any."""
-    pieces = [(t, e, b) for t, e, b in pieces if not e.dropped and not in_article_header(e)]
+    pieces = [(t, e, b) for t, e, b in pieces if not e.dropped and (e.heading or not e.in_header)]  # of an article's header only headings stay
     if any(e.main and not e.gone and not t.isspace() for t, e, _ in pieces):
         pieces = [x for x in pieces if x[1].main]
     out = [" " if e.gone else " " + t if boundary else t for t, e, boundary in pieces]
@@ -227,13 +233,13 @@ def main_text_of(elements: list[Element], pieces: list[tuple[str, Element, bool]
 def subtrees(page: str) -> tuple[int, list[int]]:
     """A hash of the main text, and the distinct keys of all subtrees."""
     elements, pieces = parse(page)
-    return xxhash.xxh64_intdigest(main_text_of(elements, pieces).encode()) >> 1, sorted({e.key(page) for e in elements if e.counted()})
+    return xxhash.xxh64_intdigest(main_text_of(elements, pieces).encode()) >> 1, sorted({e.key() for e in elements if e.counted()})
 
 
 def extract(page: str, is_template) -> str:
     elements, pieces = parse(page)
     for e in elements:
-        e.gone = e.parent.gone or (e.counted() and is_template(e.key(page)))
+        e.gone = e.parent.gone or (e.counted() and is_template(e.key()))
     return main_text_of(elements, pieces)
 
 
@@ -254,7 +260,7 @@ def main_text(pages: DataFrame, most_sent: int = MOST_SENT, **options) -> DataFr
     """page_id, url, text and n_chars (code points) for each page.
 
     A null or empty html has an empty text.  Pages with a null or broken url are one host of their own.  Repeated rows give repeated results;
-    equal page_ids don't matter.  Unclosed and wrongly nested tags are closed as browsers mostly do; an unclosed comment or script goes on to the end.
+    equal page_ids don't matter.  Other columns don't matter; an empty table gives no rows; very long pages are read whole, in time that grows with their length.  Unclosed and wrongly nested tags are closed as browsers mostly do; an unclosed comment or script goes on to the end.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -271,7 +277,7 @@ def main_text(pages: DataFrame, most_sent: int = MOST_SENT, **options) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.string(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["host", "main", "hashes"])
 
     kind = "host string, main long, hashes array<long>"
-    keys = materialise(templates(rows.select("url", "html").mapInArrow(look, kind), **options), "templates")
+    keys = materialise(templates(rows.select("url", "html").mapInArrow(tidy(look), kind), **options), "templates")
     schema = "page_id long, url string, text string, n_chars long"
 
     def result(batch, all_texts):
@@ -286,7 +292,7 @@ def main_text(pages: DataFrame, most_sent: int = MOST_SENT, **options) -> DataFr
                 hosts = map(host_of, batch.column(1).to_pylist())
                 yield result(batch, [extract(page, lambda h, host=host: _with_host(h, host) in known) for page, host in zip(batch.column(2).to_pylist(), hosts, strict=True)])
 
-        return rows.mapInArrow(cut, schema)
+        return rows.mapInArrow(tidy(cut), schema)
 
     def name(batches):
         for batch in batches:
@@ -298,11 +304,11 @@ def main_text(pages: DataFrame, most_sent: int = MOST_SENT, **options) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], ["row", "key"])
 
     row = F.xxhash64("url", "html").alias("row")
-    own = rows.select(row, "url", "html").mapInArrow(name, "row long, key long").distinct().join(keys, "key").groupBy("row").agg(F.collect_set("key").alias("keys"))  # no more than a page has elements
+    own = rows.select(row, "url", "html").mapInArrow(tidy(name), "row long, key long").distinct().join(keys, "key").groupBy("row").agg(F.collect_set("key").alias("keys"))  # no more than a page has elements
 
     def cut_own(batches):
         for batch in batches:
             hosts = map(host_of, batch.column(1).to_pylist())
             yield result(batch, [extract(page, lambda h, host=host, known=known: _with_host(h, host) in known) for page, host, known in zip(batch.column(2).to_pylist(), hosts, (set(k or ()) for k in batch.column(3).to_pylist()), strict=True)])
 
-    return rows.withColumn("row", F.xxhash64("url", "html")).join(own, "row", "left").select("page_id", "url", "html", "keys").mapInArrow(cut_own, schema)
+    return rows.withColumn("row", F.xxhash64("url", "html")).join(own, "row", "left").select("page_id", "url", "html", "keys").mapInArrow(tidy(cut_own), schema)

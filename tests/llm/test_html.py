@@ -71,3 +71,29 @@ def test_all_subtrees_are_counted(spark):
     pages += [(p[0], p[1], f"<article><p>{p[3]}</p>{share if p[0] < 10 else ''}</article>", p[3]) for p in site(40, "b.example", 2)]  # a doubtful name on a quarter of the pages
     got = html.main_text(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")).collect()
     assert {r.url: r.text for r in got} == {p[1]: p[3] for p in pages}
+
+
+def test_ids_and_tokens_hide_no_template(spark):
+    """A notice with another id, token and link on each page is found by its tags and texts; with the template step off it stays."""
+    pages = [(p[0], p[1], f"<body><div><p>{p[3]}</p></div><div id='n{p[0]}' data-token='{p[0] * 7919}'><b>Read</b> <a href='/{p[0]}'>our  terms</a></div></body>", p[3]) for p in site(20)]
+    got = html.main_text(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")).collect()
+    assert {r.url: r.text for r in got} == {p[1]: p[3] for p in pages}
+    off = html.main_text(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string"), min_pages=10**9).collect()
+    assert {r.url: r.text for r in off} == {p[1]: f"{p[3]} Read our terms" for p in pages}
+
+
+def test_subtree_hashes():
+    keys = lambda page: html.subtrees(page)[1]
+    assert keys("<div><p>a</p> <i>b</i></div>") == keys("<div class='x'>\n<p id=1>a</p><i title='>'>b</i></div>")
+    assert keys("<div><p>a</p><i>b</i></div>")[0] not in keys("<div><i>b</i><p>a</p></div>") or len(set(keys("<div><p>a</p><i>b</i></div>")) & set(keys("<div><i>b</i><p>a</p></div>"))) == 2
+    one, other = html.parse("<div><p>a</p><p>b</p></div>")[0][0].hash, html.parse("<div><p>b</p><p>a</p></div>")[0][0].hash
+    assert len({one, other, html.parse("<div><p>ab</p></div>")[0][0].hash, html.parse("<div><p><p>a</p>b</div>")[0][0].hash, html.parse("<ul><p>a</p><p>b</p></ul>")[0][0].hash}) == 5
+
+
+@pytest.mark.parametrize("page", ["<i>" * 4000 + "</b>" * 4000 + "deep", "<div><header>" * 2000 + "<p>w</p>" * 4000, "<li>" * 20_000, "<a x=" * 20_000])
+def test_time_grows_with_length(page):
+    import time
+
+    began = time.perf_counter()
+    html.extract(page, lambda h: False)
+    assert time.perf_counter() - began < 5
