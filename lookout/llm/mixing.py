@@ -1,11 +1,15 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 Each source's documents stand on one line in a seeded order, and the line is cut into blocks of equal numbers of words
-(only a source's last block may be shorter).  The blocks the mix takes are seats, dealt to sources by highest quotients
-target / (2k + 1), then likewise to the shards of each source's line, which gives every shard an integer quota.
-In a shard of n blocks a quota q takes each block q div n times, and q mod n of them, picked by a seeded permutation,
-once more.  The driver holds one row for each source and SHARDS rows for each source's line; documents are placed by
-a distributed running sum, and no text is shuffled.
+(only a source's last block may be shorter).  A block has BLOCK_WORDS words; in a source whose target is under 128 such blocks, the largest power of
+two of which it is 128, whatever other sources need.  The blocks the mix takes are seats, dealt to the sources with blocks of one size by highest
+quotients target / (2k + 1), then likewise to the shards of each source's line, which gives every shard an integer quota.
+In a shard of n blocks a quota q takes each block q div n times, and q mod n of them, picked by a seeded permutation, once more.
+
+A block that begins within a document does so where a passage ends (a line or a sentence), if one ends at most half a block away, so
+what is taken of a document is passages, not words out of their midst.  The driver holds one row for each source and SHARDS rows
+for each source's line.  Documents are placed by sums over hash buckets of a line and a running sum in each bucket: op3 runs it
+over sizes alone; to write the mix, texts are dealt once by bucket, and the sum runs over them as they are read.
 """
 
 from __future__ import annotations
@@ -13,16 +17,43 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lookout.llm.common import WORD, materialise, offsets_within, prepare
+from lookout.llm.common import SPACES, WORD, free_names, materialise, offsets_within, prepare, tidy
 
 BLOCK_WORDS, SHARDS, SEED = 256, 64, 17
+#: Rows that a bucket of a line has, about.
+ROWS_A_BUCKET = 5000
+_SPACE, _STOP = (np.isin(np.arange(256), [ord(c) for c in chars]) for chars in (SPACES, ".!?"))
+
+
+def passages(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start, and after how many words a passage ends: with a line, with a word that ends in . ! or ?, or with the text."""
+    a = np.frombuffer(data, np.uint8)
+    space = _SPACE[a]
+    starts = np.flatnonzero(~space & np.append(True, space)[:-1])
+    if not len(starts):
+        return starts, starts
+    ends = np.flatnonzero(~space & np.append(space, True)[1:])
+    lines = np.flatnonzero(a == 10)
+    over = _STOP[a[ends]]
+    over[:-1] |= np.searchsorted(lines, ends[:-1]) < np.searchsorted(lines, starts[1:])
+    over[-1] = True
+    return starts, np.flatnonzero(over) + 1
+
+
+def at_passages(cuts: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
+    """Each of the cuts at the nearest of 0 and the ends that is at most `most` words away, the earlier of two; else where it was."""
+    stops = np.append(0, ends)
+    after = np.searchsorted(stops, cuts, "left").clip(1, len(stops) - 1)
+    lower, upper = stops[after - 1], stops[after]
+    nearest = np.where(cuts - lower <= upper - cuts, lower, upper)
+    return np.where(np.abs(nearest - cuts) <= most, nearest, cuts)
 
 
 def sainte_lague(votes: list[float], seats: int, most: list[int] | None = None) -> list[int]:
@@ -71,14 +102,22 @@ def targets(sizes: list[int], weights=(3, 1, 2), share: float = 1.5, cap: float
     return out
 
 
+def block_words(target: float, most: int = BLOCK_WORDS) -> int:
+    """The words of a block of a source: the largest power of two, `most` at most, of which the target is 128."""
+    return 1 << (max(1, min(most, int(target / 128))).bit_length() - 1)
+
+
 class Plan:
     """For each source (by position in order): its blocks, and how often each of them is taken."""
 
     def __init__(self, sizes: list[int], wanted: list[float], block: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED):
-        least = min((t for t in wanted if t > 0), default=block)
-        self.block = max(1, min(block, int(least / 128)))
-        self.n = [-(-s // self.block) for s in sizes]
-        seats = sainte_lague(wanted, round(sum(wanted) / self.block), [2 * n for n in self.n])
+        self.block = [block_words(t, block) for t in wanted]
+        self.n = [-(-s // b) for s, b in zip(sizes, self.block, strict=True)]
+        seats = [0] * len(sizes)
+        for b in set(self.block):
+            own = [i for i, x in enumerate(self.block) if x == b]
+            for i, q in zip(own, sainte_lague([wanted[i] for i in own], round(sum(wanted[i] for i in own) / b), [2 * self.n[i] for i in own]), strict=True):
+                seats[i] = q
         self.starts, self.base, self.extra, self.a, self.c = [], [], [], [], []
         for i, (n, q) in enumerate(zip(self.n, seats, strict=True)):
             edges = np.unique([j * n // shards for j in range(shards + 1)])
@@ -105,23 +144,26 @@ class Plan:
             place = (i * self.a[source][at] + self.c[source][at]) % n
         return self.base[source][at] + (place < self.extra[source][at])
 
-    def parts(self, source: int, start: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """The words of each block that a document has which begins at `start` on its source's line, and their times."""
-        first, last = start // self.block, (start + size - 1) // self.block
-        blocks = np.arange(first, last + 1)
-        edges = np.clip(np.append(blocks, last + 1) * self.block - start, 0, size)
-        return np.diff(edges), self.times(source, blocks)
+    def parts(self, source: int, start: int, size: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of each block that a document has which begins at `start` on its source's line, and their times.  ends: of its passages."""
+        b = self.block[source]
+        blocks = np.arange(start // b, (start + size - 1) // b + 1)
+        cuts = at_passages(blocks[1:] * b - start, ends, b // 2)
+        return np.diff(np.concatenate([[0], cuts, [size]])), self.times(source, blocks)
+
+
+def text_or_empty() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
 
 
-def with_sizes(docs: DataFrame, names: dict[str, str]) -> DataFrame:
-    """names: the names to give to the size and to the hash of the text that breaks ties."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn(names["size"], F.regexp_count(text, F.lit(WORD)).cast("long")).withColumn(names["tie"], F.xxhash64(text))
+def buckets_for(docs: DataFrame) -> int:
+    """Into how many hash buckets a source's line is dealt: a power of two that grows with the table."""
+    return 1 << max(6, (docs.count() // ROWS_A_BUCKET).bit_length())
 
 
-def plan_for(sized: DataFrame, size: str, **options) -> tuple[list[str | None], list[int], list[float], Plan]:
-    """Sources in order (by code point, null last), their sizes and targets, and the plan.  One row a source is collected."""
-    rows = sized.groupBy("source").agg(F.sum(size).alias("n")).collect()
+def plan_for(sums: DataFrame, **options) -> tuple[list[str | None], list[int], list[float], Plan]:
+    """sums(source, n): sources in order (by code point, null last), their sizes and targets, and the plan.  One row a source is collected."""
+    rows = sums.groupBy("source").agg(F.sum("n").alias("n")).collect()
     rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))
     names, sizes = [r[0] for r in rows], [int(r["n"] or 0) for r in rows]
     wanted = targets(sizes)
@@ -132,64 +174,96 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """For each document: doc_id, source, size, source_size, target (its source's) and taken, the words the mix takes.
 
     A null text has size 0 and nothing is taken from it; a null source is a source, the last; documents with null or
-    repeated doc_ids each count.  An empty table gives no rows.  Reruns agree: order and selection depend on ids, texts and seed.
+    repeated doc_ids each count; very long texts are many blocks; other columns don't matter.  An empty table gives no rows.
+    Reruns agree: order and selection depend on ids, texts and seed.
     """
     prepare(docs.sparkSession)
-    sized = with_sizes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), {"size": "size", "tie": "tie"}).drop("text")
-    sized = materialise(sized, "sizes")
-    names, sizes, wanted, plan = plan_for(sized, "size", **options)
+
+    def measure(batches):
+        for batch in batches:
+            size, packed = [], []
+            for text in batch.column(2).to_pylist():
+                starts, ends = passages(text.encode())
+                size.append(len(starts))
+                packed.append(zlib.compress(np.diff(ends, prepend=0).astype("<u4").tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), batch.column(3), pa.array(packed, pa.binary())], ["doc_id", "source", "size", "tie", "ends"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("tie"))
+    sized = materialise(rows.mapInArrow(tidy(measure), "doc_id long, source string, size long, tie long, ends binary"), "sizes")
+    names, sizes, wanted, plan = plan_for(sized.select("source", F.col("size").alias("n")), **options)
     number = {x: i for i, x in enumerate(names)}
 
     def take(batches):
         for batch in batches:
             cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             who = [number[x] for x in cols["source"].to_pylist()]
-            size, start = cols["size"].to_pylist(), cols["start"].to_pylist()
-            taken = [0 if not n else int(np.dot(*plan.parts(s, at, n))) for s, n, at in zip(who, size, start, strict=True)]
+            taken = []
+            for s, n, at, packed in zip(who, *(cols[c].to_pylist() for c in ("size", "start", "ends")), strict=True):
+                taken.append(int(np.dot(*plan.parts(s, at, n, np.cumsum(np.frombuffer(zlib.decompress(packed), "<u4").astype(np.int64))))) if n else 0)
             yield pa.RecordBatch.from_arrays([cols["doc_id"], cols["source"], cols["size"], pa.array([sizes[s] for s in who], pa.int64()), pa.array([wanted[s] for s in who], pa.float64()), pa.array(taken, pa.int64())], ["doc_id", "source", "size", "source_size", "target", "taken"])
 
-    placed = offsets_within(sized, ["source"], ["doc_id", "tie", "size"], "size", "start")
-    return placed.mapInArrow(take, "doc_id long, source string, size long, source_size long, target double, taken long")
+    placed = offsets_within(sized, ["source"], ["doc_id", "tie"], "size", "start", buckets=buckets_for(sized))
+    return placed.mapInArrow(tidy(take), "doc_id long, source string, size long, source_size long, target double, taken long")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of docs: each document as often as its blocks are taken.
 
     A copy of which all blocks are taken is the document's whole text.  Of others it has the taken blocks' words, in order and
-    with the white space between them; n_chars, where there is one, follows the text.
+    with the white space between them; n_chars, where there is one, follows the text.  What is taken is what mix_sources() says.
+    A null text, an empty one and one without words leave no row.  A null source is a source; null and repeated doc_ids count each, and rows that agree in doc_id
+    and text may stand in each other's place; a very long text is cut like any other; columns of any name are kept; an empty table gives no rows.
+
+    Texts are shuffled once: dealt by source and bucket, in order, each bucket behind a row with the sum that it begins at.
     """
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
     columns = docs.columns
-    word = re.compile(WORD)
-    sized = with_sizes(docs, {"size": "_mix_size", "tie": "_mix_tie"})
-    names, _, _, plan = plan_for(sized, "_mix_size", **options)
+    bucket, tie, at = free_names(columns, "mix_bucket", "mix_tie", "mix_at")
+    dealt = docs.withColumn(tie, F.xxhash64(text_or_empty()))
+    dealt = dealt.withColumn(bucket, F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col(tie)), F.lit(buckets_for(docs))).cast("int"))
+    sums = materialise(dealt.groupBy(F.col("source").cast("string").alias("source"), F.col(bucket).alias("bucket")).agg(F.sum(F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")).alias("n")), "mix-buckets")
+    names, _, _, plan = plan_for(sums, **options)
     number = {x: i for i, x in enumerate(names)}
-
-    def cut(text: str, size: int, keep: list[bool], lengths: list[int]) -> str:
-        spans = [m.span() for m in word.finditer(text)]
-        out, at = [], 0
-        for k, n in zip(keep, lengths, strict=True):
-            if k:
-                out.append(text[spans[at][0] : spans[at + n][0] if at + n < size else len(text)])
-            at += n
-        return "".join(out).rstrip() if not keep[-1] else "".join(out)
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    heads = sums.select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("at"))
+    kinds = {f.name: f.dataType for f in docs.schema}
+    heads = heads.select(*[(F.col("source") if c.lower() == "source" else F.lit(None)).cast(kinds[c]).alias(c) for c in columns], F.lit(None).cast("long").alias(tie), F.col("bucket").alias(bucket), F.col("at").alias(at))
+    place = {c.lower(): i for i, c in enumerate(columns)}
+    counted = place.get("n_chars")
 
     def emit(batches):
+        start = 0
         for batch in batches:
-            cols = dict(zip(batch.schema.names, batch.columns, strict=True))
             rows, new = [], []
-            for i, (source, text, size, start) in enumerate(zip(*(cols[c].to_pylist() for c in ("source", "text", "_mix_size", "_mix_start")), strict=True)):
-                if not size:
+            for i, (source, text, head) in enumerate(zip(*(batch.column(c).to_pylist() for c in (place["source"], place["text"], len(columns))), strict=True)):
+                if head is not None:
+                    start = head
                     continue
-                lengths, times = plan.parts(number[source], start, size)
+                data = (text or "").encode()
+                words, ends = passages(data)
+                if not len(words):
+                    continue
+                lengths, times = plan.parts(number[source if source is None else str(source)], start, len(words), ends)
+                start += len(words)
+                lengths, times = lengths[lengths > 0], times[lengths > 0]
+                edges = np.append(words, len(data))[np.append(0, np.cumsum(lengths))]
                 for copy in range(1, int(times.max()) + 1):
                     keep = times >= copy
                     rows.append(i)
-                    new.append(text if keep.all() else cut(text, size, keep.tolist(), lengths.tolist()))
-            picked = pa.RecordBatch.from_arrays([cols[c] for c in columns], columns).take(pa.array(rows, pa.int64()))
-            fixed = {"text": pa.array(new, pa.string())} | ({"n_chars": pa.array(map(len, new), pa.int64())} if "n_chars" in columns else {})
-            yield pa.RecordBatch.from_arrays([fixed.get(c, picked.column(j)) for j, c in enumerate(columns)], columns)
-
-    placed = offsets_within(sized.withColumnRenamed("doc_id", "_mix_id").withColumn("doc_id", F.col("_mix_id")), ["source"], ["_mix_id", "_mix_tie", "_mix_size"], "_mix_size", "_mix_start")
-    schema = docs.withColumn("n_chars", F.lit(0).cast("long")).schema if "n_chars" in columns else docs.schema
-    return placed.select(*columns, "_mix_size", "_mix_start").mapInArrow(emit, schema)
+                    if keep.all():
+                        new.append(text)
+                    else:
+                        part = b"".join(data[edges[k] : edges[k + 1]] for k in np.flatnonzero(keep))
+                        new.append((part if keep[-1] else part.rstrip()).decode())
+            if not rows:
+                continue
+            picked = batch.take(pa.array(rows, pa.int64()))
+            fixed = {place["text"]: pa.array(new, pa.string())}
+            if counted is not None:
+                fixed[counted] = pa.array(map(len, new), pa.int64()).cast(batch.column(counted).type)
+            yield pa.RecordBatch.from_arrays([fixed.get(j, picked.column(j)) for j in range(len(columns))], columns)
+
+    rows = dealt.withColumn(at, F.lit(None).cast("long")).select(*columns, tie, bucket, at).union(heads)
+    ordered = rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "source", bucket).sortWithinPartitions("source", bucket, F.col(at).isNull(), F.col("doc_id").cast("long"), tie)
+    return ordered.select(*columns, at).mapInArrow(tidy(emit), docs.schema)
