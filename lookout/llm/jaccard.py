@@ -253,7 +253,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, partiti
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], ["key", "packed"])
 
     found = docs.select("text").mapInArrow(tidy(pick), "key binary, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
-    partners = needed.groupBy("key").agg(F.count("*").alias("n"))
+    partners = materialise(needed.groupBy("key").agg(F.count("*").alias("n")), "partners")  # as a table, so that Spark can split a hot key's rows in the joins
     both = pairs.join(partners.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(partners.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
     by_a = F.col("na") >= F.col("nb")
     turned = both.select(F.when(by_a, F.col("a")).otherwise(F.col("b")).alias("head"), F.when(by_a, F.col("b")).otherwise(F.col("a")).alias("key"), F.ceil(F.greatest("na", "nb") / CHUNK).alias("chunks"))
