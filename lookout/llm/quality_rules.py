@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.common import SPACES, WORD
+from lookout.llm.common import SPACES, WORD, materialise
 
 SYMBOLS = "#*$%&|<>"
 #: bit: (name, what fails), over the measurements.  The first two are the base rules of every policy.
@@ -115,15 +115,20 @@ def verdict(mask: int) -> Column:
 def judge(docs: DataFrame, policy: tuple[str, int] = STANDARD) -> DataFrame:
     """The ledger with base_failed and kept, by one policy.
 
-    A null or empty text has no words, so it fails few_words; repeated rows are judged each; other columns don't matter; an empty table
-    gives no rows.
+    A null or empty text has no words, so it fails few_words; very long texts are measured whole; repeated rows and null ids are judged each; other columns
+    don't matter; an empty table gives no rows.
     """
     return ledger(docs).withColumns({"base_failed": ~verdict(BASE), "kept": verdict(BASE | POLICIES[policy])})
 
 
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger written to the shared folder, so that any number of policies and ablations read it without another look at a text."""
+    return materialise(ledger(docs), "rule-ledger")
+
+
 def ablations(rows: DataFrame, policies: dict[tuple[str, int], int] = POLICIES) -> DataFrame:
     """For each policy and each of its rules: how many documents it keeps, how many the rule fails, how many fail by it alone (and
-    would be kept without it), and all bits that fail together with it."""
+    would be kept without it), and all bits that fail together with it.  rows: a ledger; of an empty one there are no rows."""
     bits = F.explode(F.array(*[F.struct(F.lit(name).alias("policy"), F.lit(version).alias("version"), F.lit(rule).alias("rule"), F.lit(mask).cast("long").alias("mask"), F.lit(BIT[rule]).cast("long").alias("bit")) for (name, version), mask in policies.items() for rule in BIT if BIT[rule] & mask])).alias("p")
     # first by the distinct masks, of which there are 2**len(RULES) at most: the policies then look at no more rows than that
     held = rows.groupBy("fail_bits").agg(F.count("*").alias("n")).select("fail_bits", "n", bits).select("fail_bits", "n", "p.*")

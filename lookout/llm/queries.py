@@ -39,6 +39,13 @@ def op2_rule_bitmask_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir))
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy version does, from op2's stored ledger."""
+    from lookout.llm.quality_rules import ablations, stored_ledger
+
+    return ablations(stored_ledger(documents(spark, sf_dir)))
+
+
 def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.mixing import mix_sources
 
@@ -80,11 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_attention_mil_quality": op8_attention_mil_quality,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "rule_ablations": rule_ablations,
 }
 
-ORACLES: dict[str, str] = {
-    "op2_rule_bitmask_ledger": r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
+_LEDGER = r"""d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 win AS (SELECT k, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS v
@@ -104,7 +110,17 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_
              + (CASE WHEN n_letters >= 50 AND 100 * n_upper > 70 * n_letters THEN 64 ELSE 0 END)
              + (CASE WHEN 10 * n_letters < 5 * word_chars THEN 128 ELSE 0 END)
              + (CASE WHEN n_words >= 100 AND 100 * n_distinct_words < 8 * n_words THEN 256 ELSE 0 END) AS fail_bits FROM m)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_rule_bitmask_ledger": f"""WITH {_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct_words, n_letters, n_upper,
        CAST(fail_bits AS BIGINT) AS fail_bits, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept
 FROM b""",
+    "rule_ablations": f"""WITH {_LEDGER},
+p(policy, version, mask) AS (VALUES ('base', 1, 3), ('standard', 1, 143), ('standard', 2, 511)),
+r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('short_words', 16), ('long_words', 32), ('upper_case', 64), ('no_letters', 128), ('few_distinct_words', 256))
+SELECT policy, version, rule, count(*) FILTER (fail_bits & mask = 0) AS kept, count(*) FILTER (fail_bits & bit <> 0) AS failed,
+       count(*) FILTER (fail_bits & mask = bit) AS failed_alone, CAST(coalesce(bit_or(fail_bits & mask) FILTER (fail_bits & bit <> 0), 0) AS BIGINT) AS failed_with
+FROM b, p, r WHERE mask & bit <> 0 GROUP BY policy, version, rule""",
 }
