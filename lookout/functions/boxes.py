@@ -35,14 +35,22 @@ def pixels(share: Column, size: Column) -> Column:
     return (share * size).cast("int")
 
 
-def expanded(x1: Column, y1: Column, x2: Column, y2: Column, side: Column, width: Column, height: Column) -> Column:
-    """A square of `side` pixels around a box of pixels, moved inside the image where it would stick out."""
-    def span(lo: Column, hi: Column, most: Column) -> tuple[Column, Column]:
-        start = F.floor((lo + hi) / 2 - side / 2)
-        start = F.greatest(F.lit(0), F.least(start, most - side)).cast("int")
-        return start, F.least(start + side, most).cast("int")
-
-    (a, c), (b, d) = span(x1, x2, width), span(y1, y2, height)
+def expanded(x1: Column, y1: Column, x2: Column, y2: Column, least_width: Column, least_height: Column, width: Column, height: Column) -> Column:
+    """A box of whole pixels, grown around its middle to least_width by least_height where either of its sides is shorter; a box that is large enough stays as it is.
+
+    Where the image ends first, the box is put at that border and keeps the least side as far as the image has it.
+    """
+    small = ((x2 - x1) < least_width) | ((y2 - y1) < least_height)
+
+    def span(lo: Column, hi: Column, least: Column, most: Column) -> tuple[Column, Column]:
+        start = F.greatest(F.lit(0), lo - F.floor((least - (hi - lo)) / 2))
+        end = F.least(most, start + least)
+        short = (end - start) < least
+        at_start = F.when(short & (start != 0), F.greatest(F.lit(0), most - least)).otherwise(start)
+        at_end = F.when(short, F.when(start == 0, F.least(most, least)).otherwise(most)).otherwise(end)
+        return F.when(small, at_start).otherwise(lo).cast("int"), F.when(small, at_end).otherwise(hi).cast("int")
+
+    (a, c), (b, d) = span(x1, x2, least_width, width), span(y1, y2, least_height, height)
     return F.struct(a.alias("x1"), b.alias("y1"), c.alias("x2"), d.alias("y2"))
 
 
@@ -104,8 +112,9 @@ def task_box(cx: Column, cy: Column, w: Column, h: Column, label: Column) -> Col
     return F.struct((100 * (cx - w / 2)).alias("x"), (100 * (cy - h / 2)).alias("y"), (100 * w).alias("width"), (100 * h).alias("height"), F.coalesce(label, F.lit("unknown")).alias("rectanglelabel"))
 
 
-def homography_features(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1, width, height, det) -> Column:
-    """struct(dcx, h_scale, s_area, d_area): how two views' matched regions lie to each other; a scale only where the determinant is positive."""
-    centre = lambda lo, hi: (lo + hi) / 2 / width
-    area = lambda x0, y0, x1, y1: (x1 - x0) / width * ((y1 - y0) / height)
-    return F.struct(F.round(centre(bx0, bx1) - centre(ax0, ax1), 4).alias("dcx"), F.round(F.when(det > 0, F.sqrt(det)), 4).alias("h_scale"), F.round(area(ax0, ay0, ax1, ay1), 4).alias("s_area"), F.round(area(bx0, by0, bx1, by1), 4).alias("d_area"))
+def homography_features(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1, a_width, a_height, b_width, b_height, det) -> Column:
+    """struct(dcx, h_scale, s_area, d_area): how two views' matched regions lie to each other, each as shares of its own image; a scale only where the determinant is positive."""
+    centre = lambda lo, hi, width: (lo + hi) / 2 / width
+    area = lambda x0, y0, x1, y1, width, height: (x1 - x0) / width * ((y1 - y0) / height)
+    dcx = centre(bx0, bx1, b_width) - centre(ax0, ax1, a_width)
+    return F.struct(F.round(dcx, 4).alias("dcx"), F.round(F.when(det > 0, F.sqrt(det)), 4).alias("h_scale"), F.round(area(ax0, ay0, ax1, ay1, a_width, a_height), 4).alias("s_area"), F.round(area(bx0, by0, bx1, by1, b_width, b_height), 4).alias("d_area"))

@@ -13,6 +13,9 @@ ORIGINS = ("adf", "awf", "hpwren", "random")
 ALIASES = {"sdis-77": "platform", "sdis-07": "platform", "force-06": "platform", "marguerite-282": "platform", "pyro": "platform", "ardeche": "platform", "axis": "awf", "2023": "awf"}
 UNKNOWN_AZIMUTH = 999
 STAMP = "yyyy-MM-dd'T'HH-mm-ss"
+STEM_TIME = "([0-9]{4}[-_][0-9]{2}[-_][0-9]{2}T[0-9]{2}[-_][0-9]{2}[-_][0-9]{2}|[0-9]{4}[-_][0-9]{2}[-_][0-9]{2})"
+STEM_PREFIXES = ("platform_", "pyro_")
+# End of the fixed values.
 
 
 def camera(folder: Column) -> Column:
@@ -36,7 +39,7 @@ def stamp(folder: Column) -> Column:
 
 def moment(stem: Column) -> Column:
     """The time in a stem, with - or _ between its parts; a bare date or an invalid one gives null."""
-    found = F.regexp_extract(stem, "([0-9]{4}[-_][0-9]{2}[-_][0-9]{2}T[0-9]{2}[-_][0-9]{2}[-_][0-9]{2}|[0-9]{4}[-_][0-9]{2}[-_][0-9]{2})", 1)
+    found = F.regexp_extract(stem, STEM_TIME, 1)
     return F.when(found.contains("T"), F.try_to_timestamp(F.translate(found, "_", "-"), F.lit(STAMP)))
 
 
@@ -47,7 +50,7 @@ def origin(stem: Column, platform: str = "platform") -> Column:
     return F.when(word == platform, F.lit("platform")).when(word.isin(*ORIGINS), word).otherwise(F.coalesce(aliases[word], F.lit("unknown")))
 
 
-def camera_details(stem: Column, prefixes: tuple[str, ...] = ("platform_", "pyro_")) -> Column:
+def camera_details(stem: Column, prefixes: tuple[str, ...] = STEM_PREFIXES) -> Column:
     """struct(name, azimuth, number) of a platform stem: `name-azimuth` or `name_number` before the time; null without either."""
     rest = stem
     for p in prefixes:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from lookout.functions.names import azimuth, pair_id, site, stamp
 from lookout.operators.graph import components
 
+# The columns of the remap file and how its evidence is written, which other tools read.
+REMAP_COLUMNS = ("site", "cluster_id", "discard_azimuth", "keep_azimuth", "n_sequences", "n_train", "n_val", "n_test", "votes_keep", "votes_discard", "cluster_size", "cluster_members", "evidence_pairs")
+EVIDENCE, EVIDENCE_SEPARATOR = "%d↔%d(keep=%d,inl=%d)", " | "
+
 
 def latest_representatives(registry: DataFrame, frames: DataFrame) -> DataFrame:
     """site, azimuth, folder, latest_timestamp, n_sequences: the latest sequence with a frame; the count is over all."""
@@ -33,10 +37,10 @@ def site_pairs(representatives: DataFrame) -> DataFrame:
 
 
 def reject_reason(pairs: DataFrame, most_shift: float = 0.5, least_scale: float = 0.6, most_scale: float = 1.7) -> DataFrame:
-    """Adds `reason`: dcx, scale or degenerate where a pair can't be the same view, else null."""
+    """Adds `reason`: dcx, scale or degenerate where a pair can't be the same view, else null.  Without a scale only the inliers tell, whatever the shift."""
     scale = F.col("h_scale")
     none = scale.isNull() | F.isnan(scale)
-    reason = F.when(F.abs("dcx") > most_shift, "dcx").when(~none & ((scale < least_scale) | (scale > most_scale)), "scale").when(none & (F.col("n_inliers") >= 4), "degenerate")
+    reason = F.when(none, F.when(F.col("n_inliers") >= 4, "degenerate")).when(F.abs("dcx") > most_shift, "dcx").when((scale < least_scale) | (scale > most_scale), "scale")
     return pairs.withColumn("reason", reason)
 
 
@@ -55,6 +59,13 @@ def progress(decided: DataFrame, least_inliers: int = 30) -> DataFrame:
     return rows.agg(F.count("*").alias("pairs"), *[F.count_if(F.col("status") == s).alias(s) for s in ("accepted", "rejected", "pending")])
 
 
+def filtered(decided: DataFrame, least_inliers: int = 30, status: str | None = None, site: str | None = None) -> DataFrame:
+    """What a validator looks at: pairs with enough inliers, of one status and one site where these are given."""
+    rows = decided.where(F.col("n_inliers") >= least_inliers)
+    rows = rows if status is None else rows.where(F.col("status") == status)
+    return rows if site is None else rows.where(F.col("site") == site)
+
+
 def default_keep(pairs: DataFrame) -> DataFrame:
     """Which azimuth a validator proposes to keep: the one with the later representative, then with more sequences; ties to the first."""
     a, b = (F.struct(F.col(f"latest_{x}"), F.col(f"n_{x}")) for x in "ab")
@@ -90,11 +101,17 @@ def remap(chosen: DataFrame, accepted: DataFrame, registry: DataFrame) -> DataFr
     inventory = registry.select(site(F.col("camera")).alias("site"), azimuth(F.col("camera")).alias("azimuth"), "split").groupBy("site", "azimuth").agg(F.count("*").alias("n_sequences"), *[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")])
     of = chosen.select("site", F.col("azimuth").alias("azimuth_a"), "cluster_id")
     evidence = accepted.join(of, ["site", "azimuth_a"]).groupBy("cluster_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("n_inliers")).alias("o"), F.col("azimuth_a").alias("a"), F.col("azimuth_b").alias("b"), F.col("kept_azimuth").alias("k")))).alias("e"))
-    text = F.array_join(F.transform("e", lambda x: F.format_string("%d↔%d(keep=%d,inl=%d)", x["a"], x["b"], x["k"], -x["o"])), " | ")
+    text = F.array_join(F.transform("e", lambda x: F.format_string(EVIDENCE, x["a"], x["b"], x["k"], -x["o"])), EVIDENCE_SEPARATOR)
     size = chosen.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"), F.array_join(F.transform(F.sort_array(F.collect_list("azimuth")), lambda x: x.cast("string")), ",").alias("cluster_members"))
     rows = chosen.where(F.col("azimuth") != F.col("keep_azimuth")).join(inventory, ["site", "azimuth"], "left").join(size, "cluster_id").join(evidence, "cluster_id")
     zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_sequences", "n_train", "n_val", "n_test")}
-    return rows.withColumns(zero).select("site", "cluster_id", F.col("azimuth").alias("discard_azimuth"), "keep_azimuth", "n_sequences", "n_train", "n_val", "n_test", "votes_keep", F.col("votes").alias("votes_discard"), "cluster_size", "cluster_members", text.alias("evidence_pairs"))
+    return rows.withColumns(zero).withColumns({"discard_azimuth": F.col("azimuth"), "votes_discard": F.col("votes"), "evidence_pairs": text}).select(*REMAP_COLUMNS)
+
+
+def remap_totals(remapped: DataFrame) -> DataFrame:
+    """One row: clusters, azimuths that go, and the sequences they have, in all and by split."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+    return remapped.agg(F.count_distinct("cluster_id").alias("clusters"), F.count("*").alias("azimuths"), *map(total, ("n_sequences", "n_train", "n_val", "n_test")))
 
 
 def rename_plan(registry: DataFrame, remapped: DataFrame, on_disk: DataFrame) -> DataFrame:
