@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lookout.functions.names import FOLDER_FORMAT, IMAGE_FORMAT, UNKNOWN_AZIMUTH
@@ -53,3 +53,26 @@ def image_label_parity(images: DataFrame, labels: DataFrame) -> DataFrame:
     """For each split the number of images and of labels, and whether they are equal."""
     a, b = images.groupBy("split").agg(F.count("*").alias("images")), labels.groupBy("split").agg(F.count("*").alias("labels"))
     return a.join(b, "split", "full").fillna(0, ["images", "labels"]).withColumn("equal", F.col("images") == F.col("labels"))
+
+
+def assert_parity(images: DataFrame, labels: DataFrame) -> None:
+    """Fails if a split has more images than labels, or fewer."""
+    odd = image_label_parity(images, labels).where("not equal").collect()  # a row for each split
+    if odd:
+        raise ValueError(f"images and labels differ: {odd}")
+
+
+def run_counters(registry: DataFrame, images: DataFrame, chosen: DataFrame) -> DataFrame:
+    """What a build did, for each split: sequences in the registry, those written and the frames of these, those skipped (they have images, but none
+    was chosen) and those missing (they have no images at all).  registry(folder, split), images(folder), chosen(folder, stem)."""
+    has = images.groupBy("folder").agg(F.count("*").alias("images"))
+    got = chosen.groupBy("folder").agg(F.count("*").alias("frames"))
+    rows = registry.select("folder", "split").join(has, "folder", "left").join(got, "folder", "left")
+    missing = F.col("images").isNull()
+    return rows.groupBy("split").agg(F.count("*").alias("sequences"), F.count_if(F.col("frames").isNotNull()).alias("written"), F.coalesce(F.sum("frames"), F.lit(0)).cast("long").alias("frames"), F.count_if(~missing & F.col("frames").isNull()).alias("skipped"), F.count_if(missing & F.col("frames").isNull()).alias("missing"))
+
+
+def observed(rows: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """rows, and an observation that counts them, and those that meet each condition, while something else reads them: no pass of its own."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count("*").alias("rows"), *[F.count_if(c).alias(k) for k, c in conditions.items()]), seen

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lookout.functions.boxes import boxes
 from lookout.functions.names import seeded
+from lookout.operators.ranks import nth_text
+from lookout.operators.splits import SPLITS
 
 
 def labelled(images: DataFrame, labels: DataFrame) -> DataFrame:
@@ -25,17 +30,44 @@ def first_frames(frames: DataFrame, most: int = 20) -> DataFrame:
 
 
 def round_robin(frames: DataFrame, quota: int) -> DataFrame:
-    """`quota` frames, best score first, one of each sequence in turn (sequences by name), then the next of each."""
+    """`quota` frames, best score first, one of each sequence in turn (sequences by name), then the next of each.
+
+    Turns are counted first: those before the last one are whole, and of that one a count of names tells up to which name it goes.
+    """
     turn = F.row_number().over(Window.partitionBy("folder").orderBy(F.desc("score"), "stem"))
-    return frames.withColumn("turn", turn).orderBy("turn", "folder").limit(quota)
+    rows = frames.withColumn("turn", turn)
+    counts = rows.groupBy("turn").agg(F.count("*").alias("n"))  # no more than the frames of the longest sequence
+    upto = counts.withColumn("run", F.sum("n").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)))
+    last = upto.where(F.col("run") >= quota).orderBy("turn").limit(1).collect()
+    if not last:
+        return rows
+    most = quota - (last[0]["run"] - last[0]["n"])
+    whole, part = F.col("turn") < last[0]["turn"], F.col("turn") == last[0]["turn"]
+    name = nth_text(rows.where(part), "folder", most) if most > 0 else None
+    return rows.where(whole if name is None else whole | (part & (F.col("folder") <= name)))
 
 
 def by_ratio(frames: DataFrame, groups: list[str], ratio: float = 0.05, seed: int = 0) -> DataFrame:
-    """Of each group max(1, round(n * ratio)) rows, halves to even, never more than there are."""
-    order = Window.partitionBy(*groups).orderBy(seeded(seed, F.col("stem")), "stem")
-    n = F.count("*").over(Window.partitionBy(*groups))
-    most = F.least(n, F.greatest(F.lit(1), F.bround(n * F.lit(ratio))))
-    return frames.withColumn("_place", F.row_number().over(order)).withColumn("_most", most).where(F.col("_place") <= F.col("_most")).drop("_place", "_most")
+    """Of each group max(1, round(n * ratio)) rows, halves to even, never more than there are.
+
+    Rows are counted by ranges of their seeded order first: only those of the ranges up to a group's last row are ranked, each range by itself.
+    """
+    order = seeded(seed, F.col("stem"))
+    spread = F.substring(order, 1, 4)
+    sizes = frames.groupBy(*[F.col(g).alias(f"_{g}") for g in groups], spread.alias("_range")).agg(F.count("*").alias("_n"))  # 65,536 a group at most
+    of = Window.partitionBy(*[f"_{g}" for g in groups])
+    n = F.sum("_n").over(of)
+    sizes = sizes.withColumns({"_before": F.coalesce(F.sum("_n").over(of.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_most": F.least(n, F.greatest(F.lit(1), F.bround(n * F.lit(ratio))))})
+    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups] + [F.col("_range") == F.col("_own")]
+    rows = frames.withColumns({"_order": order, "_own": spread}).join(sizes.where("_before < _most"), functools.reduce(lambda a, b: a & b, on))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(*groups, "_own").orderBy("_order", "stem"))
+    return rows.withColumn("_place", place).where(F.col("_place") <= F.col("_most")).select(*frames.columns)
+
+
+def split_counts(rows: DataFrame) -> DataFrame:
+    """split and n, for each of the splits, 0 where it has no row."""
+    n = rows.agg(*[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
+    return n.select(F.explode(F.array(*[F.struct(F.lit(s).alias("split"), F.col(s).alias("n")) for s in SPLITS])).alias("x")).select("x.*")
 
 
 def false_positive_quota(counts: DataFrame, ratios: dict[str, float]) -> DataFrame:
@@ -53,6 +85,19 @@ def most_confident(predictions: DataFrame, most: int, distinct_frames: bool = Fa
     return rows.withColumn("place", place).where(F.col("place") <= most)
 
 
+def prediction_truth(predictions: DataFrame, truths: DataFrame, strict: bool = False) -> DataFrame:
+    """predictions(folder, stem, text) with the ground truth of the same frame: folder, stem, text (the truth's), n_truth, n_predicted and least_conf, as hard_examples() takes them.
+
+    A frame without a truth has none of its boxes, and null text; with `strict` it fails the job.
+    """
+    found = boxes(F.col("predicted"))
+    truth = truths.select("folder", "stem", "text", F.lit(True).alias("has"))
+    rows = predictions.select("folder", "stem", F.col("text").alias("predicted")).join(truth, ["folder", "stem"], "left")
+    if strict:
+        rows = rows.withColumn("text", F.when(F.col("has"), F.col("text")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("no ground truth for"), "folder", "stem"))))
+    return rows.select("folder", "stem", "text", F.size(boxes(F.col("text"))).alias("n_truth"), F.size(found).alias("n_predicted"), F.array_min(F.transform(found, lambda b: b["conf"])).alias("least_conf"))
+
+
 def hard_examples(frames: DataFrame, most: int, seed: int = 0) -> DataFrame:
     """frames(folder, stem, n_truth, n_predicted, least_conf): of those with ground truth the 2 * most with the least confident prediction and `most` without
     one, of which `most` are picked in a seeded order."""

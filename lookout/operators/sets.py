@@ -51,3 +51,10 @@ def union_sources(tables: dict[str, DataFrame], split: str | None = None) -> Dat
         df = df.withColumn("source", F.lit(name))
         out = df if out is None else out.unionByName(df)
     return out if split is None else out.where(F.col("split") == split)
+
+
+def combined(datasets: list[DataFrame], splits: tuple[str, ...] = ("train", "val", "test"), key: tuple[str, ...] = ("split", "name")) -> DataFrame:
+    """Data sets as one, of the splits asked for; of files with one name in a split the last data set's stays."""
+    if not splits or not datasets:
+        raise ValueError("a split and a data set are needed")
+    return merge([(str(i), d.where(F.col("split").isin(*splits))) for i, d in enumerate(datasets)], list(key)).drop("origin", "copies")
