@@ -21,7 +21,7 @@ PROXIES: dict[str, str] = {
     "stems": "SELECT event_id, concat(CASE event_id % 9 WHEN 0 THEN 'platform_' WHEN 1 THEN 'pyro_' WHEN 2 THEN 'ADF_' WHEN 3 THEN 'awf_' WHEN 4 THEN 'axis_' WHEN 5 THEN '2023_' WHEN 6 THEN 'sdis-77_' WHEN 7 THEN 'hpwren_' ELSE 'other_' END, CASE event_id % 3 WHEN 0 THEN concat('brison-', CAST(event_id % 361 AS STRING)) WHEN 1 THEN concat('st_peray_', CAST(event_id % 5 AS STRING)) ELSE 'tower' END, '_2023', CASE event_id % 4 WHEN 0 THEN '_07_12T13_24_14' WHEN 1 THEN '-05-24T16-45-00' WHEN 2 THEN '_13_40T25_61_00' ELSE '-07-12' END) AS stem FROM {events}",
     # viewpoints: nations are sites, suppliers' numbers azimuths
     "reps": "SELECT concat('site', CAST(s_nationkey AS STRING)) AS site, CAST(s_suppkey % 361 AS INT) AS azimuth, min(s_name) AS folder, max(s_name) AS latest_timestamp, count(*) AS n_sequences FROM {supplier} GROUP BY s_nationkey, s_suppkey % 361",
-    "pairs": "SELECT a.site, a.azimuth AS azimuth_a, b.azimuth AS azimuth_b, CAST((a.azimuth * 7 + b.azimuth * 13) % 90 AS INT) AS n_inliers, CAST((a.azimuth + b.azimuth) % 21 AS DOUBLE) / 2e1 - 5e-1 AS dcx, CASE WHEN (a.azimuth + b.azimuth) % 5 = 0 THEN CAST(NULL AS DOUBLE) ELSE 5e-1 + CAST((a.azimuth * b.azimuth) % 14 AS DOUBLE) / 1e1 END AS h_scale FROM <reps> a JOIN <reps> b ON a.site = b.site AND a.azimuth < b.azimuth",
+    "pairs": "SELECT a.site, a.azimuth AS azimuth_a, b.azimuth AS azimuth_b, CAST((a.azimuth * 7 + b.azimuth * 13) % 90 AS INT) AS n_inliers, CAST((a.azimuth + b.azimuth) % 31 AS DOUBLE) / 2e1 - 75e-2 AS dcx, CASE WHEN (a.azimuth + b.azimuth) % 5 = 0 THEN CAST(NULL AS DOUBLE) ELSE 5e-1 + CAST((a.azimuth * b.azimuth) % 14 AS DOUBLE) / 1e1 END AS h_scale FROM <reps> a JOIN <reps> b ON a.site = b.site AND a.azimuth < b.azimuth",
     "decisions": "SELECT concat_ws('|', site, CAST(azimuth_a AS STRING), CAST(azimuth_b AS STRING)) AS pair_id, CASE WHEN (azimuth_a * 3 + azimuth_b) % 7 = 0 THEN 'accepted' ELSE 'rejected' END AS status, CASE WHEN azimuth_a % 2 = 0 THEN azimuth_a ELSE azimuth_b END AS kept_azimuth FROM <pairs> p WHERE (azimuth_a + azimuth_b) % 4 <> 0",
     "accepted": "SELECT p.site, p.azimuth_a, p.azimuth_b, p.n_inliers, d.kept_azimuth FROM <pairs> p JOIN <decisions> d ON d.pair_id = concat_ws('|', p.site, CAST(p.azimuth_a AS STRING), CAST(p.azimuth_b AS STRING)) WHERE d.status = 'accepted'",
     "docs": f"SELECT doc_id, text, source, lang, n_chars, {_SPLIT.format('CAST(doc_id AS STRING)')} AS split, {_SPLIT.format('text')} AS text_split FROM {{documents}}",

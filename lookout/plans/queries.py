@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lookout.functions import boxes as bx
 from lookout.functions import names
 from lookout.operators import detections, platform, quality, report, sampling, select, sets, splits, viewpoints
+from lookout.plans import pipelines
 from lookout.plans.proxies import oracle, proxy
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,14 +57,24 @@ def datetime_parse(spark, sf):
     return proxy(spark, sf, "stems").select("stem", names.moment(F.col("stem")).cast("timestamp_ntz").alias("moment"))
 
 
-@query("""WITH a AS (SELECT stem, try_strptime(replace(nullif(regexp_extract(stem, '[0-9]{4}[-_][0-9]{2}[-_][0-9]{2}T[0-9]{2}[-_][0-9]{2}[-_][0-9]{2}'), ''), '_', '-'), '%Y-%m-%dT%H-%M-%S') IS NOT NULL AS timed, replace(replace(stem, 'platform_', ''), 'pyro_', '') AS rest FROM <stems>),
+_ORIGIN = "CASE w WHEN 'platform' THEN 'platform' WHEN 'pyro' THEN 'platform' WHEN 'sdis-77' THEN 'platform' WHEN 'axis' THEN 'awf' WHEN '2023' THEN 'awf' WHEN 'adf' THEN 'adf' WHEN 'awf' THEN 'awf' WHEN 'hpwren' THEN 'hpwren' WHEN 'random' THEN 'random' ELSE 'unknown' END"
+_DETAILS = """WITH a AS (SELECT stem, try_strptime(replace(nullif(regexp_extract(stem, '[0-9]{4}[-_][0-9]{2}[-_][0-9]{2}T[0-9]{2}[-_][0-9]{2}[-_][0-9]{2}'), ''), '_', '-'), '%Y-%m-%dT%H-%M-%S') IS NOT NULL AS timed, replace(replace(stem, 'platform_', ''), 'pyro_', '') AS rest FROM <stems>),
 b AS (SELECT *, substr(rest, 1, greatest(length(rest) - 20, 0)) AS station FROM a),
 c AS (SELECT *, contains(station, '-') AS az, TRY_CAST(nullif(regexp_extract(station, '([^_-]*)$', 1), '') AS INTEGER) AS n, regexp_extract(station, '^(.*)[-_][^-_]*$', 1) AS nm FROM b)
-SELECT stem, CASE WHEN timed AND n IS NOT NULL THEN nm END AS name, CASE WHEN timed AND az THEN n END AS azimuth, CASE WHEN timed AND NOT az THEN n END AS number FROM c""")
+SELECT stem, CASE WHEN timed AND n IS NOT NULL THEN nm END AS name, CASE WHEN timed AND az THEN n END AS azimuth, CASE WHEN timed AND NOT az THEN n END AS number FROM c"""
+
+
+@query(_DETAILS)
 def camera_details(spark, sf):
     return proxy(spark, sf, "stems").select("stem", names.camera_details(F.col("stem")).alias("d")).select("stem", "d.name", "d.azimuth", "d.number")
 
 
+@query(f"SELECT stem, origin, moment, CASE WHEN origin = 'platform' THEN name END AS name FROM (SELECT *, {_ORIGIN} AS origin FROM (SELECT stem, name, split_part(lower(stem), '_', 1) AS w, try_strptime(replace(nullif(regexp_extract(stem, '[0-9]{{4}}[-_][0-9]{{2}}[-_][0-9]{{2}}T[0-9]{{2}}[-_][0-9]{{2}}[-_][0-9]{{2}}'), ''), '_', '-'), '%Y-%m-%dT%H-%M-%S') AS moment FROM ({_DETAILS})))")
+def record_details(spark, sf):
+    d = proxy(spark, sf, "stems").select("stem", names.details(F.col("stem")).alias("d"))
+    return d.select("stem", "d.origin", F.col("d.moment").cast("timestamp_ntz").alias("moment"), "d.camera.name")
+
+
 @query("SELECT event_id, concat('org_1/', replace(split_part(a, '.', 1), ':', '-'), '_cam-12_sequence-', CAST(event_id AS STRING)) AS folder, concat('platform_org_1_cam-7_', replace(split_part(a, '.', 1), ':', '-'), '.jpg') AS image FROM (SELECT event_id, concat('2025-05-30T10:02:', lpad(CAST(event_id % 60 AS STRING), 2, '0'), '.981732') AS a FROM {events})")
 def platform_paths(spark, sf):
     at = F.concat(F.lit("2025-05-30T10:02:"), F.lpad((F.col("event_id") % 60).cast("string"), 2, "0"), F.lit(".981732"))
@@ -95,12 +106,40 @@ def label_token_parse(spark, sf):
     return proxy(spark, sf, "label_texts").select("doc_id", F.inline(bx.boxes(F.col("text"))))
 
 
-@query(f"SELECT doc_id, class_id, cx - w / 2 AS x1, cy - h / 2 AS y1, cx + w / 2 AS x2, cy + h / 2 AS y2, least(greatest(cx - w / 2, 0), 1) AS clipped, CAST((cx - w / 2) * 640 AS INTEGER) AS unused FROM ({_BOXES})".replace(", CAST((cx - w / 2) * 640 AS INTEGER) AS unused", ", CAST(trunc((cx - w / 2) * 640) AS INTEGER) AS pixel"))
+@query(f"SELECT doc_id, class_id, cx - w / 2 AS x1, cy - h / 2 AS y1, cx + w / 2 AS x2, cy + h / 2 AS y2, least(greatest(cx - w / 2, 0), 1) AS clipped, CAST(trunc((cx - w / 2) * 640) AS INTEGER) AS pixel FROM ({_BOXES})")
 def box_convert(spark, sf):
     rows = label_token_parse(spark, sf).withColumn("b", bx.corners(F.col("cx"), F.col("cy"), F.col("w"), F.col("h")))
     return rows.select("doc_id", "class_id", "b.*", bx.clip(F.col("b.x1")).alias("clipped"), bx.pixels(F.col("b.x1"), F.lit(640)).alias("pixel"))
 
 
+@query(f"SELECT doc_id, class_id, cx, cy, w, h FROM ({_BOXES})")
+def label_round_trip(spark, sf):
+    """Boxes written as a label text and read again."""
+    rows = proxy(spark, sf, "label_texts").select("doc_id", bx.label_text(bx.boxes(F.col("text")), confidence=True).alias("text"))
+    return rows.select("doc_id", F.inline(bx.boxes(F.col("text")))).drop("conf")
+
+
+_PIXELS = "SELECT stem, " + ", ".join(f"CAST(least({size}, greatest(0, trunc(({at} {sign} {side} / 2) * {size}))) AS INTEGER) AS {name}" for name, at, sign, side, size in (("x1", "cx", "-", "w", 640), ("y1", "cy", "-", "h", 480), ("x2", "cx", "+", "w", 640), ("y2", "cy", "+", "h", 480))) + " FROM <frames>"
+_GROWN = "SELECT stem, small, {lo} AS lo, {hi} AS hi, CAST(greatest(0, {lo} - CAST(floor(({least} - ({hi} - {lo})) / 2e0) AS INTEGER)) AS INTEGER) AS s FROM px"
+_SPAN = "SELECT stem, CASE WHEN NOT small THEN lo WHEN e - s < {least} AND s <> 0 THEN greatest(0, {size} - {least}) ELSE s END AS {a}, CASE WHEN NOT small THEN hi WHEN e - s < {least} THEN CASE WHEN s = 0 THEN least({size}, {least}) ELSE {size} END ELSE e END AS {b} FROM (SELECT *, least({size}, s + {least}) AS e FROM ({grown}))"
+
+
+@query(f"WITH px AS (SELECT *, x2 - x1 < 224 OR y2 - y1 < 200 AS small FROM ({_PIXELS})) SELECT x.stem, x.x1, y.y1, x.x2, y.y2 FROM ({_SPAN.format(least=224, size=640, a='x1', b='x2', grown=_GROWN.format(lo='x1', hi='x2', least=224))}) x JOIN ({_SPAN.format(least=200, size=480, a='y1', b='y2', grown=_GROWN.format(lo='y1', hi='y2', least=200))}) y ON x.stem = y.stem")
+def expand_box(spark, sf):
+    b = proxy(spark, sf, "frames").select("stem", bx.corners(F.col("cx"), F.col("cy"), F.col("w"), F.col("h")).alias("b"))
+    side = lambda c, size: F.least(F.lit(size), F.greatest(F.lit(0), bx.pixels(F.col(f"b.{c}"), F.lit(size))))
+    grown = bx.expanded(side("x1", 640), side("y1", 480), side("x2", 640), side("y2", 480), F.lit(224), F.lit(200), F.lit(640), F.lit(480))
+    return b.select("stem", grown.alias("g")).select("stem", "g.*")
+
+
+@query("SELECT stem, round((cx + w) * 640 / 1281 - cx * 640 / 640, 4) AS dcx, round(CASE WHEN w * h > 4e-2 THEN sqrt(w * h - 4e-2) END, 4) AS h_scale, round(w * h, 4) AS s_area, round((w * 640 / 1281) * (h * 480 / 959), 4) AS d_area FROM <frames>")
+def homography_quality(spark, sf):
+    """A region in an image of 640 by 480, and it again beside itself in one of 1281 by 959."""
+    x, y, w, h = F.col("cx") * 640, F.col("cy") * 480, F.col("w") * 640, F.col("h") * 480
+    q = bx.homography_features(x - w / 2, y - h / 2, x + w / 2, y + h / 2, x + w / 2, y - h / 2, x + w * 1.5, y + h / 2, F.lit(640), F.lit(480), F.lit(1281), F.lit(959), F.col("w") * F.col("h") - 0.04)
+    return proxy(spark, sf, "frames").select("stem", q.alias("q")).select("stem", "q.*")
+
+
 @query(f"""WITH l AS (SELECT doc_id, i, string_split(l, ' ') AS t FROM ({_LINES}) WHERE trim(l) <> '')
 SELECT doc_id, coalesce(string_agg(array_to_string(t[1:5], ' '), chr(10) ORDER BY i), '') AS label, coalesce(max(CASE WHEN len(t) >= 6 THEN TRY_CAST(t[6] AS DOUBLE) END), 0e0) AS score FROM <label_texts> d LEFT JOIN l USING (doc_id) GROUP BY doc_id""")
 def label_normalise(spark, sf):
@@ -129,15 +168,17 @@ def content_hash(spark, sf):
 # ---- filters and validation ----
 
 
-@query("""WITH s AS (SELECT folder, event_id % 5 AS k, event_id FROM <seqs>)
-SELECT folder, k = 4 AS bad_images, k = 0 AS no_labels, CASE WHEN k = 0 THEN 1 ELSE 0 END + CASE WHEN k IN (1, 2) THEN 1 ELSE 0 END = 0 AND k <> 4 AS is_valid FROM s""")
+@query("""WITH s AS (SELECT CASE WHEN event_id % 7 = 3 THEN regexp_replace(folder, '_[0-9]+_([0-9]{4}-)', CASE WHEN event_id % 2 = 0 THEN '_500_\\1' ELSE '_999_\\1' END) ELSE folder END AS folder, event_id % 5 AS k, event_id % 7 = 3 AND event_id % 2 = 0 AS odd FROM <seqs>)
+SELECT folder, k = 4 AS bad_images, odd AS bad_azimuth, k = 0 AS no_labels, k > 2 AND k <> 4 AND NOT odd AS is_valid FROM s""")
 def validate_names(spark, sf):
-    f, k = F.col("folder"), F.col("event_id") % 5
+    f, e, k = F.col("folder"), F.col("event_id"), F.col("event_id") % 5
+    named = F.when(e % 7 == 3, F.regexp_replace(f, "_[0-9]+_([0-9]{4}-)", F.when(e % 2 == 0, F.lit("_500_$1")).otherwise("_999_$1"))).otherwise(f)
     good, bad = F.concat(f, F.lit(".jpg")), F.lit("shot 1.jpg")
-    labels = F.when(k == 1, F.array(F.lit(0), F.lit(0), F.lit(0))).when(k == 2, F.array(F.lit(9), F.lit(0), F.lit(0))).when(k > 2, F.array(F.lit(9), F.lit(9), F.lit(0)))
-    rows = proxy(spark, sf, "seqs").select("folder", F.when(k == 4, F.array(good, bad, good)).otherwise(F.array(good, good, good)).alias("images"), labels.alias("labels"))
+    none = F.array().cast("array<int>")
+    labels = F.when(k == 0, none).when(k == 1, F.array(F.lit(0), F.lit(0), F.lit(0))).when(k == 2, F.array(F.lit(9), F.lit(0), F.lit(0))).otherwise(F.array(F.lit(9), F.lit(9), F.lit(0)))
+    rows = proxy(spark, sf, "seqs").select(named.alias("folder"), F.when(k == 4, F.array(good, bad, good)).otherwise(F.array(good, good, good)).alias("images"), F.when(k == 0, F.lit(None).cast("array<int>")).otherwise(labels).alias("labels"))
     out = quality.validate(rows)
-    return out.select("folder", F.array_contains("naming_issues", "image name").alias("bad_images"), F.array_contains("structural_issues", "no labels").alias("no_labels"), "is_valid")
+    return out.select("folder", F.array_contains("naming_issues", "image name").alias("bad_images"), F.array_contains("naming_issues", "azimuth").alias("bad_azimuth"), F.array_contains("structural_issues", "no labels").alias("no_labels"), "is_valid")
 
 
 @query("SELECT folder, stem FROM <frames> WHERE has_label = 1")
@@ -153,7 +194,37 @@ def temporal_completeness(spark, sf):
 
 @query("SELECT c_custkey, c_name FROM {customer} WHERE contains(c_name, '7')")
 def substring_select(spark, sf):
-    return read(spark, sf, "customer").where(F.col("c_name").contains("7")).select("c_custkey", "c_name")
+    return platform.containing(read(spark, sf, "customer"), "c_name", "7").select("c_custkey", "c_name")
+
+
+@query("SELECT c_custkey, c_name FROM {customer} WHERE contains(lower(c_name), 'customer#0000000') ORDER BY c_name LIMIT 20")
+def viewer_search(spark, sf):
+    return platform.containing(read(spark, sf, "customer"), "c_name", "CUSTOMER#0000000", ignore_case=True, most=20).select("c_custkey", "c_name")
+
+
+_PATHS = "SELECT event_id, concat('root/', event_type, '/', CASE event_id % 4 WHEN 0 THEN 'true-positives' WHEN 1 THEN 'x-false-positives' WHEN 2 THEN concat('cam_sequence-', CAST(event_id AS STRING)) ELSE concat('cam_sequence-', CAST(event_id AS STRING), 'b') END) AS path FROM {events}"
+
+
+@query(f"SELECT event_id, path, CASE event_id % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE 'sequence' END AS kind FROM ({_PATHS}) WHERE event_id % 4 < 3")
+def directory_finders(spark, sf):
+    rows = spark.sql(_PATHS, events=read(spark, sf, "events"))
+    found = {"true": platform.directories(rows, "true-positives"), "false": platform.directories(rows, "false-positives"), "sequence": platform.directories(rows, sequence=True)}
+    out = None
+    for kind, own in found.items():
+        own = own.withColumn("kind", F.lit(kind))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@query("SELECT folder FROM <seqs> WHERE folder IN (SELECT folder FROM <registry> WHERE split = 'val')")
+def existing_folders(spark, sf):
+    return sets.only_known(proxy(spark, sf, "seqs").select("folder"), proxy(spark, sf, "registry").where("split = 'val'"), "folder")
+
+
+@query("SELECT 'a' AS source, id, folder, camera, split FROM <registry> WHERE event_id % 2 = 0 AND split = 'test' UNION ALL SELECT 'b', id, folder, camera, split FROM <registry> WHERE event_id % 2 = 1 AND split = 'test'")
+def registry_union(spark, sf):
+    r, cols = proxy(spark, sf, "registry"), ["id", "folder", "camera", "split"]
+    return sets.union_sources({"a": r.where("event_id % 2 = 0").select(cols), "b": r.where("event_id % 2 = 1").select(cols)}, "test")
 
 
 @query("SELECT * FROM {orders} WHERE o_custkey IN (SELECT c_custkey FROM {customer} WHERE c_mktsegment = 'BUILDING')")
@@ -191,26 +262,36 @@ def next_id(spark, sf):
     return splits.next_id(proxy(spark, sf, "registry"), "wf")
 
 
-@query("""WITH RECURSIVE c AS (SELECT regexp_extract(folder, '^(.*?)_[0-9]{4}[^a-zA-Z]', 1) AS camera, count(*) AS n FROM <seqs> WHERE event_id % 2 = 0 GROUP BY 1),
-e AS (SELECT camera, count(*) FILTER (split = 'train') AS t, count(*) FILTER (split = 'val') AS v, count(*) FILTER (split = 'test') AS s FROM <registry> WHERE event_id % 2 = 1 GROUP BY camera),
+def _greedy(new: str, old: str) -> str:
+    """CTEs that end in `assigned`: the new folders' ids, cameras and splits.  new and old: conditions on the registry's and sequences' rows."""
+    return f"""c AS (SELECT regexp_extract(folder, '^(.*?)_[0-9]{{4}}[^a-zA-Z]', 1) AS camera, count(*) AS n FROM <seqs> WHERE {new} GROUP BY 1),
+e AS (SELECT camera, count(*) FILTER (split = 'train') AS t, count(*) FILTER (split = 'val') AS v, count(*) FILTER (split = 'test') AS s FROM <registry> WHERE {old} GROUP BY camera),
 b AS (SELECT c.camera, n, CAST(coalesce(t, 0) AS BIGINT) AS t, CAST(coalesce(v, 0) AS BIGINT) AS v, CAST(coalesce(s, 0) AS BIGINT) AS s FROM c LEFT JOIN e USING (camera)),
 r AS (SELECT camera, n, t, v, s, CAST(0 AS BIGINT) AS turn, '' AS split FROM b
  UNION ALL SELECT camera, n, t + CASE WHEN p = 'train' THEN 1 ELSE 0 END, v + CASE WHEN p = 'val' THEN 1 ELSE 0 END, s + CASE WHEN p = 'test' THEN 1 ELSE 0 END, turn + 1, p
  FROM (SELECT *, CASE WHEN dt >= dv AND dt >= ds THEN 'train' WHEN dv >= ds THEN 'val' ELSE 'test' END AS p FROM (SELECT *, 8e-1 - t / CAST(t + v + s + 1 AS DOUBLE) AS dt, 1e-1 - v / CAST(t + v + s + 1 AS DOUBLE) AS dv, 1e-1 - s / CAST(t + v + s + 1 AS DOUBLE) AS ds FROM r WHERE turn < n))),
-f AS (SELECT folder, camera, row_number() OVER (PARTITION BY camera ORDER BY md5(concat('0|', folder)), folder) AS turn FROM (SELECT folder, regexp_extract(folder, '^(.*?)_[0-9]{4}[^a-zA-Z]', 1) AS camera FROM <seqs> WHERE event_id % 2 = 0))
-SELECT concat('wf_', lpad(CAST((SELECT max(event_id) + 1 FROM <seqs> WHERE event_id % 2 = 1) + row_number() OVER (ORDER BY camera, turn) - 1 AS STRING), 8, '0')) AS id, folder, camera, r.split FROM f JOIN r USING (camera, turn)""")
+f AS (SELECT folder, camera, row_number() OVER (PARTITION BY camera ORDER BY md5(concat('0|', folder)), folder) AS turn FROM (SELECT folder, regexp_extract(folder, '^(.*?)_[0-9]{{4}}[^a-zA-Z]', 1) AS camera FROM <seqs> WHERE {new})),
+assigned AS (SELECT concat('wf_', lpad(CAST((SELECT max(event_id) + 1 FROM <seqs> WHERE {old}) + row_number() OVER (ORDER BY camera, turn) - 1 AS STRING), 8, '0')) AS id, folder, camera, r.split FROM f JOIN r USING (camera, turn))"""
+
+
+def _rebalanced(both: str) -> str:
+    """CTEs after `both`(id, folder, camera, split, new) that end in `balanced`: the new rows."""
+    return f"""{both},
+tt AS (SELECT count(*) FILTER (split = 'val') AS v, count(*) FILTER (split = 'test') AS s FROM two),
+dd AS (SELECT CASE WHEN v > s THEN 'val' ELSE 'test' END AS a, CASE WHEN v > s THEN 'test' ELSE 'val' END AS b, abs(v - s) // 2 AS n FROM tt),
+hh AS (SELECT camera, split, count(*) AS c FROM two GROUP BY ALL),
+mm AS (SELECT two.id, hh.c, row_number() OVER (PARTITION BY two.camera ORDER BY two.id) AS p FROM two JOIN hh USING (camera, split) JOIN dd ON two.split = dd.a WHERE two.new),
+gg AS (SELECT id, row_number() OVER (ORDER BY c DESC, id) AS q FROM mm WHERE p <= c - 1),
+balanced AS (SELECT two.id, two.folder, two.camera, CASE WHEN gg.id IS NOT NULL THEN dd.b ELSE two.split END AS split FROM two JOIN dd ON true LEFT JOIN gg ON gg.id = two.id AND gg.q <= dd.n WHERE two.new)"""
+
+
+@query(f"WITH RECURSIVE {_greedy('event_id % 2 = 0', 'event_id % 2 = 1')} SELECT * FROM assigned")
 def greedy_split_assign(spark, sf):
     r = proxy(spark, sf, "registry")
     return splits.assign(r.where("event_id % 2 = 0"), r.where("event_id % 2 = 1").select("id", "folder", "camera", "split"), "wf", rebalanced=False)
 
 
-@query("""WITH r AS (SELECT id, folder, camera, split, event_id % 2 = 0 AS new FROM <registry>),
-t AS (SELECT count(*) FILTER (split = 'val') AS v, count(*) FILTER (split = 'test') AS s FROM r),
-d AS (SELECT CASE WHEN v > s THEN 'val' ELSE 'test' END AS a, CASE WHEN v > s THEN 'test' ELSE 'val' END AS b, abs(v - s) // 2 AS n FROM t),
-h AS (SELECT camera, split, count(*) AS c FROM r GROUP BY ALL),
-m AS (SELECT r.id, h.c, row_number() OVER (PARTITION BY r.camera ORDER BY r.id) AS p FROM r JOIN h USING (camera, split) JOIN d ON r.split = d.a WHERE r.new),
-g AS (SELECT id, row_number() OVER (ORDER BY c DESC, id) AS q FROM m WHERE p <= c - 1)
-SELECT r.id, r.folder, r.camera, CASE WHEN g.id IS NOT NULL THEN d.b ELSE r.split END AS split FROM r JOIN d ON true LEFT JOIN g ON g.id = r.id AND g.q <= d.n WHERE r.new""")
+@query("WITH " + _rebalanced("two AS (SELECT id, folder, camera, split, event_id % 2 = 0 AS new FROM <registry>)") + " SELECT * FROM balanced")
 def rebalance_minority(spark, sf):
     r = proxy(spark, sf, "registry")
     cols = ["id", "folder", "camera", "split"]
@@ -323,12 +404,16 @@ def registry_move(spark, sf):
 @query("""SELECT l.l_orderkey AS detection_id, l.l_linenumber AS line, o.o_orderkey AS sequence_id, c.c_custkey AS camera_id, c.c_name AS camera_name, n.n_name AS organization_name
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey""")
 def star_denormalise(spark, sf):
+    return platform.records(*_platform(spark, sf)).select("detection_id", F.col("detection_azimuth").alias("line"), "sequence_id", "camera_id", "camera_name", "organization_name")
+
+
+def _platform(spark, sf):
+    """Lines as detections of orders as sequences, customers as cameras, nations as organizations."""
     none = F.lit(None).cast("string")
     d = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_orderkey").alias("sequence_id"), none.alias("created_at"), F.col("l_linenumber").alias("azimuth"), none.alias("url"), none.alias("bboxes"), none.alias("bucket_key"))
     s = read(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("camera_id"), none.alias("started_at"), none.alias("last_seen_at"), F.lit(0).alias("azimuth"))
     c = read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("organization_id"), F.col("c_name").alias("name"), *[none.alias(x) for x in ("lat", "lon", "is_trustable", "angle_of_view")])
-    o = read(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    return platform.records(d, s, c, o).select("detection_id", F.col("detection_azimuth").alias("line"), "sequence_id", "camera_id", "camera_name", "organization_name")
+    return d, s, c, read(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
 
 
 @query("SELECT r.o_orderkey AS folder, l.path FROM {orders} r LEFT JOIN (SELECT l_orderkey, min(concat(l_shipmode, '/', CAST(l_linenumber AS STRING))) AS path FROM (SELECT l_orderkey, l_linenumber, l_returnflag AS l_shipmode FROM {lineitem}) GROUP BY 1) l ON l.l_orderkey = r.o_orderkey")
@@ -413,7 +498,7 @@ def azimuth_pairs(spark, sf):
     return viewpoints.candidate_pairs(proxy(spark, sf, "reps")).select("site", "azimuth_a", "azimuth_b")
 
 
-_REASON = "CASE WHEN abs(dcx) > 5e-1 THEN 'dcx' WHEN h_scale IS NOT NULL AND (h_scale < 6e-1 OR h_scale > 1.7e0) THEN 'scale' WHEN h_scale IS NULL AND n_inliers >= 4 THEN 'degenerate' END"
+_REASON = "CASE WHEN h_scale IS NULL THEN CASE WHEN n_inliers >= 4 THEN 'degenerate' END WHEN abs(dcx) > 5e-1 THEN 'dcx' WHEN h_scale < 6e-1 OR h_scale > 1.7e0 THEN 'scale' END"
 
 
 @query(f"SELECT site, azimuth_a, azimuth_b, {_REASON} AS reason FROM <pairs>")
@@ -431,6 +516,20 @@ def decision_progress(spark, sf):
     return viewpoints.progress(viewpoints.with_decisions(proxy(spark, sf, "pairs"), proxy(spark, sf, "decisions")))
 
 
+@query("SELECT p.site, p.azimuth_a, p.azimuth_b, p.n_inliers FROM <pairs> p JOIN <decisions> d ON d.pair_id = concat_ws('|', p.site, CAST(p.azimuth_a AS STRING), CAST(p.azimuth_b AS STRING)) WHERE n_inliers >= 40 AND d.status = 'rejected' AND p.site = 'site3'")
+def validator_filter(spark, sf):
+    decided = viewpoints.with_decisions(proxy(spark, sf, "pairs"), proxy(spark, sf, "decisions"))
+    return viewpoints.filtered(decided, 40, "rejected", "site3").select("site", "azimuth_a", "azimuth_b", "n_inliers")
+
+
+@query("SELECT p.site, azimuth_a, azimuth_b, CASE WHEN a.latest_timestamp > b.latest_timestamp OR (a.latest_timestamp = b.latest_timestamp AND a.n_sequences >= b.n_sequences) THEN azimuth_a ELSE azimuth_b END AS proposed FROM <pairs> p JOIN <reps> a ON a.site = p.site AND a.azimuth = azimuth_a JOIN <reps> b ON b.site = p.site AND b.azimuth = azimuth_b")
+def default_keep(spark, sf):
+    reps = proxy(spark, sf, "reps")
+    side = lambda x: reps.select("site", F.col("azimuth").alias(f"azimuth_{x}"), F.col("latest_timestamp").alias(f"latest_{x}"), F.col("n_sequences").alias(f"n_{x}"))
+    rows = proxy(spark, sf, "pairs").join(side("a"), ["site", "azimuth_a"]).join(side("b"), ["site", "azimuth_b"])
+    return viewpoints.default_keep(rows).select("site", "azimuth_a", "azimuth_b", "proposed")
+
+
 _COMPS = "e AS (SELECT site, azimuth_a AS a, azimuth_b AS b FROM <accepted> UNION SELECT site, azimuth_b, azimuth_a FROM <accepted>), r AS (SELECT DISTINCT site, a AS azimuth, a AS c FROM e UNION SELECT e.site, e.b, r.c FROM r JOIN e ON e.site = r.site AND e.a = r.azimuth), k AS (SELECT site, azimuth, min(c) AS root FROM r GROUP BY ALL), m AS (SELECT site, azimuth, concat('c', lpad(CAST(dense_rank() OVER (ORDER BY site, root) - 1 AS STRING), 3, '0')) AS cluster_id FROM k)"
 _CANON = _COMPS + ", v AS (SELECT m.*, coalesce(n, 0) AS votes, coalesce(p.latest_timestamp, '') AS t, coalesce(p.n_sequences, 0) AS s FROM m LEFT JOIN (SELECT site, kept_azimuth AS azimuth, count(*) AS n FROM <accepted> GROUP BY ALL) x USING (site, azimuth) LEFT JOIN <reps> p USING (site, azimuth)), z AS (SELECT *, first_value(azimuth) OVER w AS keep_azimuth, first_value(votes) OVER w AS votes_keep FROM v WINDOW w AS (PARTITION BY cluster_id ORDER BY votes DESC, t DESC, s DESC, azimuth DESC))"
 
@@ -450,44 +549,57 @@ def canonical_azimuth(spark, sf):
     return _canonical(spark, sf)
 
 
-_REGISTRY = "SELECT concat('wf_', CAST(s_suppkey AS STRING)) AS id, concat('site', CAST(s_nationkey AS STRING), '_', CAST(s_suppkey % 361 AS STRING), '_2024-01-01T00-00-', CAST(10 + s_suppkey % 50 AS STRING)) AS folder, concat('site', CAST(s_nationkey AS STRING), '_', CAST(s_suppkey % 361 AS STRING)) AS camera, CASE s_suppkey % 5 WHEN 0 THEN 'val' WHEN 1 THEN 'test' ELSE 'train' END AS split FROM {supplier}"
+def _suppliers(time: str) -> str:
+    """A registry of suppliers; time: the end of a folder's name."""
+    return f"SELECT concat('wf_', CAST(s_suppkey AS STRING)) AS id, concat('site', CAST(s_nationkey AS STRING), '_', CAST(s_suppkey % 361 AS STRING), '_2024-01-01T00-00-', {time}) AS folder, concat('site', CAST(s_nationkey AS STRING), '_', CAST(s_suppkey % 361 AS STRING)) AS camera, CASE s_suppkey % 5 WHEN 0 THEN 'val' WHEN 1 THEN 'test' ELSE 'train' END AS split FROM {{supplier}}"
+
 
+_REGISTRY = _suppliers("CAST(10 + s_suppkey % 50 AS STRING)")
+_SAME_TIME = _suppliers("'00'")  # so that folders of one site collide when they are renamed
 
-def _registry(spark, sf):
-    return spark.sql(_REGISTRY, supplier=read(spark, sf, "supplier"))
 
+def _registry(spark, sf, sql=_REGISTRY):
+    return spark.sql(sql, supplier=read(spark, sf, "supplier"))
 
-_ROLLUP = _CANON + f", i AS (SELECT regexp_extract(camera, '^(.+)_([0-9]+)$', 1) AS site, CAST(regexp_extract(camera, '^(.+)_([0-9]+)$', 2) AS INTEGER) AS azimuth, count(*) AS n, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val, count(*) FILTER (split = 'test') AS n_test FROM ({_REGISTRY}) GROUP BY ALL), g AS (SELECT cluster_id, count(*) AS size, string_agg(CAST(azimuth AS STRING), ',' ORDER BY azimuth) AS members FROM z GROUP BY cluster_id), ev AS (SELECT z.cluster_id, string_agg(concat(CAST(x.azimuth_a AS STRING), '↔', CAST(x.azimuth_b AS STRING), '(keep=', CAST(x.kept_azimuth AS STRING), ',inl=', CAST(x.n_inliers AS STRING), ')'), ' | ' ORDER BY -x.n_inliers, x.azimuth_a, x.azimuth_b) AS e FROM <accepted> x JOIN z ON z.site = x.site AND z.azimuth = x.azimuth_a GROUP BY 1), rm AS (SELECT z.site, z.cluster_id, z.azimuth AS discard_azimuth, z.keep_azimuth, coalesce(i.n, 0) AS n_sequences, coalesce(n_train, 0) AS n_train, coalesce(n_val, 0) AS n_val, coalesce(n_test, 0) AS n_test, z.votes_keep, z.votes AS votes_discard, g.size AS cluster_size, g.members AS cluster_members, ev.e AS evidence_pairs FROM z LEFT JOIN i USING (site, azimuth) JOIN g ON g.cluster_id = z.cluster_id JOIN ev ON ev.cluster_id = z.cluster_id WHERE z.azimuth <> z.keep_azimuth)"
 
+def _rollup(registry: str) -> str:
+    return _CANON + f", i AS (SELECT regexp_extract(camera, '^(.+)_([0-9]+)$', 1) AS site, CAST(regexp_extract(camera, '^(.+)_([0-9]+)$', 2) AS INTEGER) AS azimuth, count(*) AS n, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val, count(*) FILTER (split = 'test') AS n_test FROM ({registry}) GROUP BY ALL), g AS (SELECT cluster_id, count(*) AS size, string_agg(CAST(azimuth AS STRING), ',' ORDER BY azimuth) AS members FROM z GROUP BY cluster_id), ev AS (SELECT z.cluster_id, string_agg(concat(CAST(x.azimuth_a AS STRING), '↔', CAST(x.azimuth_b AS STRING), '(keep=', CAST(x.kept_azimuth AS STRING), ',inl=', CAST(x.n_inliers AS STRING), ')'), ' | ' ORDER BY -x.n_inliers, x.azimuth_a, x.azimuth_b) AS e FROM <accepted> x JOIN z ON z.site = x.site AND z.azimuth = x.azimuth_a GROUP BY 1), rm AS (SELECT z.site, z.cluster_id, z.azimuth AS discard_azimuth, z.keep_azimuth, coalesce(i.n, 0) AS n_sequences, coalesce(n_train, 0) AS n_train, coalesce(n_val, 0) AS n_val, coalesce(n_test, 0) AS n_test, z.votes_keep, z.votes AS votes_discard, g.size AS cluster_size, g.members AS cluster_members, ev.e AS evidence_pairs FROM z LEFT JOIN i USING (site, azimuth) JOIN g ON g.cluster_id = z.cluster_id JOIN ev ON ev.cluster_id = z.cluster_id WHERE z.azimuth <> z.keep_azimuth)"
 
-def _remap(spark, sf):
-    return viewpoints.remap(_canonical(spark, sf), proxy(spark, sf, "accepted"), _registry(spark, sf))
 
+def _remap(spark, sf, sql=_REGISTRY):
+    return viewpoints.remap(_canonical(spark, sf), proxy(spark, sf, "accepted"), _registry(spark, sf, sql))
 
-@query(f"WITH RECURSIVE {_ROLLUP} SELECT * FROM rm")
+
+@query(f"WITH RECURSIVE {_rollup(_REGISTRY)} SELECT * FROM rm")
 def cluster_rollup(spark, sf):
     return _remap(spark, sf)
 
 
-_PLAN = _ROLLUP + f", q AS (SELECT id, camera AS old_camera, concat(rm.site, '_', CAST(rm.keep_azimuth AS STRING)) AS new_camera, folder AS old_folder, concat(rm.site, '_', CAST(rm.keep_azimuth AS STRING), substr(folder, length(camera) + 1)) AS new_folder FROM ({_REGISTRY}) s JOIN rm ON s.camera = concat(rm.site, '_', CAST(rm.discard_azimuth AS STRING)))"
+@query(f"WITH RECURSIVE {_rollup(_REGISTRY)} SELECT count(DISTINCT cluster_id) AS clusters, count(*) AS azimuths, CAST(coalesce(sum(n_sequences), 0) AS BIGINT) AS n_sequences, CAST(coalesce(sum(n_train), 0) AS BIGINT) AS n_train, CAST(coalesce(sum(n_val), 0) AS BIGINT) AS n_val, CAST(coalesce(sum(n_test), 0) AS BIGINT) AS n_test FROM rm")
+def remap_totals(spark, sf):
+    return viewpoints.remap_totals(_remap(spark, sf))
+
+
+def _renames(registry: str) -> str:
+    return _rollup(registry) + f", q AS (SELECT id, camera AS old_camera, concat(rm.site, '_', CAST(rm.keep_azimuth AS STRING)) AS new_camera, folder AS old_folder, concat(rm.site, '_', CAST(rm.keep_azimuth AS STRING), substr(folder, length(camera) + 1)) AS new_folder FROM ({registry}) s JOIN rm ON s.camera = concat(rm.site, '_', CAST(rm.discard_azimuth AS STRING)))"
 
 
-def _plan(spark, sf):
-    r = _registry(spark, sf)
-    return viewpoints.rename_plan(r, _remap(spark, sf), r.select("folder"))
+def _plan(spark, sf, sql=_REGISTRY):
+    r = _registry(spark, sf, sql)
+    return viewpoints.rename_plan(r, _remap(spark, sf, sql), r.select("folder"))
 
 
-@query(f"WITH RECURSIVE {_PLAN} SELECT s.id, coalesce(q.new_folder, s.folder) AS folder, coalesce(q.new_camera, s.camera) AS camera, s.split FROM ({_REGISTRY}) s LEFT JOIN q USING (id)")
+@query(f"WITH RECURSIVE {_renames(_REGISTRY)} SELECT s.id, coalesce(q.new_folder, s.folder) AS folder, coalesce(q.new_camera, s.camera) AS camera, s.split FROM ({_REGISTRY}) s LEFT JOIN q USING (id)")
 def remap_apply(spark, sf):
     return viewpoints.apply_plan(_registry(spark, sf), _plan(spark, sf))
 
 
-@query(f"WITH RECURSIVE {_PLAN} SELECT new_folder, count(DISTINCT old_folder) AS sources, bool_or(new_folder IN (SELECT folder FROM ({_REGISTRY}))) AS target_exists FROM q GROUP BY new_folder HAVING count(DISTINCT old_folder) > 1 OR bool_or(new_folder IN (SELECT folder FROM ({_REGISTRY})))")
+@query(f"WITH RECURSIVE {_renames(_SAME_TIME)} SELECT new_folder, count(DISTINCT old_folder) AS sources, bool_or(new_folder IN (SELECT folder FROM ({_SAME_TIME}))) AS target_exists FROM q GROUP BY new_folder HAVING count(DISTINCT old_folder) > 1 OR bool_or(new_folder IN (SELECT folder FROM ({_SAME_TIME})))")
 def remap_collisions(spark, sf):
-    return viewpoints.collisions(_plan(spark, sf))
+    return viewpoints.collisions(_plan(spark, sf, _SAME_TIME))
 
 
-@query(f"WITH RECURSIVE {_PLAN} SELECT regexp_extract(old_camera, '^(.+)_([0-9]+)$', 1) AS site, 'rename' AS action, count(*) AS n FROM q GROUP BY 1")
+@query(f"WITH RECURSIVE {_renames(_REGISTRY)} SELECT regexp_extract(old_camera, '^(.+)_([0-9]+)$', 1) AS site, 'rename' AS action, count(*) AS n FROM q GROUP BY 1")
 def remap_plan_counts(spark, sf):
     return viewpoints.plan_counts(_plan(spark, sf))
 
@@ -519,10 +631,10 @@ def nearest_centroid_assign(spark, sf):
 @query("""WITH q AS (SELECT vec_id, embedding FROM {embeddings} WHERE vec_id % 50 = 0),
 d AS (SELECT q.vec_id AS query, e.vec_id AS neighbour, round(list_distance(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 9) AS d FROM q JOIN {embeddings} e ON e.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY d, neighbour) AS k FROM d)
-SELECT a.query, a.neighbour FROM r a JOIN r b ON a.query = b.query AND a.k = 1 AND b.k = 2 WHERE a.d < 9e-1 * b.d""")
+SELECT a.query, a.neighbour FROM r a JOIN r b ON a.query = b.query AND a.k = 1 AND b.k = 2 WHERE a.d < 98e-2 * b.d""")
 def knn2_ratio(spark, sf):
     items = proxy(spark, sf, "items").select("id", "embedding")
-    return select.ratio_test(select.nearest(items.where("id % 50 = 0"), items, 2), 0.9).select("query", "neighbour")
+    return select.ratio_test(select.nearest(items.where("id % 50 = 0"), items, 2), 0.98).select("query", "neighbour")
 
 
 @query()
@@ -532,6 +644,16 @@ def two_stage_select(spark, sf):
     return select.two_stage(items, boxes, 20)
 
 
+_BOXED = f"SELECT i.id, i.camera, {_CORNERS} FROM <items> i JOIN (SELECT *, concat('f', regexp_extract(folder, '([0-9]+)$', 1)) AS f FROM ({_MAIN})) x ON x.f = i.folder"
+
+
+@query(f"WITH RECURSIVE m AS ({_BOXED}), e AS (SELECT p.id AS a, q.id AS b FROM m p JOIN m q ON p.camera = q.camera AND p.id <> q.id WHERE {_IOU.format(a='p', b='q', eps='0')} > 7e-1), r AS (SELECT id, id AS c FROM m UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id), a AS (SELECT i.id, i.folder, i.camera, coalesce(min(c), i.id) AS atom FROM <items> i LEFT JOIN r ON r.id = i.id GROUP BY i.id, i.folder, i.camera), v AS (SELECT vec_id AS id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS k FROM {{embeddings}}), w AS (SELECT atom, id, folder, camera, v, k FROM a JOIN v USING (id)), n AS (SELECT atom, k, avg(CAST(v AS DOUBLE)) AS m FROM w GROUP BY ALL), c AS (SELECT atom, k, m / greatest(1e-12, sqrt(sum(m * m) OVER (PARTITION BY atom))) AS m FROM n), s AS (SELECT w.atom, id, folder, camera, round(sum(CAST(v AS DOUBLE) * m), 9) AS s FROM w JOIN c ON c.atom = w.atom AND c.k = w.k GROUP BY ALL) SELECT id, folder, camera FROM (SELECT *, row_number() OVER (PARTITION BY atom ORDER BY s DESC, id) AS p FROM s) WHERE p = 1")
+def two_stage_all(spark, sf):
+    """With room for all: one item of each atom, without a second stage."""
+    boxes = proxy(spark, sf, "frames").withColumn("folder", F.concat(F.lit("f"), F.regexp_extract("folder", "([0-9]+)$", 1)))
+    return select.two_stage(proxy(spark, sf, "items"), boxes, 10**9)
+
+
 # ---- reports ----
 
 
@@ -592,3 +714,129 @@ def label_task_json(spark, sf):
     at = "$.annotations[0].result[0]."
     get = lambda p: F.get_json_object("task", at + p)
     return tasks.select("image", get("id").alias("id"), get("value.x").cast("double").alias("x"), get("value.width").cast("double").alias("width"), get("value.rectanglelabels[0]").alias("label"))
+
+
+@query("SELECT conv_id AS image FROM {conversations} WHERE role = 'system' GROUP BY conv_id")
+def tag_filter(spark, sf):
+    tags = read(spark, sf, "conversations").groupBy(F.col("conv_id").alias("image")).agg(F.collect_set("role").alias("tags"))  # a handful of roles
+    return report.with_tag(tags, "system").select("image")
+
+
+# ---- joins and counts of builds ----
+
+
+@query("SELECT folder, stem, CASE has_truth WHEN 1 THEN 2 ELSE 0 END AS n_truth, CASE has_label WHEN 1 THEN 1 ELSE 0 END AS n_predicted, CASE WHEN has_label = 1 THEN conf END AS least_conf, has_truth = 1 AS has_text FROM <frames>")
+def prediction_truth(spark, sf):
+    f = proxy(spark, sf, "frames")
+    predictions = f.select("folder", "stem", F.when(F.col("has_label") == 1, F.concat_ws(" ", F.lit("0 0.5 0.5 0.25 0.25"), F.col("conf").cast("string"))).otherwise("").alias("text"))
+    truths = f.where("has_truth = 1").select("folder", "stem", F.lit("0 0.1 0.2 0.3 0.4\n0 0.5 0.5 0.1 0.1").alias("text"))
+    return sampling.prediction_truth(predictions, truths).select("folder", "stem", "n_truth", "n_predicted", "least_conf", F.col("text").isNotNull().alias("has_text"))
+
+
+@query("SELECT s.split, count(f.split) AS n FROM (VALUES ('train'), ('val'), ('test')) s(split) LEFT JOIN (SELECT split FROM <frames> WHERE split <> 'val') f ON f.split = s.split GROUP BY s.split")
+def split_counts_zero(spark, sf):
+    return sampling.split_counts(proxy(spark, sf, "frames").where("split <> 'val'"))
+
+
+_LISTED = "SELECT folder, split FROM <frames> GROUP BY folder, split UNION ALL SELECT concat('gone', CAST(r_regionkey AS STRING)), 'val' FROM {region}"
+
+
+@query(f"WITH h AS (SELECT folder, count(*) AS images FROM <frames> GROUP BY folder), c AS (SELECT folder, count(*) AS frames FROM <frames> WHERE has_label = 1 AND conf > 9e-1 GROUP BY folder) SELECT split, count(*) AS sequences, count(*) FILTER (frames IS NOT NULL) AS written, CAST(coalesce(sum(frames), 0) AS BIGINT) AS frames, count(*) FILTER (images IS NOT NULL AND frames IS NULL) AS skipped, count(*) FILTER (images IS NULL AND frames IS NULL) AS missing FROM ({_LISTED}) l LEFT JOIN h USING (folder) LEFT JOIN c USING (folder) GROUP BY split")
+def run_counters(spark, sf):
+    f = proxy(spark, sf, "frames")
+    gone = read(spark, sf, "region").select(F.concat(F.lit("gone"), F.col("r_regionkey").cast("string")).alias("folder"), F.lit("val").alias("split"))
+    listed = f.select("folder", "split").distinct().unionByName(gone)
+    return quality.run_counters(listed, f, f.where("has_label = 1 AND conf > 0.9"))
+
+
+@query("SELECT split, name, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY split, name ORDER BY r DESC, doc_id) AS p FROM (SELECT split, concat(source, '-', CAST(n_chars % 50 AS STRING)) AS name, doc_id, doc_id % 3 AS r FROM <docs> WHERE split IN ('train', 'test'))) WHERE p = 1")
+def dataset_combine(spark, sf):
+    d = proxy(spark, sf, "docs").select("split", F.concat("source", F.lit("-"), (F.col("n_chars") % 50).cast("string")).alias("name"), "doc_id")
+    return sets.combined([d.where(F.col("doc_id") % 3 == i) for i in range(3)], ("train", "test"))
+
+
+# ---- pipelines ----
+
+
+@query(f"WITH RECURSIVE {_greedy('event_id % 2 = 0 AND event_id % 3 <> 0', 'event_id % 2 = 1')}, " + _rebalanced("two AS (SELECT id, folder, camera, split, true AS new FROM assigned UNION ALL SELECT id, folder, camera, split, false FROM <registry> WHERE event_id % 2 = 1)") + " SELECT 'registry' AS side, id, folder, camera, split FROM balanced UNION ALL SELECT 'registry', id, folder, camera, split FROM <registry> WHERE event_id % 2 = 1 UNION ALL SELECT 'rejected', NULL, folder, NULL, NULL FROM <seqs> WHERE event_id % 2 = 0 AND event_id % 3 = 0")
+def add_data(spark, sf):
+    s, r = proxy(spark, sf, "seqs"), proxy(spark, sf, "registry").where("event_id % 2 = 1").select("id", "folder", "camera", "split")
+    image = F.concat("folder", F.lit(".jpg"))
+    incoming = s.select("folder", F.array(image, image).alias("images"), F.when((F.col("event_id") % 2 == 0) & (F.col("event_id") % 3 == 0), F.array(F.lit(0))).otherwise(F.array(F.lit(9), F.lit(9))).alias("labels"))
+    after, rejected = pipelines.add_data(incoming, r, "wf")
+    none = F.lit(None).cast("string")
+    return after.select(F.lit("registry").alias("side"), "id", "folder", "camera", "split").unionByName(rejected.select(F.lit("rejected").alias("side"), none.alias("id"), "folder", none.alias("camera"), none.alias("split")))
+
+
+def _label(conf):
+    return F.concat_ws(" ", F.lit("0 0.5 0.5 0.25 0.125"), conf.cast("string"))
+
+
+@query("SELECT folder, stem, split, '0 0.5 0.5 0.25 0.125' AS label FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY md5(concat_ws('|', '0', folder, stem)), stem) AS p FROM <frames> WHERE has_label = 1) WHERE p <= 10")
+def wildfire_set(spark, sf):
+    f = proxy(spark, sf, "frames")
+    labels = f.select("folder", "stem", F.col("has_label").alias("label_bytes"), _label(F.col("conf")).alias("text"))
+    return pipelines.wildfire_frames(f.select("folder", "split").distinct(), f.select("folder", "stem"), labels).select("folder", "stem", "split", "label")
+
+
+@query(f"SELECT folder, concat(folder, '-x') AS stem, split, '' AS label FROM (SELECT folder, {'CASE WHEN id % 3 = 0 THEN {q}val{q} ELSE {q}train{q} END'.format(q=chr(39))} AS split FROM <items>) UNION ALL (SELECT folder, stem, 'test', '' FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY conf DESC, stem) AS turn FROM <frames> WHERE split = 'test' AND has_label = 1) ORDER BY turn, folder LIMIT 300)")
+def false_positive_set(spark, sf):
+    f = proxy(spark, sf, "frames")
+    items = proxy(spark, sf, "items").withColumns({"split": F.when(F.col("id") % 3 == 0, "val").otherwise("train"), "stem": F.concat("folder", F.lit("-x"))})
+    labels = f.select("folder", "stem", F.col("has_label").alias("label_bytes"), _label(F.col("conf")).alias("text"))
+    out = pipelines.false_positive_frames(f.select("folder", "split").distinct(), labels, items, f, {"train": 10**9, "val": 10**9, "test": 300})
+    return out.select("folder", "stem", "split", "label")
+
+
+@query("SELECT folder, split, 'wildfire' AS category FROM <registry> UNION ALL SELECT folder, CASE id % 3 WHEN 0 THEN 'train' ELSE 'val' END, 'fp' FROM <items> WHERE id < 30")
+def sequential_set(spark, sf):
+    """With fewer false positives than wildfires in a split, all of them are taken."""
+    items = proxy(spark, sf, "items").where("id < 30").withColumn("split", F.when(F.col("id") % 3 == 0, "train").otherwise("val"))
+    return pipelines.sequential(proxy(spark, sf, "registry").select("folder", "split"), items, proxy(spark, sf, "frames"))
+
+
+@query("WITH k AS (SELECT folder FROM <frames> GROUP BY folder HAVING bool_or(conf > 9e-1) OR count(*) = sum(has_truth)) SELECT folder, stem, CASE WHEN conf > 9e-1 THEN '' ELSE 'text' END AS label FROM <frames> WHERE folder IN (SELECT folder FROM k)")
+def temporal_set(spark, sf):
+    f = proxy(spark, sf, "frames").select("folder", "stem", (F.col("conf") > 0.9).alias("is_background"), (F.col("has_truth") == 1).alias("has_truth"), F.lit("text").alias("text"))
+    return pipelines.temporal(f).select("folder", "stem", "label")
+
+
+@query("""WITH fp AS (SELECT folder, stem, row_number() OVER (PARTITION BY folder ORDER BY conf DESC, stem) AS p FROM <frames> WHERE has_truth = 0 AND conf > 0),
+tp AS (SELECT folder, stem, has_label, row_number() OVER (PARTITION BY folder, has_label ORDER BY CASE WHEN has_label = 1 THEN conf END NULLS LAST, stem) AS q FROM <frames> WHERE has_truth = 1),
+hard AS (SELECT folder, stem, row_number() OVER (PARTITION BY folder ORDER BY md5(concat_ws('|', '1', folder, stem)), stem) AS p FROM tp WHERE q <= CASE WHEN has_label = 1 THEN 6 ELSE 3 END),
+rows AS (SELECT folder, stem, true AS is_background, '' AS label FROM fp WHERE p <= 3 UNION ALL SELECT folder, stem, false, '0 0.1 0.2 0.3 0.4' FROM hard WHERE p <= 3),
+f AS (SELECT folder, row_number() OVER (ORDER BY md5(concat('1|', folder)), folder) AS p, CAST(count(*) OVER () AS DOUBLE) AS n FROM (SELECT DISTINCT folder FROM rows))
+SELECT folder, stem, CASE WHEN p <= floor(n * 8e-1) THEN 'train' WHEN p <= floor(n * 8e-1) + floor(n * (1 - 8e-1) * 5e-1) THEN 'val' ELSE 'test' END AS split, is_background, label FROM rows JOIN f USING (folder)""")
+def training_selection(spark, sf):
+    f = proxy(spark, sf, "frames")
+    fp = f.where("has_truth = 0").select("folder", "stem", "line", "conf")
+    predictions = f.where("has_truth = 1").select("folder", "stem", F.when(F.col("has_label") == 1, F.concat_ws(" ", F.lit("0 0.5 0.5 0.25 0.25"), F.col("conf").cast("string"))).otherwise("").alias("text"))
+    truths = f.where("has_truth = 1").select("folder", "stem", F.lit("0 0.1 0.2 0.3 0.4").alias("text"))
+    return pipelines.training_selection(fp, sampling.prediction_truth(predictions, truths, strict=True), 3)
+
+
+@query("SELECT DISTINCT CAST(o_orderkey AS STRING) AS id, o_orderstatus AS status FROM {orders} WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0")
+def annotated_sequences(spark, sf):
+    o = read(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"))
+    n = F.col("id").cast("long")
+    folders = o.where(n % 3 == 0).select(F.concat(F.lit("2025-01-01T00-00-00_cam-9_sequence-"), "id").alias("folder"))
+    return pipelines.annotated_sequences(o.unionByName(o), folders, o.where(n % 5 == 0))
+
+
+@query("""SELECT DISTINCT l.l_orderkey AS detection_id, l.l_linenumber AS line, o.o_orderkey AS sequence_id, c.c_name AS camera_name, n.n_name AS organization_name
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey""")
+def platform_update(spark, sf):
+    d, s, c, o = _platform(spark, sf)
+    known = platform.records(d.where("azimuth <= 3"), s, c, o).distinct()
+    return pipelines.platform_update(known, d, s, c, o).select("detection_id", F.col("detection_azimuth").alias("line"), "sequence_id", "camera_name", "organization_name")
+
+
+@query(f"SELECT folder, stem, (x1 + x2) / 2 - m AS x1, (y1 + y2) / 2 - m AS y1, (x1 + x2) / 2 + m AS x2, (y1 + y2) / 2 + m AS y2 FROM (SELECT *, greatest(x2 - x1, y2 - y1) * 1.4e0 / 2 AS m FROM (SELECT folder, stem, {_CORNERS} FROM ({_MAIN})))")
+def embedding_crops(spark, sf):
+    return pipelines.embedding_crops(proxy(spark, sf, "frames")).select("folder", "stem", "crop.*")
+
+
+@query("SELECT folder, stem, conf, CASE WHEN has_truth = 1 THEN 'truth' END AS truth FROM <frames> WHERE has_label = 1")
+def copied_records(spark, sf):
+    f = proxy(spark, sf, "frames")
+    return pipelines.copied_records(f.where("has_label = 1").select("folder", "stem", "conf"), f.where("has_truth = 1").select("folder", "stem", F.lit("truth").alias("text")))

@@ -1,11 +1,13 @@
 """Operators against small models in plain Python."""
 
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from lookout.operators import detections, graph, platform, quality, report, sampling, select, sets, splits, viewpoints
+from lookout.functions import boxes
+from lookout.operators import detections, graph, platform, quality, ranks, report, sampling, select, sets, splits, viewpoints
 from lookout.plans import pipelines
 
 REGISTRY = "id string, folder string, camera string, split string"
@@ -144,24 +146,27 @@ def random_boxes(n, seed):
 
 
 def test_overlap_and_suppression(spark):
-    boxes = random_boxes(150, 3)
-    df = detections.with_corners(spark.createDataFrame(boxes, "id long, k string, cx double, cy double, w double, h double"))
-    c = {b[0]: (b[2] - b[4] / 2, b[3] - b[5] / 2, b[2] + b[4] / 2, b[3] + b[5] / 2) for b in boxes}
-    for least in (0.5, 0.2):
-        want = {(a[0], b[0]) for a in boxes for b in boxes if a[0] < b[0] and a[1] == b[1] and iou(c[a[0]], c[b[0]]) > least}
+    found = random_boxes(150, 3)
+    df = detections.with_corners(spark.createDataFrame(found, "id long, k string, cx double, cy double, w double, h double"))
+    c = {b[0]: (b[2] - b[4] / 2, b[3] - b[5] / 2, b[2] + b[4] / 2, b[3] + b[5] / 2) for b in found}
+    for least in (0.7, 0.5, 0.2, 0.1, 0.05, 0.0):
+        want = {(a[0], b[0]) for a in found for b in found if a[0] < b[0] and a[1] == b[1] and iou(c[a[0]], c[b[0]]) > least}
         assert {(r.a, r.b) for r in detections.overlapping(df, "k", least).collect()} == want
-        assert want
-    kept, group = set(), {}
-    for b in boxes:
+        assert want or least == 0.7
+        assert detections.overlapping(df, "k", least).count() == len(want)
+    group = {}
+    for b in found:
         group.setdefault(b[1], []).append(b[0])
-    for ids in group.values():
-        left = set(ids)
-        for i in sorted(ids):  # confidence goes up with id here
-            if any(iou(c[i], c[j]) > 0.1 for j in left - {i}):
-                left.discard(i)
-        kept |= left
-    got = detections.suppress(df.withColumns({"conf": F.col("id").cast("double"), "stem": F.lit(""), "line": F.lit(0)}), ["k"], 0.1)
-    assert {r.id for r in got.collect()} == kept
+    scored = df.withColumns({"conf": F.col("id").cast("double"), "stem": F.lit(""), "line": F.lit(0)})
+    for threshold in (0.0, 0.05, 0.1, 0.3, 0.6):
+        kept = set()
+        for ids in group.values():
+            left = set(ids)
+            for i in sorted(ids):  # confidence goes up with id here
+                if any(iou(c[i], c[j]) > threshold for j in left - {i}):
+                    left.discard(i)
+            kept |= left
+        assert {r.id for r in detections.suppress(scored, ["k"], threshold).collect()} == kept
 
 
 def test_sets(spark):
@@ -197,6 +202,103 @@ def test_viewpoints(spark):
     assert viewpoints.reject_reason(p.withColumn("h_scale", F.lit(None).cast("double"))).where("reason = 'degenerate'").count() == 4
 
 
+@pytest.mark.parametrize(("dcx", "scale", "inliers", "reason"), [(0.9, None, 9, "degenerate"), (0.9, None, 2, None), (0.9, float("nan"), 4, "degenerate"), (-0.51, 1.0, 0, "dcx"), (0.5, 1.71, 9, "scale"), (0.9, 0.1, 9, "dcx"), (0.0, 0.6, 9, None), (0.0, None, 3, None)])
+def test_reject_reason(spark, dcx, scale, inliers, reason):
+    row = spark.createDataFrame([(dcx, scale, inliers)], "dcx double, h_scale double, n_inliers int")
+    assert viewpoints.reject_reason(row).first().reason == reason
+
+
+def grown(box, least_w, least_h, width, height):
+    """By the rule in words, side by side."""
+    x1, y1, x2, y2 = box
+    if x2 - x1 >= least_w and y2 - y1 >= least_h:
+        return box
+
+    def side(lo, hi, least, most):
+        lo = max(0, lo - (least - (hi - lo)) // 2)
+        hi = min(most, lo + least)
+        if hi - lo < least:
+            lo, hi = (0, min(most, least)) if lo == 0 else (max(0, most - least), most)
+        return lo, hi
+
+    (a, c), (b, d) = side(x1, x2, least_w, width), side(y1, y2, least_h, height)
+    return a, b, c, d
+
+
+def test_expanded(spark):
+    rng = random.Random(7)
+    cases = [(0, 0, 800, 600, 224, 224, 1280, 720), (10, 10, 20, 20, 224, 224, 640, 480), (600, 470, 640, 480, 224, 224, 640, 480), (0, 0, 50, 50, 224, 224, 100, 100), (100, 100, 500, 110, 224, 224, 640, 480)]
+    for _ in range(200):
+        w, h = rng.randint(50, 700), rng.randint(50, 700)
+        x, y = sorted(rng.choices(range(w + 1), k=2)), sorted(rng.choices(range(h + 1), k=2))
+        cases.append((x[0], y[0], x[1], y[1], rng.randint(1, 300), rng.randint(1, 300), w, h))
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, x1 int, y1 int, x2 int, y2 int, lw int, lh int, w int, h int")
+    for r in df.select("i", boxes.expanded(*map(F.col, ("x1", "y1", "x2", "y2", "lw", "lh", "w", "h"))).alias("b")).collect():
+        c = cases[r.i]
+        assert tuple(r.b) == grown(c[:4], *c[4:]), c
+
+
+def test_homography_features(spark):
+    f = lambda det: spark.range(1).select(boxes.homography_features(*map(F.lit, (0.0, 0.0, 320.0, 240.0, 640.0, 0.0, 1280.0, 480.0, 640, 480, 1280, 960)), F.lit(det)).alias("x")).first().x
+    assert tuple(f(4.0)) == (0.5, 2.0, 0.25, 0.25)
+    assert f(-1.0).h_scale is None
+
+
+def test_validator_and_default_keep(spark):
+    rows = spark.createDataFrame([("s", 1, 2, 30, "pending", "b", "a", 1, 5), ("t", 3, 4, 29, "accepted", "a", "a", 2, 2), ("t", 5, 6, 90, "accepted", "a", "b", 9, 1)], "site string, azimuth_a int, azimuth_b int, n_inliers int, status string, latest_a string, latest_b string, n_a int, n_b int")
+    assert [r.azimuth_a for r in viewpoints.filtered(rows).orderBy("azimuth_a").collect()] == [1, 5]
+    assert [r.azimuth_a for r in viewpoints.filtered(rows, 0, "accepted", "t").orderBy("azimuth_a").collect()] == [3, 5]
+    assert [r.proposed for r in viewpoints.default_keep(rows).orderBy("azimuth_a").collect()] == [1, 3, 6]
+    totals = viewpoints.remap_totals(spark.createDataFrame([], "cluster_id string, n_sequences long, n_train long, n_val long, n_test long")).first()
+    assert tuple(totals) == (0, 0, 0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("values", [["b", "a", "ab", "abc", "abcd", "abcd", "", "é", "aéz", None], [f"wf_{i:08d}" for i in range(57)], ["same"] * 9, []])
+def test_nth_text(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    order = sorted((v for v in values if v is not None), key=lambda v: v.encode())
+    for n in {1, 2, 5, len(order), len(order) + 1} - {0}:
+        assert ranks.nth_text(df, "x", n) == (order[n - 1] if n <= len(order) else None)
+
+
+def test_by_ratio(spark):
+    rng = random.Random(8)
+    rows = [(f"i{i:04d}", rng.choice(["train", "train", "val", None])) for i in range(500)] + [("one", "test")]
+    got = sampling.by_ratio(spark.createDataFrame(rows, "stem string, split string"), ["split"], 0.05, seed=3).collect()
+    want = set()
+    for s in ("train", "val", "test", None):
+        own = sorted((x for x, y in rows if y == s), key=lambda x: (hashlib.md5(f"3|{x}".encode()).hexdigest(), x))
+        want |= {(x, s) for x in own[: max(1, round(len(own) * 0.05))]}
+    assert {(r.stem, r.split) for r in got} == want
+    assert len(got[0]) == 2
+
+
+def test_prediction_truth(spark):
+    p = spark.createDataFrame([("f", "a", "0 .5 .5 .1 .1 .9\n0 .5 .5 .1 .1 .3"), ("f", "b", ""), ("f", "c", None)], "folder string, stem string, text string")
+    t = spark.createDataFrame([("f", "a", "0 .5 .5 .1 .1"), ("f", "b", "")], "folder string, stem string, text string")
+    rows = {r.stem: (r.n_truth, r.n_predicted, r.least_conf, r.text) for r in sampling.prediction_truth(p, t).collect()}
+    assert rows == {"a": (1, 2, 0.3, "0 .5 .5 .1 .1"), "b": (0, 0, None, ""), "c": (0, 0, None, None)}
+    assert sampling.prediction_truth(p.where("stem <> 'c'"), t, strict=True).count() == 2
+    with pytest.raises(Exception, match="no ground truth"):
+        sampling.prediction_truth(p, t, strict=True).collect()
+
+
+def test_counters(spark):
+    registry = spark.createDataFrame([("a", "train"), ("b", "train"), ("c", "val")], "folder string, split string")
+    images = spark.createDataFrame([("a",), ("a",), ("b",)], "folder string")
+    chosen = spark.createDataFrame([("a", "1")], "folder string, stem string")
+    got = {r.split: (r.sequences, r.written, r.frames, r.skipped, r.missing) for r in quality.run_counters(registry, images, chosen).collect()}
+    assert got == {"train": (2, 1, 1, 1, 0), "val": (1, 0, 0, 0, 1)}
+    rows, seen = quality.observed(images, "build", of_a=F.col("folder") == "a")
+    assert rows.count() == 3
+    assert seen.get == {"rows": 3, "of_a": 2}
+    split = registry.select("split")
+    with pytest.raises(ValueError, match="differ"):
+        quality.assert_parity(split, split.limit(1))
+    quality.assert_parity(split, split)
+    assert {r.split: r.n for r in sampling.split_counts(registry).collect()} == {"train": 2, "val": 1, "test": 0}
+
+
 def test_two_stage(spark):
     rng = random.Random(4)
     items = [(i, f"f{i}", f"c{i % 3}", [rng.gauss(0, 1) for _ in range(8)]) for i in range(40)]
@@ -247,6 +349,19 @@ def test_platform(spark):
     (r,) = platform.records(d, s, c, o).collect()
     assert (r.sequence_is_wildfire, r.camera_name, r.organization_name) == (True, "cam", "org")
     assert len(r) == 19
+    twice = c.unionByName(c.withColumn("name", F.lit("new")))
+    at = twice.withColumn("at", F.when(F.col("name") == "new", 1).otherwise(2))
+    assert platform.records(d, s, platform.last_of(at, "at"), o).first().camera_name == "cam"
+    assert platform.records(d, s, twice, o).first().camera_name == "new"
+    assert platform.records(d, s, c, o, strict=True).count() == 1
+    assert platform.records(d, s, c.limit(0), o).count() == 0
+    with pytest.raises(Exception, match="no camera_id 7"):
+        platform.records(d, s, c.limit(0), o, strict=True).collect()
+    known = platform.records(d, s, c, o)
+    assert pipelines.platform_update(known, d, s, c, o).count() == 1
+    dirs = spark.createDataFrame([("a/x-true-positives/",), ("a/false-positives",), ("b/c_sequence-7",), ("b/c_sequence-7x",)], "path string")
+    assert [platform.directories(dirs, e).count() for e in ("true-positives", "false-positives")] == [1, 1]
+    assert [r.path for r in platform.directories(dirs, sequence=True).collect()] == ["b/c_sequence-7"]
     ids = platform.sequence_ids(spark.createDataFrame([("x_sequence-12",), ("x_sequence-",), ("y",)], "folder string"))
     assert [r.sequence_id for r in ids.collect()] == [12]
 
