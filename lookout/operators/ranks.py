@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def nth_text(rows: DataFrame, column: str, n: int, step: int = 3) -> str | None:
+def nth_text(rows: DataFrame, column: str, n: int, step: int = 6) -> str | None:
     """The n-th of the texts in ascending order (repeats count; null texts don't), null if there are fewer.
 
     By counts of the beginnings that are left, `step` characters longer each round: an aggregate with map-side sums over distinct beginnings, and no sort of rows.
