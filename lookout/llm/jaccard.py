@@ -11,7 +11,8 @@ A document's set is its distinct shingles of `words` words.  Two documents link
    verified only if they share min(l, l') of their longer prefixes, besides passing the size and position bounds.
 3. Nodes that share a prefix shingle meet in that shingle's group.  First every one is compared with one of the group alone, which
    costs a row for each; verified links are closed to components.  Then pairs from different components of a group are compared, as
-   others can't change the result; groups over SPLIT nodes are compared block by block, spread over tasks.
+   others can't change the result; groups over SPLIT nodes are compared block by block, spread over tasks.  One pair in WAVE is verified first,
+   and of the rest those that still lie in different components.
 4. Verification is exact, on whole texts: the two shingle sets are intersected.  Of a pair the one with more partners is the head; a head's partners
    are dealt into chunks of about CHUNK, and its text is sent once to each, so a head with any number of partners is spread over tasks.
 
@@ -31,7 +32,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from lookout.llm.common import PLAIN_CODES, WORD, WordHasher, free_names, materialise, mix, prepare, shared_sketch, temporary, texts, tidy
 
-SKETCH_BITS, SPLIT, CHUNK = 22, 8000, 256
+SKETCH_BITS, SPLIT, CHUNK, PIVOTS, WAVE = 22, 8000, 256, 4, 8
 #: Extra prefix shingles of every node, and for each doubling of its estimated candidates beyond CHEAP of them.
 EXTRA, STEP, CHEAP = 16, 4, 8
 
@@ -148,7 +149,8 @@ def _met(postings: DataFrame, percent: int, partitions: int) -> DataFrame:
                 own, pivot = table.take(rows), table.column("key").take(pa.array(p))
                 yield from pa.table([*(own.column(c) for c in names), pivot, pa.array(near)], [*names, "pivot", "near"]).to_batches()
 
-    ordered = postings.withColumn("_turn", F.xxhash64("shingle", "key")).repartition(partitions, "shingle").sortWithinPartitions("shingle", "_turn", "key").drop("_turn")
+    # a group's first is the same for all shingles of one of PIVOTS classes, so that near copies, which share many shingles, have few pivots and not one for each shingle
+    ordered = postings.withColumn("_turn", F.xxhash64("key", F.pmod("shingle", F.lit(PIVOTS)))).repartition(partitions, "shingle").sortWithinPartitions("shingle", "_turn", "key").drop("_turn")
     return ordered.mapInArrow(run, "shingle long, key binary, n long, pos int, pivot binary, near boolean")
 
 
@@ -233,8 +235,9 @@ def _cross_pairs(met: DataFrame, percent: int, partitions: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, partitions: int) -> DataFrame:
     """The pairs (a, b) of set keys that link, by their whole texts."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    sketch = shared_sketch(needed, lambda batch: np.frombuffer(b"".join(k[:8] for k in batch.column(0).to_pylist()), ">u8").astype(np.uint64), SKETCH_BITS)
+    partners = pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    partners = materialise(partners, "partners")  # as a table, so that Spark can split a hot key's rows in the joins
+    sketch = shared_sketch(partners.select("key"), lambda batch: np.frombuffer(b"".join(k[:8] for k in batch.column(0).to_pylist()), ">u8").astype(np.uint64), SKETCH_BITS)
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(sketch > 0))  # which texts can be needed: 2**SKETCH_BITS bits
 
     def pick(batches):
@@ -253,7 +256,6 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, partiti
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], ["key", "packed"])
 
     found = docs.select("text").mapInArrow(tidy(pick), "key binary, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
-    partners = materialise(needed.groupBy("key").agg(F.count("*").alias("n")), "partners")  # as a table, so that Spark can split a hot key's rows in the joins
     both = pairs.join(partners.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(partners.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
     by_a = F.col("na") >= F.col("nb")
     turned = both.select(F.when(by_a, F.col("a")).otherwise(F.col("b")).alias("head"), F.when(by_a, F.col("b")).otherwise(F.col("a")).alias("key"), F.ceil(F.greatest("na", "nb") / CHUNK).alias("chunks"))
@@ -327,8 +329,14 @@ def set_components(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[
         parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(j, F.col("block")) * F.col("blocks") + F.greatest(j, F.col("block")))
         cross = _cross_pairs(rows.withColumn("part", F.explode(parts)), percent, partitions)
         cross = materialise(_filtered(cross, marks, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
-        second = materialise(_verify(cross, docs, words, percent, partitions), "links")
-        of = keep(materialise(components(first.union(second)), "components"))
+        # an even part of the pairs first: where many link, it joins most of a group, and pairs within a component needn't be verified
+        turn = F.pmod(F.xxhash64("a", "b"), F.lit(WAVE))
+        second = materialise(_verify(cross.where(turn == 0), docs, words, percent, partitions), "links")
+        comps = materialise(components(first.union(second)), "components")
+        of_a, of_b = (comps.select(F.col("key").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab")
+        rest = cross.where(turn != 0).join(of_a, "a", "left").join(of_b, "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
+        third = materialise(_verify(materialise(rest, "rest-pairs"), docs, words, percent, partitions), "links")
+        of = keep(materialise(components(first.union(second).union(third)), "components"))
         slim = keep(materialise(sets.select("doc_id", "n", "key"), "sets"))
     return slim, of
 
