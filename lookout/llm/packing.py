@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from lookout.llm.common import held, materialise, offsets_within, prepare, texts, tidy, tokenizer_path
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers, and the longest of them in characters: 100 MB at most.  When full, they are forgotten; longer ones are kept for a batch.
-WORDS_KEPT, LONGEST_KEPT = 300_000, 64
+#: Words whose ids a worker remembers, and the longest of them in characters: under 300 MB, about 150 MB for ordinary words.  When full, they are forgotten; longer ones are kept for a batch.
+WORDS_KEPT, LONGEST_KEPT = 700_000, 32
 #: A fixed value: how the public byte-level tokenizer cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
