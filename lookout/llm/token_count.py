@@ -21,8 +21,8 @@ from lookout.llm.common import held, prepare, texts, tidy, tokenizer_path
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words a worker remembers, and the longest of them in characters: 100 MB at most.  When full, they are forgotten; longer ones aren't kept.
-WORDS_KEPT, LONGEST_KEPT = 300_000, 64
+#: Words a worker remembers, and the longest of them in characters: under 300 MB, about 150 MB for ordinary words.  When full, they are forgotten; longer ones aren't kept.
+WORDS_KEPT, LONGEST_KEPT = 700_000, 32
 
 
 def vocabulary(path: str) -> dict[str, float]:
