@@ -32,7 +32,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from lookout.llm.common import PLAIN_CODES, WORD, WordHasher, free_names, materialise, mix, prepare, shared_sketch, temporary, texts, tidy
 
-SKETCH_BITS, SPLIT, CHUNK, PIVOTS, WAVE = 22, 8000, 256, 4, 8
+SKETCH_BITS, SPLIT, CHUNK, WAVE = 22, 8000, 256, 8
 #: Extra prefix shingles of every node, and for each doubling of its estimated candidates beyond CHEAP of them.
 EXTRA, STEP, CHEAP = 16, 4, 8
 
@@ -149,8 +149,7 @@ def _met(postings: DataFrame, percent: int, partitions: int) -> DataFrame:
                 own, pivot = table.take(rows), table.column("key").take(pa.array(p))
                 yield from pa.table([*(own.column(c) for c in names), pivot, pa.array(near)], [*names, "pivot", "near"]).to_batches()
 
-    # a group's first is the same for all shingles of one of PIVOTS classes, so that near copies, which share many shingles, have few pivots and not one for each shingle
-    ordered = postings.withColumn("_turn", F.xxhash64("key", F.pmod("shingle", F.lit(PIVOTS)))).repartition(partitions, "shingle").sortWithinPartitions("shingle", "_turn", "key").drop("_turn")
+    ordered = postings.withColumn("_turn", F.xxhash64("shingle", "key")).repartition(partitions, "shingle").sortWithinPartitions("shingle", "_turn", "key").drop("_turn")
     return ordered.mapInArrow(run, "shingle long, key binary, n long, pos int, pivot binary, near boolean")
 
 
