@@ -63,9 +63,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _written(spark).append((path, out))
-    return out
+    return register(path, spark.read.schema(df.schema).parquet(path))
+
+
+def register(path: str, table: DataFrame) -> DataFrame:
+    """Notes that the table's files at path are an operator's own, for `temporary`, `drop` and `clear`."""
+    _written(table.sparkSession).append((path, table))
+    return table
+
+
+def drop(table: DataFrame) -> None:
+    """Removes a table that an operator has written, when nothing will read it any more."""
+    written = _written(table.sparkSession)
+    for path, _ in (x for x in written if x[1] is table):
+        _remove(table.sparkSession, path)
+    written[:] = [x for x in written if x[1] is not table]
 
 
 def _written(spark: SparkSession) -> list[tuple[str, DataFrame]]:

@@ -76,6 +76,12 @@ def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(documents(spark, sf_dir))
 
 
+def op13_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.lloyd import clustered
+
+    return clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch_fingerprints": op1_imatch_fingerprints,
     "op2_rule_bitmask_ledger": op2_rule_bitmask_ledger,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_attention_mil_quality": op8_attention_mil_quality,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_delta_lloyd": op13_delta_lloyd,
     "rule_ablations": rule_ablations,
 }
 
@@ -112,7 +119,28 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_
              + (CASE WHEN n_words >= 100 AND 100 * n_distinct_words < 8 * n_words THEN 256 ELSE 0 END) AS fail_bits FROM m)
 """
 
+
+
+def _lloyd(k: int = 8, rounds: int = 10, dimensions: int = 64) -> str:
+    """Every round compares all vectors with all centroids."""
+    ctes = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS j, v AS c FROM v QUALIFY j < {k})",
+    ]
+    for i in range(rounds + 1):
+        ctes.append(f"d{i} AS (SELECT r, j, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{i})")
+        ctes.append(f"a{i} AS MATERIALIZED (SELECT r, min({{'d': d, 'j': j}}) AS b FROM d{i} GROUP BY r)")
+        if i < rounds:
+            ctes.append(f"s{i} AS (SELECT a.b.j AS j, p, sum(v.v[p]) AS s, count(*) AS n FROM a{i} a JOIN v USING (r), (SELECT unnest(range(1, {dimensions + 1})) AS p) GROUP BY 1, 2)")
+            ctes.append(f"c{i + 1} AS MATERIALIZED (SELECT c.j, coalesce(x.c, c.c) AS c FROM c{i} c LEFT JOIN (SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS c FROM s{i} GROUP BY j) x ON x.j = c.j)")
+    return f"""WITH {', '.join(ctes)}
+SELECT vec_id, CAST(a.b.j AS INTEGER) AS cluster, CAST(a.b.d AS BIGINT) AS distance, CAST(sum(a.b.d) OVER (PARTITION BY a.b.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.b.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.j = a.b.j"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_delta_lloyd": _lloyd(),
     "op2_rule_bitmask_ledger": f"""WITH {_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct_words, n_letters, n_upper,
        CAST(fail_bits AS BIGINT) AS fail_bits, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept
