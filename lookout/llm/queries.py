@@ -76,6 +76,18 @@ def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(documents(spark, sf_dir))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.trie import conversation_trie
+
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_hilbert_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lookout.llm.curve import curve_digest
+
+    return curve_digest(documents(spark, sf_dir))
+
+
 def op13_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lookout.llm.lloyd import clustered
 
@@ -93,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_attention_mil_quality": op8_attention_mil_quality,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_hilbert_curve_packing": op12_hilbert_curve_packing,
     "op13_delta_lloyd": op13_delta_lloyd,
     "rule_ablations": rule_ablations,
 }
@@ -120,6 +134,18 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_
 """
 
 
+#: The unsigned crc32 of a number's digits, bit by bit.
+_CRC32 = "xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"
+_TRIE = f"""WITH o AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, conv_id - ((conv_id % 100) + 100) % 100 AS base, {_CRC32.format('conv_id')} % 6 AS h FROM o),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.t[1:h.h], []), h.t[h.h + 1:]) AS t FROM h LEFT JOIN o b ON b.conv_id = h.base),
+p AS (SELECT conv_id, d, t[1:d] AS prefix, len(t) = d AS ends FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM r)),
+n AS MATERIALIZED (SELECT prefix, d, prefix[1:d - 1] AS above, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends FROM p GROUP BY prefix, d),
+c AS MATERIALIZED (SELECT n.*, coalesce(k.k, 0) AS k FROM n LEFT JOIN (SELECT above, count(*) AS k FROM n WHERE d > 0 GROUP BY above) k ON k.above = n.prefix),
+s AS (SELECT prefix[1:e] AS prefix, count(*) FILTER (k = 0) AS leaves, sum(CASE WHEN d = 0 THEN 0 ELSE (n - 1) * length(prefix[d].text) END) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM c) GROUP BY 1)
+SELECT c.conv_id, c.d AS depth, u.conv_id AS parent_conv_id, c.n AS n_convs, c.k AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, c.ends AS ends_sha256
+FROM c JOIN s USING (prefix) LEFT JOIN n u ON c.d > 0 AND u.prefix = c.above"""
+
 
 def _lloyd(k: int = 8, rounds: int = 10, dimensions: int = 64) -> str:
     """Every round compares all vectors with all centroids."""
@@ -140,6 +166,7 @@ FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.j = a.b.j"""
 
 
 ORACLES: dict[str, str] = {
+    "op11_conversation_prefix_trie": _TRIE,
     "op13_delta_lloyd": _lloyd(),
     "op2_rule_bitmask_ledger": f"""WITH {_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct_words, n_letters, n_upper,
