@@ -6,7 +6,8 @@ counts as rejected.  Long texts are encoded whole, in pieces of PIECE bytes.  Zs
 texts under SHORT bytes are encoded behind a stretch of the dictionary itself, at the highest level, and once more from each
 of their words on, which gives a finer measure than whole bytes.
 
-A dictionary is whole texts of a bounded sample of labelled rows, in a seeded order, as far as they fit.
+A dictionary is texts of a bounded sample of labelled rows, in a seeded order, as far as they fit.  Texts up to LONGEST bytes are taken whole; of a longer one the
+letters are, SLICES stretches spread evenly over it.  So every language that has a letter in a row to learn from is learned.
 """
 
 from __future__ import annotations
@@ -14,13 +15,13 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookout.llm.common import bounded_sample, held, learned_split, prepare, texts, tidy
 
-#: Labelled rows that a language is learned from, at most; the bytes of a text in the sample, at most; the bytes of a dictionary, which whole texts fill.
-SAMPLE, LONGEST, DICTIONARY = 600, 16 << 10, 256 << 10
+#: Labelled rows that a language is learned from, at most; the bytes of a text that are taken whole, and the stretches of a longer one; the bytes of a dictionary.
+SAMPLE, LONGEST, SLICES, DICTIONARY = 600, 16 << 10, 8, 256 << 10
 PIECE, SHORT, PREFIX = 2048, 300, 300
 LEVEL, SHORT_LEVEL, MARGIN = 9, 19, 0.01
 #: All but lower-case ASCII letters and bytes of longer characters become spaces.
@@ -31,22 +32,30 @@ def letters(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_LETTERS).split())
 
 
+def taught(text: Column) -> Column:
+    """What a text teaches: itself up to LONGEST bytes, else SLICES stretches of its letters, as many characters together at most, from its beginning to its end."""
+    bare = F.regexp_replace(text, r"[^\p{L}\p{M}]+", " ")
+    size = LONGEST // SLICES
+    slices = [F.substring(bare, (F.greatest(F.length(bare) - size, F.lit(0)) * i / (SLICES - 1)).cast("int") + 1, F.lit(size)) for i in range(SLICES)]
+    return F.when(F.octet_length(text) <= LONGEST, text).when(F.length(bare) <= LONGEST, bare).otherwise(F.concat_ws(" ", *slices))
+
+
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Learns a dictionary for each language from rows with text and lang, outside the held-out quarter.
 
-    The sample has at most SAMPLE rows of a language, with texts of at most LONGEST bytes; for a language that has only longer ones, its shortest.
+    The sample has at most SAMPLE rows of a language, of those with a letter, whatever their length; only what they teach leaves the executors.
     """
-    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~learned_split(F.col("doc_id"), 4, 2))
+    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~learned_split(F.col("doc_id"), 4, 2) & F.col("text").rlike(r"\p{L}"))
     found: dict[str, list[bytes]] = {}
-    for r in bounded_sample(rows.where(F.octet_length("text") <= LONGEST), "lang", SAMPLE, ["lang", "text"]):
-        found.setdefault(r["lang"], []).append(letters(r["text"]) + b" ")
-    long = rows.where(~F.col("lang").isin([*found])) if found else rows
-    shortest = long.groupBy("lang").agg(F.min(F.struct(F.octet_length("text").alias("n"), F.xxhash64("text").alias("tie"))).alias("x")).select("lang", "x.*").collect()  # a row for each language
-    for r in shortest:
-        text = long.where((F.col("lang") == r["lang"]) & (F.octet_length("text") == r["n"]) & (F.xxhash64("text") == r["tie"])).select("text").first()["text"]
-        found[r["lang"]] = [letters(text) + b" "]
-    learned = {lang: b" " + b"".join(fill(parts, DICTIONARY - 1)) for lang, parts in sorted(found.items())}
-    return {lang: d for lang, d in learned.items() if len(d) > 8}
+    for r in bounded_sample(rows.select("doc_id", "lang", taught(F.col("text")).alias("taught")), "lang", SAMPLE, ["lang", "taught"]):
+        found.setdefault(r["lang"], []).append(letters(r["taught"]) + b" ")
+    return {lang: content(parts) for lang, parts in sorted(found.items())}
+
+
+def content(parts: list[bytes]) -> bytes:
+    """A dictionary of the parts that fit; of very few letters they are repeated, as zstandard takes 8 bytes at least."""
+    joined = b"".join(fill(parts, DICTIONARY - 1))
+    return b" " + joined * (1 if len(joined) > 8 else -(-9 // len(joined)))
 
 
 def fill(parts: list[bytes], most: int) -> list[bytes]:
