@@ -145,7 +145,7 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits the model on at most SAMPLE documents of each label, none of them held out."""
+    """Fits the model on at most SAMPLE documents of each label, none of them held out; of rows that share a doc_id, and have a text, on one, the least by a hash of its text."""
     rows = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~learned_split(F.col("doc_id"), 5, 0))
     label = {r["doc_id"]: r["quality"] for r in reversed(bounded_sample(rows, "quality", SAMPLE, ["doc_id", "quality"]))}
     prepare(docs.sparkSession)
@@ -154,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zlib.compress(encode(t).tobytes(), 1) for t in texts(batch)], pa.binary())], ["doc_id", "bag"])
 
-    rows = docs.where(F.col("doc_id").isin([*label]) & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.where(F.col("doc_id").isin([*label]) & F.col("text").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("doc_id", "x.text")
     found = sorted((r["doc_id"], bytes(r["bag"])) for r in rows.mapInArrow(tidy(bags), "doc_id long, bag binary").collect()) if label else []
     return Model.fit([np.frombuffer(zlib.decompress(bag), np.float32).reshape(-1, FEATURES) for _, bag in found], [label[i] for i, _ in found])
 
