@@ -357,7 +357,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
 def keep_one(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """The rows of docs without those of which another of their component stays: the one with the smallest doc_id (null last).
 
-    Documents with an empty set (a null or empty text, or one without words) all stay.  Of repeated rows one stays, as of rows that share doc_id and set; ties between null ids go to the least set.
+    Documents with an empty set (a null or empty text, or one without words) all stay.  Of rows that share doc_id and set one stays, the one with the least hash of all its columns; ties between null ids go to the least set.
     Nulls in other columns don't matter, columns of any name are kept, and an empty table stays empty.  Texts are shuffled once, to meet the decisions.
     """
     columns = docs.columns
@@ -380,5 +380,6 @@ def keep_one(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     repeated = sets.groupBy("doc_id", "key").agg(F.count("*").alias("c")).where("c > 1").limit(1).count() > 0
     kept = rows.join(stays, set_key_).where(F.col(doc).eqNullSafe(F.col(set_id)))
     if repeated:
-        kept = kept.dropDuplicates([set_key_])
+        whole = F.struct(*[F.col(c) for c in columns])
+        kept = kept.groupBy(set_key_).agg(F.min_by(whole, F.struct(F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))).alias(doc)).select(f"{doc}.*")
     return kept.select(columns).union(docs.where(~has_words))
