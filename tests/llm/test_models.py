@@ -56,6 +56,65 @@ def test_language_by_brute_force():
         assert score == pytest.approx(want[1])
 
 
+def test_every_language_is_learned(spark):
+    """Long rows, rows without a letter and languages with one short row: each language with a letter has a dictionary, and long texts teach it."""
+    rng = random.Random(6)
+    data = [(4 * i, prose(rng, 5000, "en"), "en") for i in range(39)] + [(1001, "ok", "en")] + [(2000 + i, prose(rng, 60, "de"), "de") for i in range(60)]
+    data += [(3000 + i, "123 !!! 456", "junk") for i in range(9)] + [(4001, "é", "one"), (4002, "12 " * 20_000 + "żółw", "late"), (5001, None, "null"), (5002, "", "empty"), (5003, "abc", None)]
+    data = [r for r in data if zlib.crc32(str(r[0]).encode()) % 4 != 2 or r[2] in ("de", "en")]
+    data += [(i, t, lang) for lang, t in (("one", "é"), ("late", "12 " * 20_000 + "żółw")) for i in [next(i for i in range(6000, 6100) if zlib.crc32(str(i).encode()) % 4 != 2)]]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    learned = langid.dictionaries(docs)
+    assert set(learned) == {"de", "en", "one", "late"}
+    assert len(learned["en"]) > 100_000 and min(map(len, learned.values())) > 8
+    assert max(map(len, learned.values())) <= langid.DICTIONARY
+    assert "żółw".encode() in learned["late"]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert all(got[i] == lang for i, _, lang in data if lang in ("de", "en") and i != 1001)
+
+
+def test_dictionaries_by_brute_force(spark, monkeypatch):
+    """What is learned, against the same rule over Python lists."""
+    monkeypatch.setattr(langid, "SAMPLE", 5)
+    rng = random.Random(7)
+    data = [(i, prose(rng, rng.choice([3, 40, 4000]), lang), lang) for i, lang in enumerate(rng.choices(["de", "en"], k=60))]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    learned = langid.dictionaries(docs)
+
+    def taught(text):
+        if len(text.encode()) <= langid.LONGEST:
+            return text
+        bare = "".join(c if c.isalpha() else " " for c in text)
+        bare = " ".join(bare.split(" ")) if bare != text else bare
+        while "  " in bare:
+            bare = bare.replace("  ", " ")
+        size = langid.LONGEST // langid.SLICES
+        return bare if len(bare) <= langid.LONGEST else " ".join(bare[int(max(len(bare) - size, 0) * i / (langid.SLICES - 1)) :][:size] for i in range(langid.SLICES))
+
+    for lang, content in learned.items():
+        parts = [plain_letters(taught(t)) + b" " for i, t, own in data if own == lang and zlib.crc32(str(i).encode()) % 4 != 2]
+        used = []
+        rest = content[1:]
+        while rest:  # the dictionary is some of the parts, one after another, whole
+            part = next(p for p in parts if rest.startswith(p) and p not in used)
+            used.append(part)
+            rest = rest[len(part) :]
+        assert len(used) == 5
+
+
+def test_learning_takes_one_row_an_id(spark, monkeypatch):
+    """A labelled id on thousands of rows is one bag, whatever the partitions."""
+    seen = []
+    monkeypatch.setattr(mil.Model, "fit", classmethod(lambda cls, bags, labels, seed=1: seen.append((len(bags), [b.tobytes() for b in bags], labels)) or cls({})))
+    ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5][:2]
+    labels = spark.createDataFrame([(ids[0], 0), (ids[1], 1)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(ids[0], f"row {i}") for i in range(3000)] + [(ids[1], "other"), (ids[0], None)], "doc_id long, text string")
+    for n in (1, 3, 5):
+        mil.learn(docs.repartition(n), labels)
+    assert [n for n, *_ in seen] == [2, 2, 2]
+    assert seen[0] == seen[1] == seen[2]
+
+
 def plain_score(w, text):
     """The score by sums over words and passages, without arrays."""
     words = text.encode().split()

@@ -96,3 +96,16 @@ def test_tables_go(spark):
     assert result.count() > 0
     common.clear(spark)
     assert not left & set(os.listdir(folder))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 5])
+def test_survivor_of_ties(spark, partitions):
+    """Rows with one doc_id and one set of words: the same one stays however they are dealt."""
+    from lookout.llm.jaccard import keep_one
+
+    words = " ".join(f"w{i}" for i in range(20))
+    data = [(1, f"{words} j", "a"), (1, f"{words} J", "b"), (1, f"{words}  j", "c"), (1, f"{words} j", "a"), (2, "other words", "d")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    survivors = {tuple(r) for n in (1, 2, 7) for r in keep_one(docs.repartition(n), 5, 80).collect()}
+    assert len(survivors) == 2
+    assert {tuple(r) for r in keep_one(docs.repartition(partitions), 5, 80).collect()} == survivors
