@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lookout.functions import boxes as bx
 from lookout.functions import names
 from lookout.operators import detections, platform, quality, report, sampling, select, sets, splits, viewpoints
-from lookout.plans import pipelines
+from lookout.plans import pipelines, selection
 from lookout.plans.proxies import oracle, proxy
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -637,11 +637,20 @@ def knn2_ratio(spark, sf):
     return select.ratio_test(select.nearest(items.where("id % 50 = 0"), items, 2), 0.98).select("query", "neighbour")
 
 
-@query()
+def _item_boxes(spark, sf):
+    """Frames of folder seq7 as boxes of item f7."""
+    return proxy(spark, sf, "frames").withColumn("folder", F.concat(F.lit("f"), F.regexp_extract("folder", "([0-9]+)$", 1)))
+
+
+@query("SELECT id, folder, camera FROM (" + selection.two_stage("SELECT 1 AS part, id, folder, camera, embedding FROM <items>", "20", 2048, 10, levels=0) + ")")
 def two_stage_select(spark, sf):
-    items = proxy(spark, sf, "items")
-    boxes = proxy(spark, sf, "frames").withColumn("folder", F.concat(F.lit("f"), F.regexp_extract("folder", "([0-9]+)$", 1)))
-    return select.two_stage(items, boxes, 20)
+    return select.two_stage(proxy(spark, sf, "items"), _item_boxes(spark, sf), 20)
+
+
+@query("SELECT id, folder, camera FROM (" + selection.two_stage("SELECT 1 AS part, id, folder, camera, embedding FROM <items>", "70", 48, 3) + ")")
+def two_stage_cells(spark, sf):
+    """A quota that is shared out to cells of at most 48 items, each with its own k-means."""
+    return select.two_stage(proxy(spark, sf, "items"), _item_boxes(spark, sf), 70, restarts=3, per_cell=48)
 
 
 _BOXED = f"SELECT i.id, i.camera, {_CORNERS} FROM <items> i JOIN (SELECT *, concat('f', regexp_extract(folder, '([0-9]+)$', 1)) AS f FROM ({_MAIN})) x ON x.f = i.folder"
@@ -779,20 +788,29 @@ def wildfire_set(spark, sf):
     return pipelines.wildfire_frames(f.select("folder", "split").distinct(), f.select("folder", "stem"), labels).select("folder", "stem", "split", "label")
 
 
-@query(f"SELECT folder, concat(folder, '-x') AS stem, split, '' AS label FROM (SELECT folder, {'CASE WHEN id % 3 = 0 THEN {q}val{q} ELSE {q}train{q} END'.format(q=chr(39))} AS split FROM <items>) UNION ALL (SELECT folder, stem, 'test', '' FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY conf DESC, stem) AS turn FROM <frames> WHERE split = 'test' AND has_label = 1) ORDER BY turn, folder LIMIT 300)")
+_SPLIT_ITEMS = "SELECT CASE WHEN id % 3 = 0 THEN 'val' ELSE 'train' END AS part, id, folder, camera, embedding FROM <items>"
+
+
+@query(f"SELECT folder, concat(folder, '-x') AS stem, part AS split, '' AS label FROM ({selection.two_stage(_SPLIT_ITEMS, 'CASE part WHEN {q}train{q} THEN 60 ELSE 25 END'.format(q=chr(39)), 2048, 10, levels=0)}) UNION ALL (SELECT folder, stem, 'test', '' FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY conf DESC, stem) AS turn FROM <frames> WHERE split = 'test' AND has_label = 1) ORDER BY turn, folder LIMIT 300)")
 def false_positive_set(spark, sf):
+    """Quotas below the items of each split, so the second stage chooses."""
     f = proxy(spark, sf, "frames")
     items = proxy(spark, sf, "items").withColumns({"split": F.when(F.col("id") % 3 == 0, "val").otherwise("train"), "stem": F.concat("folder", F.lit("-x"))})
     labels = f.select("folder", "stem", F.col("has_label").alias("label_bytes"), _label(F.col("conf")).alias("text"))
-    out = pipelines.false_positive_frames(f.select("folder", "split").distinct(), labels, items, f, {"train": 10**9, "val": 10**9, "test": 300})
+    out = pipelines.false_positive_frames(f.select("folder", "split").distinct(), labels, items, _item_boxes(spark, sf), {"train": 60, "val": 25, "test": 300})
     return out.select("folder", "stem", "split", "label")
 
 
-@query("SELECT folder, split, 'wildfire' AS category FROM <registry> UNION ALL SELECT folder, CASE id % 3 WHEN 0 THEN 'train' ELSE 'val' END, 'fp' FROM <items> WHERE id < 30")
+_WILDFIRES = "SELECT s_name AS folder, CASE WHEN substr(md5(s_name), 1, 1) < 'd' THEN 'train' WHEN substr(md5(s_name), 1, 1) = 'd' THEN 'val' ELSE 'test' END AS split FROM {supplier}"
+_ALL_SPLITS = "SELECT CASE id % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS part, id, folder, camera, embedding FROM <items>"
+
+
+@query(f"SELECT folder, split, 'wildfire' AS category FROM ({_WILDFIRES}) UNION ALL SELECT folder, part, 'fp' FROM ({selection.two_stage(_ALL_SPLITS, f'(SELECT count(*) FROM ({_WILDFIRES}) f WHERE f.split = part)', 2048, 10, levels=0)})")
 def sequential_set(spark, sf):
-    """With fewer false positives than wildfires in a split, all of them are taken."""
-    items = proxy(spark, sf, "items").where("id < 30").withColumn("split", F.when(F.col("id") % 3 == 0, "train").otherwise("val"))
-    return pipelines.sequential(proxy(spark, sf, "registry").select("folder", "split"), items, proxy(spark, sf, "frames"))
+    """As many false positives of each split as it has wildfires, a supplier each; of all items, which are more."""
+    wild = read(spark, sf, "supplier").select(F.col("s_name").alias("folder"), splits.split_of_hash(F.col("s_name")).alias("split"))
+    items = proxy(spark, sf, "items").withColumn("split", F.when(F.col("id") % 10 == 0, "test").when(F.col("id") % 10 == 1, "val").otherwise("train"))
+    return pipelines.sequential(wild, items, _item_boxes(spark, sf))
 
 
 @query("WITH k AS (SELECT folder FROM <frames> GROUP BY folder HAVING bool_or(conf > 9e-1) OR count(*) = sum(has_truth)) SELECT folder, stem, CASE WHEN conf > 9e-1 THEN '' ELSE 'text' END AS label FROM <frames> WHERE folder IN (SELECT folder FROM k)")
