@@ -637,6 +637,23 @@ def knn2_ratio(spark, sf):
     return select.ratio_test(select.nearest(items.where("id % 50 = 0"), items, 2), 0.98).select("query", "neighbour")
 
 
+_PAIRWISE = "SELECT q.id AS query, e.id AS neighbour, list_distance(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS d FROM <items> q JOIN <items> e ON e.id <> q.id"
+
+
+@query(f"SELECT query, neighbour, CAST(row_number() OVER (PARTITION BY query ORDER BY round(d, 9), neighbour) AS INTEGER) AS rank, round(d, 6) AS distance FROM ({_PAIRWISE} WHERE q.id % 50 = 0) QUALIFY rank <= 3")
+def nearest_three(spark, sf):
+    """Small buckets and few pivots, so that the tests' tables have many of both."""
+    items = proxy(spark, sf, "items").select("id", "embedding")
+    return select.nearest(items.where("id % 50 = 0"), items, 3, pivots=16, bucket=64).select("query", "neighbour", "rank", F.round("distance", 6).alias("distance"))
+
+
+@query(f"SELECT query, neighbour FROM ({_PAIRWISE} AND e.label = q.label WHERE q.id % 50 = 0) QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(d, 9), neighbour) = 1")
+def nearest_in_block(spark, sf):
+    """The nearest of a query's own label."""
+    items = proxy(spark, sf, "items").select("id", "embedding", "label")
+    return select.nearest(items.where("id % 50 = 0"), items, 1, block="label", bucket=16).select("query", "neighbour")
+
+
 def _item_boxes(spark, sf):
     """Frames of folder seq7 as boxes of item f7."""
     return proxy(spark, sf, "frames").withColumn("folder", F.concat(F.lit("f"), F.regexp_extract("folder", "([0-9]+)$", 1)))
