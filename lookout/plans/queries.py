@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +12,10 @@ from pyspark.sql import functions as F
 from lookout.functions import boxes as bx
 from lookout.functions import names
 from lookout.operators import detections, platform, quality, report, sampling, select, sets, splits, viewpoints
-from lookout.plans import pipelines, selection
+from lookout.operators.store import Scratch, shared_folder
+from lookout.plans import fake_platform, pipelines, selection
 from lookout.plans.proxies import oracle, proxy
+from lookout.sources import layout, paged, places
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -742,6 +746,50 @@ def label_task_json(spark, sf):
     return tasks.select("image", get("id").alias("id"), get("value.x").cast("double").alias("x"), get("value.width").cast("double").alias("width"), get("value.rectanglelabels[0]").alias("label"))
 
 
+def _written_files(spark, rows, read_back):
+    """What read_back(folder) finds after the rows' files were written; the files go."""
+    with Scratch(spark) as scratch:
+        folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+        layout.save_files(rows, folder)
+        found = scratch.keep(scratch.cut(read_back(folder)))
+        places.remove(folder)
+    return found
+
+
+_LABEL_FILES = "SELECT concat('d', CAST(doc_id AS STRING)) AS stem, CASE doc_id % 5 WHEN 0 THEN 'val' ELSE 'train' END AS split, text FROM <label_texts>"
+
+
+@query(f"SELECT split, stem, text FROM ({_LABEL_FILES})")
+def label_files(spark, sf):
+    """Label files of a data set, a file each, as its text says them when read again."""
+    rows = proxy(spark, sf, "label_texts").select(F.concat(F.lit("d"), "doc_id").alias("stem"), F.when(F.col("doc_id") % 5 == 0, "val").otherwise("train").alias("split"), F.lit(None).cast("string").alias("image"), F.col("text").alias("label"))
+    part = F.split("path", "/")
+    back = lambda folder: layout.read_files(spark, folder).select(part[1].alias("split"), F.regexp_replace(part[2], r"\.txt$", "").alias("stem"), "text")
+    return _written_files(spark, layout.dataset_files(rows), back)
+
+
+@query("""SELECT split, CAST(sum(i) AS BIGINT) AS images, CAST(sum(l) AS BIGINT) AS labels, CAST(sum(i * (1 - l)) AS BIGINT) AS unlabelled, CAST(sum(l * (1 - i)) AS BIGINT) AS imageless, sum(i * (1 - l)) + sum(l * (1 - i)) = 0 AS sound
+FROM (SELECT CASE doc_id % 3 WHEN 0 THEN 'val' ELSE 'train' END AS split, CASE WHEN doc_id % 6 = 1 THEN 0 ELSE 1 END AS i, CASE WHEN doc_id % 15 = 1 THEN 0 ELSE 1 END AS l FROM {documents} WHERE doc_id IS NOT NULL) WHERE i + l > 0 GROUP BY split""")
+def dataset_folder_check(spark, sf):
+    """Images against labels of a folder of files, in which some lack the other; other files don't count."""
+    d = read(spark, sf, "documents").where("doc_id IS NOT NULL").select("doc_id", F.when(F.col("doc_id") % 3 == 0, "val").otherwise("train").alias("split"))
+    at = lambda kind, extension: F.concat_ws("/", F.lit(kind), "split", F.concat(F.lit("d"), "doc_id", F.lit(extension)))
+    rows = [d.where("doc_id % 6 <> 1").select(at("images", ".JPG").alias("path")), d.where("doc_id % 15 <> 1").select(at("labels", ".txt").alias("path")), d.select(at("labels", ".cache").alias("path")), d.limit(1).select(F.lit("data.yaml").alias("path"))]
+    rows = functools.reduce(DataFrame.unionByName, rows).withColumns({"content": F.lit("x"), "source": F.lit(None).cast("string")})
+    return _written_files(spark, rows, lambda folder: layout.dataset_check(spark, folder))
+
+
+@query("SELECT stem AS image, md5(concat(stem, '|0')) AS id, 'smoke' AS label FROM <frames> WHERE split = 'val'")
+def label_task_files(spark, sf):
+    """A label tool's tasks of a split, a file for each image, read again."""
+    box = F.struct(F.lit(0).alias("class_id"), "cx", "cy", "w", "h")
+    frames = proxy(spark, sf, "frames").where("split = 'val'")
+    tasks = report.label_tasks(frames.select(F.col("stem").alias("image"), F.lit(640).alias("width"), F.lit(480).alias("height"), F.array(box).alias("boxes")), {0: "smoke"})
+    get = lambda p: F.get_json_object("text", "$.annotations[0].result[0]." + p)
+    back = lambda folder: layout.read_files(spark, folder, ".json").select(F.regexp_replace("path", r"\.json$", "").alias("image"), get("id").alias("id"), get("value.rectanglelabels[0]").alias("label"))
+    return _written_files(spark, layout.task_files(tasks.select(F.col("image").alias("stem"), "task")), back)
+
+
 @query("SELECT conv_id AS image FROM {conversations} WHERE role = 'system' GROUP BY conv_id")
 def tag_filter(spark, sf):
     tags = read(spark, sf, "conversations").groupBy(F.col("conv_id").alias("image")).agg(F.collect_set("role").alias("tags"))  # a handful of roles
@@ -858,6 +906,23 @@ def annotated_sequences(spark, sf):
     return pipelines.annotated_sequences(o.unionByName(o), folders, o.where(n % 5 == 0))
 
 
+@query("SELECT o_orderkey AS id, o_orderkey % (SELECT count(*) FROM {supplier}) AS camera_id, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS started_at, o_orderstatus = 'F' AS is_wildfire FROM {orders}")
+def platform_pages(spark, sf):
+    """Sequences of all days of a platform that is made of the orders, in small pages, by several lanes a day."""
+    found = paged.pages(spark, fake_platform.TRANSPORT, *fake_platform.DAYS, fake_platform.SCHEMAS["sequences"], {"folder": sf}, page=3, lanes=2, days=60, wait=0)
+    return found.select("id", "camera_id", "started_at", "is_wildfire")
+
+
+@query("""SELECT DISTINCT d.detection_id, d.l_orderkey AS sequence_id, d.l_partkey AS azimuth, o_orderstatus = 'F' AS is_wildfire, s_name AS camera_name, n_name AS organization_name
+FROM (SELECT *, 10 * l_orderkey + l_linenumber AS detection_id FROM {lineitem} QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) <= 2) d
+JOIN {orders} ON o_orderkey = d.l_orderkey JOIN {supplier} ON s_suppkey = o_orderkey % (SELECT count(*) FROM {supplier}) JOIN {nation} ON n_nationkey = s_nationkey""")
+def platform_fetch(spark, sf):
+    """From the days' sequences to flat records: pages of sequences, the two newest detections of each, cameras and organizations, joined."""
+    t = paged.updates(spark, fake_platform.TRANSPORT, *fake_platform.DAYS, fake_platform.SCHEMAS, {"folder": sf}, limit=2, days=60, wait=0)
+    r = platform.records(t["detections"], t["sequences"], t["cameras"], t["organizations"])
+    return r.select("detection_id", "sequence_id", F.col("detection_azimuth").cast("long").alias("azimuth"), F.col("sequence_is_wildfire").alias("is_wildfire"), "camera_name", "organization_name").distinct()
+
+
 @query("""SELECT DISTINCT l.l_orderkey AS detection_id, l.l_linenumber AS line, o.o_orderkey AS sequence_id, c.c_name AS camera_name, n.n_name AS organization_name
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey""")
 def platform_update(spark, sf):

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lookout.sources.places import listed, read_files
+
 REGISTRY = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "folder", "camera", "split")])
 PAIRS = "site string, azimuth_a int, azimuth_b int, n_kp_a int, n_kp_b int, n_good int, n_inliers int, dcx double, h_scale double, s_area double, d_area double"
 REPRESENTATIVES = "site string, azimuth int, folder string, image string, latest_timestamp string, n_sequences long"
@@ -102,18 +104,20 @@ def folders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def files(spark: SparkSession, root: str, extensions: tuple[str, ...] = ("jpg", "jpeg", "png")) -> DataFrame:
-    """folder, kind (images, labels, ...), stem, name, ext and bytes of all files <root>/<folder>/<kind>/<name>, not those under a name that begins with a dot.  Contents aren't read."""
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    part = F.split("path", "/")
-    rows = f.select(F.element_at(part, -3).alias("folder"), F.element_at(part, -2).alias("kind"), F.element_at(part, -1).alias("name"), F.col("length").alias("bytes"))
+    """folder, kind (images, labels, ...), stem, name, ext and bytes of all files <root>/<folder>/<kind>/<name>, not those under a name that begins with a dot.
+
+    Tasks list the folders, and nothing is read; an empty file, as a background's label is, counts like any other.
+    """
+    part = F.split(F.concat(F.lit(f"{root.rstrip('/')}/"), "path"), "/")
+    rows = listed(spark, root).select(F.element_at(part, -3).alias("folder"), F.element_at(part, -2).alias("kind"), F.element_at(part, -1).alias("name"), "bytes")
     rows = rows.withColumns({"stem": F.regexp_replace("name", r"\.[^.]*$", ""), "ext": F.lower(F.regexp_extract("name", r"\.([^.]*)$", 1))})
     return rows.where(~F.col("folder").startswith(".") & ~F.col("name").startswith(".") & ((F.col("kind") != "images") | F.col("ext").isin(*extensions)))
 
 
 def label_lines(spark: SparkSession, root: str) -> DataFrame:
-    """folder, stem and text of all label files <root>/<folder>/labels/<stem>.txt; names are as files() gives them, spaces and all."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(root).select(F.col("content").cast("string").alias("value"), "path")
-    part = F.split("path", "/")
+    """folder, stem and text of all label files <root>/<folder>/labels/<stem>.txt; names are as files() gives them, spaces and all; an empty file is an empty text."""
+    part = F.split(F.concat(F.lit(f"{root.rstrip('/')}/"), "path"), "/")
+    rows = read_files(spark, root).select(F.col("text").alias("value"), "path")
     return rows.select(F.element_at(part, -3).alias("folder"), F.regexp_replace(F.element_at(part, -1), r"\.txt$", "").alias("stem"), F.col("value").alias("text"))
 
 
