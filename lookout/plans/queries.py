@@ -15,7 +15,7 @@ from lookout.operators import detections, platform, quality, report, sampling, s
 from lookout.operators.store import Scratch, shared_folder
 from lookout.plans import fake_platform, pipelines, selection
 from lookout.plans.proxies import oracle, proxy
-from lookout.sources import layout, paged, places
+from lookout.sources import committed, layout, paged, places
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -790,6 +790,33 @@ def label_task_files(spark, sf):
     return _written_files(spark, layout.task_files(tasks.select(F.col("image").alias("stem"), "task")), back)
 
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, max(l_returnflag) AS flag FROM {lineitem} GROUP BY ALL")
+def committed_merge(spark, sf):
+    """A data set that is merged into by partitions, in three versions, and read while the last is written."""
+    rows = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_returnflag").alias("flag"))
+    with Scratch(spark) as scratch:
+        root, key = f"{shared_folder(spark)}/merged-{uuid.uuid4().hex}", ["l_linenumber", "l_orderkey", "l_partkey"]
+        committed.merge(rows.withColumn("flag", F.lit("old")), root, key, ["l_linenumber"])
+        for some in ("l_linenumber <= 3", "l_linenumber > 3"):
+            committed.merge(rows.where(some), root, key)
+        found = scratch.keep(scratch.cut(committed.read(spark, root)))
+        places.remove(root)
+    return found
+
+
+@query("SELECT DISTINCT event_id, user_id, event_type FROM {events}")
+def incremental_append(spark, sf):
+    """Events in four overlapping batches, one of them twice, each added once."""
+    rows = read(spark, sf, "events").select("event_id", "user_id", "event_type")
+    with Scratch(spark) as scratch:
+        root = f"{shared_folder(spark)}/appended-{uuid.uuid4().hex}"
+        for i in (0, 1, 1, 2, 3):
+            committed.append_new(rows.where(F.pmod("event_id", F.lit(4)).between(i - 1, i)), root, buckets=16, batch=("events", i))
+        found = scratch.keep(scratch.cut(committed.read(spark, root)))
+        places.remove(root)
+    return found
+
+
 @query("SELECT conv_id AS image FROM {conversations} WHERE role = 'system' GROUP BY conv_id")
 def tag_filter(spark, sf):
     tags = read(spark, sf, "conversations").groupBy(F.col("conv_id").alias("image")).agg(F.collect_set("role").alias("tags"))  # a handful of roles

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lookout.sources import committed
 from lookout.sources.places import listed, read_files
 
 REGISTRY = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "folder", "camera", "split")])
@@ -25,7 +26,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def registry(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """The sequences of a registry: one document {"sequences": [...]}, or a folder of JSON lines as save_registry() writes it.
+    """The sequences of a registry: one document {"sequences": [...]}, a table as save_registry() writes it, or a folder of JSON lines.
 
     Without the file, or without its key, none, unless strict.  Anything else that is no registry is an error: a file with something in it is never an empty table.
     """
@@ -33,6 +34,8 @@ def registry(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
         if strict:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], REGISTRY)
+    if is_folder(spark, path) and exists(spark, f"{path.rstrip('/')}/versions"):
+        return committed.read(spark, path.rstrip("/"))
     if is_folder(spark, path):
         return spark.read.schema(REGISTRY).json(path, mode="FAILFAST")
     texts = spark.read.text(path, wholetext=True)
@@ -46,16 +49,11 @@ def registry(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
 
 
 def save_registry(rows: DataFrame, path: str) -> None:
-    """As a folder of JSON lines, which registry() reads, so registries of any size can be written; it replaces what was there, and rows may come from there."""
-    rows = rows.select("id", "folder", "camera", "split")
-    spark, new, old = rows.sparkSession, f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
-    remove(spark, new)
-    rows.write.json(new)
-    remove(spark, old)
-    if exists(spark, path):
-        rename(spark, path, old)
-    rename(spark, new, path)
-    remove(spark, old)
+    """As a committed table, which registry() reads, so registries of any size can be written; it replaces what was there, and rows may come from there.
+
+    A reader sees the old rows or the new ones, and of two writers at a time one is told so.
+    """
+    committed.save(rows.select("id", "folder", "camera", "split"), path.rstrip("/"))
 
 
 def export_registry(rows: DataFrame, path: str) -> None:
