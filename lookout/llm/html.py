@@ -39,7 +39,7 @@ DROPPED = frozenset("head nav footer aside button dialog menu label fieldset hea
 #: Words of class, id or role that mark what isn't main text.
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus replies respond share sharing social related recommended login signup search skip complementary contentinfo dialog".split())
 #: A name made of a word of MARKS and these, as ad-box, counts as one of MARKS; with any other word, as has-sidebar, it is doubtful.
-PLAIN = frozenset("box block unit slot widget list area form section buttons links posts items bar".split())
+PLAIN = frozenset("box block unit slot widget list area form section buttons links posts items bar google".split())
 #: Never dropped by name.
 PAGE = frozenset("html body main article".split())
 #: What a wrapper of a whole page has in it.
@@ -52,6 +52,14 @@ CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSE
 _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+#: Names of readers' comments begin with one of the first, and go on with nothing but these or numbers; an article of such a name is a comment.
+COMMENT = frozenset("comment comments reply replies disqus respond".split())
+COMMENT_PARTS = COMMENT | frozenset("list body item content text thread entry area section box wrapper reader user".split())
+#: Words that a paragraph's name can have for what it says; they mark other elements only.
+SAID = frozenset("alert menu".split())
+#: An article has this share of the page's text at least, and one whose name has a word of MARKS, as related-item, the other.
+SHARE, MARKED_SHARE = 0.25, 0.5
+_AD = re.compile(r"ads?(?:box|slot|unit|sense|wrap|wrapper|block|banner|container|holder|zone|space)")
 DOUBTFUL, SURE = 1, 2
 #: Where a subtree stands, which its key tells: links and the like in menus take none in a text.
 ELSEWHERE, IN_ARTICLE, INLINE_DROPPED = 0, 1, 2
@@ -67,20 +75,28 @@ def host_of(url: str | None) -> str:
 @functools.lru_cache(10_000)
 def mark_of(name: str) -> int:
     """What a whole class, id or role tells: SURE, DOUBTFUL or nothing."""
-    parts = _PART.findall(name)
+    parts = ["ad" if _AD.fullmatch(p) else p for p in _PART.findall(name)]
     if MARKS.isdisjoint(parts):
         return 0
     return SURE if all(p in MARKS or p in PLAIN for p in parts) else DOUBTFUL
 
 
+@functools.lru_cache(10_000)
+def comment_of(name: str) -> bool:
+    """Whether a whole class, id or role is a comment's, as comment-body or comment-17, not comments-open."""
+    parts = _PART.findall(name)
+    return bool(parts) and parts[0] in COMMENT and all(p in COMMENT_PARTS or p.isdigit() for p in parts)
+
+
 class Element:
-    __slots__ = ("tag", "parent", "mark", "article", "hash", "dropped", "main", "heading", "in_header", "text", "held", "size", "whole", "tagged", "nested", "parts", "block", "gone")
+    __slots__ = ("tag", "parent", "mark", "article", "hash", "dropped", "main", "heading", "in_header", "text", "held", "size", "whole", "tagged", "nested", "parts", "block", "gone", "named", "comment", "in_p")
 
     def __init__(self, tag, parent, mark, article):
         """mark: what its names tell; article: whether it is one, or a main part."""
         self.tag, self.parent, self.mark, self.article = tag, parent, mark, article
         self.dropped = self.main = self.heading = self.in_header = self.text = self.held = self.tagged = self.parts = self.block = self.gone = False
-        self.size = self.whole = self.nested = self.hash = 0
+        self.size = self.whole = self.nested = self.hash = self.named = 0
+        self.comment = self.in_p = False
 
     def take(self, part: int) -> None:
         """Adds what the element holds next, a text or a subtree, to its hash."""
@@ -165,9 +181,11 @@ def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
                 if stack[depth].tag in BLOCK:
                     break
         names = {w for a, b, c in _NAMES.findall(m[4]) for w in (a or b or c).lower().split()} if m[4] and "=" in m[4] else ()
-        mark = max(map(mark_of, names), default=0)
+        mark = max((mark_of(n) for n in names if tag != "p" or SAID.isdisjoint(_PART.findall(n))), default=0)
         article = tag in ("article", "main") or "main" in names and "role" in m[4].lower()
-        e = Element(tag, stack[-1], SURE if tag == "form" else 0 if tag in PAGE or article else mark, article)
+        comment = tag not in ("html", "body", "main") and any(map(comment_of, names))
+        e = Element(tag, stack[-1], SURE if tag == "form" or article and comment else 0 if tag in PAGE or article else mark, article)
+        e.named, e.comment = mark, comment
         elements.append(e)
         if not m[4].endswith("/") or tag not in ("path",):
             stack.append(e)
@@ -181,13 +199,16 @@ def parse(page: str) -> tuple[list[Element], list[tuple[str, Element, bool]]]:
 def settle(root: Element, elements: list[Element], pieces: list[tuple[str, Element, bool]]) -> None:
     """Finds the page's article, then what is dropped by tag or name and what is main; elements come after those that hold them.
 
-    The article is the article or main part with the most text outside of others in it.  What holds it is kept, and so are a marked
-    element and a form that hold all the text of the article, or of a page without one, or most of it with parts of a page.
+    The article is the article or main part with the most text outside of others in it, if that is a fair share of the page's; a comment, or what stands in one, is none as long as
+    the page has other text.  What holds the article is kept, and so are a marked element and a form that hold all the text of the article, or of a page without one, or
+    most of it with parts of a page.
     """
     within = {root: False}
     for e in elements:
         within[e] = within[e.parent] or e.article
-        e.tagged = e.parent.tagged or (e.tag in DROPPED and not (e.tag == "header" and within[e.parent]))
+        e.tagged = e.parent.tagged or (e.tag in DROPPED and not (e.tag in ("header", "label") and within[e.parent]))
+        e.comment = e.comment or e.parent.comment
+        e.in_p = e.tag == "p" or (e.parent.in_p and e.tag not in BLOCK)
     for t, e, _ in pieces:
         n = len(t.strip())
         e.whole += n
@@ -200,8 +221,11 @@ def settle(root: Element, elements: list[Element], pieces: list[tuple[str, Eleme
         up.nested += e.size if e.article else e.nested
         up.parts |= e.parts or e.tag in PAGE_PARTS
         up.block |= e.text and (e.block or e.tag in BLOCK)
-    found = [e for e in elements if e.article]
-    own = max((e for e in found if e.size > e.nested), key=lambda e: e.size - e.nested, default=None) or max((e for e in found if 2 * e.whole > root.whole), key=lambda e: e.whole, default=None)
+    commented = sum(len(t.strip()) for t, e, _ in pieces if e.comment and not e.tagged)
+    found = [e for e in elements if e.article and (not e.comment or root.size <= commented)]
+    fair = lambda e: e.size - e.nested >= (MARKED_SHARE if e.named and e.tag == "article" else SHARE) * (root.size - commented)
+    own = max((e for e in found if e.size > e.nested), key=lambda e: e.size - e.nested, default=None)
+    own = None if own and not fair(own) else own or max((e for e in found if 2 * e.whole > root.whole), key=lambda e: e.whole, default=None)
     e = own
     while e is not None:
         e.held, e = True, e.parent
@@ -212,18 +236,18 @@ def settle(root: Element, elements: list[Element], pieces: list[tuple[str, Eleme
         up = e.parent
         if up in inside:
             inside.add(e)
-            if e.mark == SURE and (2 * size(e) > size(base) and e.parts or 0 < size(e) == size(base) and e.block):
+            if e.mark == SURE and not (e.comment and root.size > commented) and (2 * size(e) > size(base) and e.parts or 0 < size(e) == size(base) and e.block):
                 e.mark = 0
-        by_tag = e.tag in DROPPED and not (e.tag == "header" and up.main)
-        e.dropped = not e.held and (up.dropped or by_tag or e.mark == SURE)
-        e.main = up.main or (not e.dropped and e.article)
+        by_tag = e.tag in DROPPED and not (e.tag in ("header", "label") and up.main)
+        e.dropped = not e.held and (up.dropped or by_tag or e.mark == SURE or (own is None and e.article and e.named > 0 and e.tag == "article"))
+        e.main = up.main or (not e.dropped and e.article and own is not None)
         e.heading = e.tag in HEADINGS or (up.heading and not (e.tag == "header" and not e.dropped))
         e.in_header = up.in_header or (e.tag == "header" and not e.held)
 
 
 def main_text_of(elements: list[Element], pieces: list[tuple[str, Element, bool]]) -> str:
     """The text that templates (`gone`) and names leave: of the article or main part, if that has any."""
-    pieces = [(t, e, b) for t, e, b in pieces if not e.dropped and (e.heading or not e.in_header)]  # of an article's header only headings stay
+    pieces = [(t, e, b) for t, e, b in pieces if not e.dropped and (e.heading or e.in_p or not e.in_header)]  # of an article's header headings and paragraphs stay
     if any(e.main and not e.gone and not t.isspace() for t, e, _ in pieces):
         pieces = [x for x in pieces if x[1].main]
     out = [" " if e.gone else " " + t if boundary else t for t, e, boundary in pieces]

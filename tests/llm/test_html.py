@@ -34,6 +34,24 @@ def test_names_take_no_article(page, text):
     assert html.extract(page, lambda h: False) == text
 
 
+STORY = "the long story of the river and the stone that walked"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<div><h1>T</h1><p>{STORY}</p></div><article class="related-item">teaser</article>', f"T {STORY}"), (f"<div><p>{STORY}</p></div><article>Next</article>", f"{STORY} Next"),
+        (f'<main><p>{STORY}</p><article class="comment">nice</article></main>', STORY), (f'<main><p>{STORY}</p></main><ol class="comment-list"><li><article id="comment-17">{STORY * 3}</article></ol>', STORY),
+        (f'<article><p>{STORY}</p></article><ol class="comment-list"><article class="comment-body">{STORY * 3}</article></ol>', STORY), (f'<div><p>{STORY}</p></div><div class="comments"><article>{STORY * 2}</article></div>', STORY),
+        ('<article class="comment"><p>all there is</p></article>', "all there is"), (f'<p>{STORY}</p><div class="adbox">buy</div><div class="google-ads">buy</div><div id="adslot-3">x</div>', f"{STORY} x"),
+        ("<article><header><h1>T</h1><p>Intro para.</p><span>by me</span></header><p>More.</p></article>", "T Intro para. More."), ('<article><p class="menu-items">Soup.</p><p class="alert">Ice.</p><label>Note.</label></article>', "Soup. Ice. Note."),
+        (f'<article class="post comments-open"><p>{STORY}</p></article>', STORY), ("<form><label>Name</label></form><article><p>story</p></article>", "story"), ('<article><p>story</p><div class="alert">cookies</div></article>', "story"),
+    ],
+)
+def test_stories_stay_and_comments_go(page, text):
+    assert html.extract(page, lambda h: False) == text
+
+
 def site(n, host="a.example", seed=1):
     """Pages without an article part: only recurrence tells their template."""
     rng = random.Random(seed)
