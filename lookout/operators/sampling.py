@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from lookout.functions.boxes import boxes
 from lookout.functions.names import seeded
-from lookout.operators.ranks import nth_text
+from lookout.operators.ranks import numbered
 from lookout.operators.splits import SPLITS
+from lookout.operators.store import Scratch
 
 
 def labelled(images: DataFrame, labels: DataFrame) -> DataFrame:
@@ -32,19 +33,21 @@ def first_frames(frames: DataFrame, most: int = 20) -> DataFrame:
 def round_robin(frames: DataFrame, quota: int) -> DataFrame:
     """`quota` frames, best score first, one of each sequence in turn (sequences by name), then the next of each.
 
-    Turns are counted first: those before the last one are whole, and of that one a count of names tells up to which name it goes.
+    Turns are made once and counted: those before the last one are whole, and of that one the first folders by name are taken.
     """
-    turn = F.row_number().over(Window.partitionBy("folder").orderBy(F.desc("score"), "stem"))
-    rows = frames.withColumn("turn", turn)
-    counts = rows.groupBy("turn").agg(F.count("*").alias("n"))  # no more than the frames of the longest sequence
-    upto = counts.withColumn("run", F.sum("n").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)))
-    last = upto.where(F.col("run") >= quota).orderBy("turn").limit(1).collect()
-    if not last:
-        return rows
-    most = quota - (last[0]["run"] - last[0]["n"])
-    whole, part = F.col("turn") < last[0]["turn"], F.col("turn") == last[0]["turn"]
-    name = nth_text(rows.where(part), "folder", most) if most > 0 else None
-    return rows.where(whole if name is None else whole | (part & (F.col("folder") <= name)))
+    if quota <= 0:
+        return frames.withColumn("turn", F.lit(1)).limit(0)
+    with Scratch(frames.sparkSession) as scratch:
+        turn = F.row_number().over(Window.partitionBy("folder").orderBy(F.desc("score"), "stem"))
+        rows = scratch.keep(scratch.cut(frames.withColumn("turn", turn)))
+        counts = rows.groupBy("turn").agg(F.count("*").alias("n"))  # no more than the frames of the longest sequence
+        upto = counts.withColumn("run", F.sum("n").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)))
+        last = upto.where(F.col("run") >= quota).orderBy("turn").limit(1).collect()
+        if not last:
+            return rows
+        most = quota - (last[0]["run"] - last[0]["n"])
+        part = scratch.keep(scratch.cut(numbered(rows.where(F.col("turn") == last[0]["turn"]), ["folder"], scratch).where(F.col("place") <= most)))
+        return rows.where(F.col("turn") < last[0]["turn"]).unionByName(part.drop("place"))
 
 
 def by_ratio(frames: DataFrame, groups: list[str], ratio: float = 0.05, seed: int = 0) -> DataFrame:

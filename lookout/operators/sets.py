@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lookout.operators.ranks import numbered
 from lookout.operators.splits import next_id
+from lookout.operators.store import Scratch
 
 
 def merge(tables: list[tuple[str, DataFrame]], key: list[str]) -> DataFrame:
@@ -34,13 +36,12 @@ def only_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def move(source: DataFrame, target: DataFrame, chosen: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
     """Moves registry rows whose folder is chosen and not yet in target: (what source keeps, target with them).
 
-    They keep camera and split and get new ids after target's last, in order of folder.  The moved set is one that somebody names, so
-    one window numbers it.
+    They keep camera and split and get new ids after target's last, in order of folder; rows that share a folder each get one, in order of id.
     """
     moved = source.join(chosen.select("folder").distinct(), "folder", "left_semi").join(target.select("folder"), "folder", "left_anti")
     first = F.broadcast(next_id(target, prefix))  # one row
-    number = F.row_number().over(Window.orderBy("folder"))
-    added = moved.join(first).withColumn("id", F.format_string(f"{prefix}_%08d", F.col("next_id") + number - 1)).select("id", "folder", "camera", "split")
+    placed = numbered(moved.select("folder", F.col("id").alias("old"), "camera", "split"), ["folder", "old"], Scratch(source.sparkSession))
+    added = placed.join(first).withColumn("id", F.format_string(f"{prefix}_%08d", F.col("next_id") + F.col("place") - 1)).select("id", "folder", "camera", "split")
     return source.join(moved.select("folder"), "folder", "left_anti"), target.select("id", "folder", "camera", "split").unionByName(added)
 
 
