@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lookout.operators.store import Scratch
+from lookout.operators.store import Scratch, ship
 
 #: Pivots at most; stretches of distance that a pivot's rows are counted by; rows of a bucket, about; queries that are compared at a time.
 PIVOTS, RINGS, BUCKET, QUERIES = 128, 64, 32_768, 256
@@ -157,6 +157,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 2, block: str | None =
     an id or a vector are left out; a query with fewer than k others gets as many as there are; vectors have one length and no nulls.
     """
     spark = rows.sparkSession
+    ship(spark)
     both = ["id", "embedding", *([block] if block else [])]
     fine = F.col("id").isNotNull() & F.col("embedding").isNotNull()
     rows, queries = (x.where(fine).select(F.col("id").cast("long").alias("id"), *both[1:]) for x in (rows, queries))

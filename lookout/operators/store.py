@@ -4,10 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the tasks, once a session, for what runs there in Python."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lookout_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="lookout")) / f"lookout_{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((top / "lookout").rglob("*.py")):
+            z.write(f, f.relative_to(top))
+    sc.addPyFile(str(archive))
+    sc._lookout_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; only local runs may leave it unset."""
     sc = spark.sparkContext

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lookout.operators.store import ship
+
 FORMAT = "lookout_pages"
 #: What the platform calls its lists, and how many sequences of a day one request asks for.
 ROUTES = {"sequences": "/api/v1/sequences/all/fromdate", "detections": "/api/v1/sequences/{id}/detections", "cameras": "/api/v1/cameras/", "organizations": "/api/v1/organizations/", "login": "/api/v1/login/creds"}
@@ -141,6 +143,7 @@ class PagedPlatform(DataSource):
 
 def pages(spark: SparkSession, transport: str, first: str, end: str, schema: str, args: dict | None = None, **options) -> DataFrame:
     """The list's objects of all days from `first` up to, not including, `end`."""
+    ship(spark)
     spark.dataSource.register(PagedPlatform)
     reader = spark.read.format(FORMAT).schema(schema).option("transport", transport).option("args", json.dumps(args or {})).option("from", first).option("to", end)
     for k, v in options.items():
@@ -153,6 +156,7 @@ def fetched(ids: DataFrame, transport: str, route: str, schema: str, args: dict
 
     Each id is asked for once, however often it stands there; null ids aren't.
     """
+    ship(ids.sparkSession)
     kind = T.StructType([T.StructField("of_id", T.LongType()), *T.StructType.fromDDL(schema).fields])
     own = T.StructType(kind.fields[1:])
 
