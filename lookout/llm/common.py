@@ -256,8 +256,8 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def bounded_sample(rows: DataFrame, group: str, most: int, columns: list[str], seed: int = 29) -> list:
-    """At most `most` rows of each group, those with the lowest seeded hash of doc_id, collected in that order.
+def bounded_sample(rows: DataFrame, group: str, most: int, columns: list[str], seed: int = 29, shown: dict[str, Column] | None = None) -> list:
+    """At most `most` rows of each group, those with the lowest seeded hash of doc_id, collected in that order: their columns, or what `shown` makes of them.
 
     The groups are counted first; then the ids' hashes under a bound that lets about twice `most` through give the exact place
     of the last row to take, so no group, however large, meets in one task, and only rows that are taken leave the executors.  For fitting models only.
@@ -277,7 +277,8 @@ def bounded_sample(rows: DataFrame, group: str, most: int, columns: list[str], s
         return []
     last = pa.table({"_group": pa.array(list(first), _arrow_type(rows, group)), "_last": pa.array([own[-1][0] for own in first.values()], pa.int64())})
     last = rows.sparkSession.createDataFrame(last)  # a row for each group
-    found = placed.join(last, F.col(group) == F.col("_group")).where(F.col("_place") <= F.col("_last")).collect()
+    found = placed.join(last, F.col(group) == F.col("_group")).where(F.col("_place") <= F.col("_last"))
+    found = (found if shown is None else found.select(group, "_place", "_tie", *[c.alias(n) for n, c in shown.items()])).collect()
     chosen = {(g, *x) for g, own in first.items() for x in own}
     out, taken = [], {}
     for r in sorted(found, key=lambda r: (r["_place"], r["_tie"])):

@@ -47,7 +47,7 @@ def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~learned_split(F.col("doc_id"), 4, 2) & F.col("text").rlike(r"\p{L}"))
     found: dict[str, list[bytes]] = {}
-    for r in bounded_sample(rows.select("doc_id", "lang", taught(F.col("text")).alias("taught")), "lang", SAMPLE, ["lang", "taught"]):
+    for r in bounded_sample(rows, "lang", SAMPLE, ["lang", "text"], shown={"taught": taught(F.col("text"))}):
         found.setdefault(r["lang"], []).append(letters(r["taught"]) + b" ")
     return {lang: content(parts) for lang, parts in sorted(found.items())}
 
