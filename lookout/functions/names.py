@@ -13,7 +13,7 @@ ORIGINS = ("adf", "awf", "hpwren", "random")
 ALIASES = {"sdis-77": "platform", "sdis-07": "platform", "force-06": "platform", "marguerite-282": "platform", "pyro": "platform", "ardeche": "platform", "axis": "awf", "2023": "awf"}
 UNKNOWN_AZIMUTH = 999
 STAMP = "yyyy-MM-dd'T'HH-mm-ss"
-STEM_TIME = "([0-9]{4}[-_][0-9]{2}[-_][0-9]{2}T[0-9]{2}[-_][0-9]{2}[-_][0-9]{2}|[0-9]{4}[-_][0-9]{2}[-_][0-9]{2})"
+STEM_TIME = "([0-9]{4}[-_][0-9]{2}[-_][0-9]{2}T[0-9]{2}[-_][0-9]{2}[-_][0-9]{2})"
 STEM_PREFIXES = ("platform_", "pyro_")
 # End of the fixed values.
 
@@ -38,9 +38,8 @@ def stamp(folder: Column) -> Column:
 
 
 def moment(stem: Column) -> Column:
-    """The time in a stem, with - or _ between its parts; a bare date or an invalid one gives null."""
-    found = F.regexp_extract(stem, STEM_TIME, 1)
-    return F.when(found.contains("T"), F.try_to_timestamp(F.translate(found, "_", "-"), F.lit(STAMP)))
+    """The first whole time in a stem, with - or _ between its parts, whatever numbers before it look like a date; a bare date or an invalid time gives null."""
+    return F.try_to_timestamp(F.translate(F.regexp_extract(stem, STEM_TIME, 1), "_", "-"), F.lit(STAMP))
 
 
 def origin(stem: Column, platform: str = "platform") -> Column:

@@ -29,6 +29,11 @@ def test_moment(spark, stem, moment):
     assert value(spark, names.moment(F.col("s")).cast("timestamp_ntz"), s=stem) == moment
 
 
+@pytest.mark.parametrize("stem", ["src_click-u1000_90_2024-01-12T09-45-29", "2023-07-12_2024-01-12T09-45-29", "a_2024_01_12_2024_01_12T09_45_29"])
+def test_moment_after_what_looks_like_a_date(spark, stem):
+    assert value(spark, names.moment(F.col("s")).cast("timestamp_ntz"), s=stem) == datetime.datetime(2024, 1, 12, 9, 45, 29)
+
+
 @pytest.mark.parametrize(("stem", "found"), [("platform_gorse-45_2031-11-02T23-59-01", ("gorse", 45, None)), ("pyro_elm_3_2031_11_02T23_59_01", ("elm", None, 3)), ("platform_elm-hill-12_2031-11-02T23-59-01", ("elm-hill", 12, None)), ("pyro_elm_3", None), ("mast_2031_11_02T23_59_01", None)])
 def test_camera_details(spark, stem, found):
     got = value(spark, names.camera_details(F.col("s")), s=stem)
