@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
-import glob
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from lookout.sources.paged import ROUTES
+from lookout.sources.places import store
 
 TRANSPORT = "lookout.plans.fake_platform:platform"
 DAYS = ("1992-01-01", "2002-01-01")
@@ -17,26 +25,47 @@ SCHEMAS = {
 }
 
 
-@functools.lru_cache(1)
-def _tables(folder: str) -> dict:
-    """What a task looks up, read once in each worker."""
-    import pyarrow.parquet as pq
+#: Stretches of ids that detections are laid out by, at most: what a request reads is one of them.
+STRETCHES = 500
+
+
+def lay_out(spark: SparkSession, sf: str, root: str) -> dict:
+    """The tables as the platform keeps them, below root: a folder for each month's sequences and for each stretch of sequences' detections; gives platform()'s arguments."""
+    read = lambda name: spark.read.parquet(f"{sf}/{name}.parquet")
+    orders, cameras = read("orders"), read("supplier").select(F.col("s_suppkey").cast("long").alias("id"), F.col("s_nationkey").cast("long").alias("organization_id"), F.col("s_name").alias("name"))
+    lines = read("lineitem").select(F.col("l_orderkey").cast("long").alias("of"), F.col("l_linenumber").cast("long").alias("line"), F.col("l_partkey").cast("long").alias("part"), F.col("l_suppkey").cast("long").alias("supplier"), F.col("l_discount").cast("double").alias("discount"))
+    width = 1 + (lines.agg(F.max("of").alias("x")).first()["x"] or 0) // STRETCHES
+    days = orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.unix_date(F.to_date("o_orderdate")).cast("long").alias("day"), F.col("o_orderkey").cast("long").alias("id"), (F.col("o_orderstatus") == "F").alias("fire"))
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    days.repartitionByRange(tasks, "month").sortWithinPartitions("month", "day", "id").write.partitionBy("month").parquet(f"{root}/sequences")
+    lines.withColumn("stretch", F.floor(F.col("of") / width)).repartitionByRange(tasks, "stretch").sortWithinPartitions("stretch", "of", "line", "part", "supplier").write.partitionBy("stretch").parquet(f"{root}/detections")
+    cameras.write.parquet(f"{root}/cameras")
+    read("nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name")).write.parquet(f"{root}/organizations")
+    return {"folder": root, "cameras": cameras.count(), "width": width}
+
+
+def _table(folder: str, columns: tuple[str, ...]) -> pa.Table | None:
+    """All rows of a folder, in the order of their files; none if it isn't there."""
+    of, at = store(folder)
+    if of.get_file_info(at).type == fs.FileType.NotFound:
+        return None
+    files = sorted(x.path for x in of.get_file_info(fs.FileSelector(at)) if x.path.endswith(".parquet"))
+    return pa.concat_tables([pq.ParquetFile(of.open_input_file(f)).read(list(columns)) for f in files]) if files else None
+
+
+@functools.lru_cache(2)
+def _sorted(folder: str, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    found = _table(folder, names)
+    return {} if found is None else {n: c.to_numpy() for n, c in zip(names, found.sort_by([(c, "ascending") for c in names]).columns, strict=True)}
+
 
-    read = lambda name: pq.read_table(sorted(glob.glob(f"{folder}/{name}.parquet/*.parquet")) or f"{folder}/{name}.parquet").to_pylist()
-    cameras = [{"id": r["s_suppkey"], "organization_id": r["s_nationkey"], "name": r["s_name"], "is_trustable": True} for r in read("supplier")]
-    by_day: dict[str, list[dict]] = {}
-    for r in sorted(read("orders"), key=lambda r: r["o_orderkey"]):
-        day = f"{r['o_orderdate']:%Y-%m-%d}"
-        by_day.setdefault(day, []).append({"id": r["o_orderkey"], "camera_id": r["o_orderkey"] % len(cameras), "started_at": f"{day}T00:00:00", "last_seen_at": None, "azimuth": 1.5, "is_wildfire": r["o_orderstatus"] == "F"})
-    by_sequence: dict[int, list[dict]] = {}
-    for r in sorted(read("lineitem"), key=lambda r: (r["l_linenumber"], r["l_partkey"], r["l_suppkey"])):
-        by_sequence.setdefault(r["l_orderkey"], []).append({"id": 10 * r["l_orderkey"] + r["l_linenumber"], "azimuth": float(r["l_partkey"]), "bboxes": [[0.1, 0.1, 0.2, 0.2, r["l_discount"]]]})
-    return {"days": by_day, "detections": by_sequence, "cameras": cameras, "organizations": [{"id": r["n_nationkey"], "name": r["n_name"]} for r in read("nation")]}
+def _run(t: dict[str, np.ndarray], column: str, value: int) -> range:
+    """Where a value of the first column stands."""
+    return range(*np.searchsorted(t[column], [value, value + 1]).tolist()) if t else range(0)
 
 
-def platform(folder: str):
-    """Lists by day with limit and offset, and detections by sequence, of which every 97th request fails once."""
-    tables = _tables(folder.removeprefix("file://"))
+def platform(folder: str, cameras: int, width: int):
+    """Lists by day with limit and offset, and detections by sequence, of which every 97th request fails once.  A task holds two months or two stretches of sequences at most."""
     asked = {"n": 0}
 
     def get(route: str, params: dict):
@@ -44,11 +73,17 @@ def platform(folder: str):
         if asked["n"] % 97 == 0:
             raise OSError("try again")
         if route == ROUTES["sequences"]:
-            return tables["days"].get(params["from_date"], [])[params["offset"] :][: params["limit"]]
-        for name in ("cameras", "organizations"):
-            if route == ROUTES[name]:
-                return tables[name]
-        own = tables["detections"].get(int(route.split("/")[-2]), [])
-        return (own[::-1] if params["desc"] == "true" else own)[: params["limit"]]
+            day = params["from_date"]
+            t = _sorted(f"{folder}/sequences/month={day[:7]}", ("day", "id", "fire"))
+            some = _run(t, "day", (dt.date.fromisoformat(day) - dt.date(1970, 1, 1)).days)[params["offset"] : params["offset"] + params["limit"]]
+            return [{"id": int(t["id"][i]), "camera_id": int(t["id"][i]) % cameras, "started_at": f"{day}T00:00:00", "last_seen_at": None, "azimuth": 1.5, "is_wildfire": bool(t["fire"][i])} for i in some]
+        if route == ROUTES["cameras"]:
+            return [r | {"is_trustable": True} for r in _table(f"{folder}/cameras", ("id", "organization_id", "name")).to_pylist()]
+        if route == ROUTES["organizations"]:
+            return _table(f"{folder}/organizations", ("id", "name")).to_pylist()
+        of = int(route.split("/")[-2])
+        t = _sorted(f"{folder}/detections/stretch={of // width}", ("of", "line", "part", "supplier", "discount"))
+        at = _run(t, "of", of)
+        return [{"id": 10 * of + int(t["line"][i]), "azimuth": float(t["part"][i]), "bboxes": [[0.1, 0.1, 0.2, 0.2, float(t["discount"][i])]]} for i in (at[::-1] if params["desc"] == "true" else at)[: params["limit"]]]
 
     return get

@@ -25,12 +25,14 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lookout.operators.store import ship
+from lookout.operators.store import Scratch, ship
 
 FORMAT = "lookout_pages"
 #: What the platform calls its lists, and how many sequences of a day one request asks for.
 ROUTES = {"sequences": "/api/v1/sequences/all/fromdate", "detections": "/api/v1/sequences/{id}/detections", "cameras": "/api/v1/cameras/", "organizations": "/api/v1/organizations/", "login": "/api/v1/login/creds"}
 PAGE = 1000
+#: Rows that answers are gathered up to before they are given to Spark, as an answer may be small.
+BATCH = 5000
 
 Transport = Callable[[str, dict], object]
 
@@ -116,15 +118,20 @@ class PageReader(DataSourceReader):
     def read(self, partition: Days) -> Iterator[pa.RecordBatch]:
         o = self.options
         get = made(o["transport"], o.get("args", "{}"))
+        rows: list[dict] = []
         for day in range(partition.first, partition.last):
             offset = partition.lane * self.page
             while True:
                 found = asked(get, o.get("route", ROUTES["sequences"]), {"from_date": dt.date.fromordinal(day).isoformat(), "limit": self.page, "offset": offset}, int(o.get("retries", 3)), float(o.get("wait", 1)))
-                if found:
-                    yield _batch(found, self.schema)
+                rows += found
+                if len(rows) >= BATCH:
+                    yield _batch(rows, self.schema)
+                    rows = []
                 if len(found) < self.page:
                     break
                 offset += self.lanes * self.page
+        if rows:
+            yield _batch(rows, self.schema)
 
 
 class PagedPlatform(DataSource):
@@ -154,28 +161,38 @@ def pages(spark: SparkSession, transport: str, first: str, end: str, schema: str
 def fetched(ids: DataFrame, transport: str, route: str, schema: str, args: dict | None = None, params: dict | None = None, tasks: int | None = None, retries: int = 3, wait: float = 1.0) -> DataFrame:
     """The objects that a route with {id} gives for each id of ids(id), with that id as `of_id`: a sequence's detections, a camera, an organization.
 
-    Each id is asked for once, however often it stands there; null ids aren't.
+    Each id is asked for once, however often it stands there; null ids aren't.  With `tasks`, a task asks for ids that lie together, in their order, so a platform that
+    keeps them so reads what it has once; ids are then read twice.
     """
     ship(ids.sparkSession)
     kind = T.StructType([T.StructField("of_id", T.LongType()), *T.StructType.fromDDL(schema).fields])
     own = T.StructType(kind.fields[1:])
 
+    def rows(of: list[int], found: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), *_batch(found, own).columns], [f.name for f in kind.fields])
+
     def run(batches):
         get = made(transport, json.dumps(args or {}))
+        of, gathered = [], []
         for batch in batches:
             for i in batch.column(0).to_pylist():
                 found = asked(get, route.format(id=i), params or {}, retries, wait)
-                if found:
-                    b = _batch(found, own)
-                    yield pa.RecordBatch.from_arrays([pa.array([i] * b.num_rows, pa.int64()), *b.columns], [f.name for f in kind.fields])
+                of += [i] * len(found)
+                gathered += found
+                if len(gathered) >= BATCH:
+                    yield rows(of, gathered)
+                    of, gathered = [], []
+        if gathered:
+            yield rows(of, gathered)
 
     distinct = ids.select(F.col("id").cast("long").alias("id")).where("id IS NOT NULL").distinct()
-    return (distinct.repartition(tasks, "id") if tasks else distinct).mapInArrow(run, kind)
+    return (distinct.repartitionByRange(tasks, "id").sortWithinPartitions("id") if tasks else distinct).mapInArrow(run, kind)
 
 
 def updates(spark: SparkSession, transport: str, first: str, end: str, schemas: dict[str, str], args: dict | None = None, limit: int = 10, newest_first: bool = True, tasks: int | None = None, retries: int = 3, wait: float = 1.0, **options) -> dict[str, DataFrame]:
     """sequences of the days, their detections (at most `limit` each, the newest or the oldest), cameras and organizations: what platform.records() joins."""
-    sequences = pages(spark, transport, first, end, schemas["sequences"], args, retries=retries, wait=wait, **options)
+    scratch = Scratch(spark)
+    sequences = scratch.keep(scratch.cut(pages(spark, transport, first, end, schemas["sequences"], args, retries=retries, wait=wait, **options)))  # each page is asked for once
     again = {"tasks": tasks or 4 * spark.sparkContext.defaultParallelism, "retries": retries, "wait": wait}  # requests wait for answers, so tasks are many however small their rows
     detections = fetched(sequences.select("id"), transport, ROUTES["detections"], schemas["detections"], args, {"limit": limit, "desc": str(newest_first).lower()}, **again)
     one = spark.range(1).select(F.lit(0).cast("long").alias("id"))

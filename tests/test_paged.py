@@ -3,6 +3,7 @@
 import datetime as dt
 import http.server
 import json
+import os
 import threading
 import urllib.parse
 
@@ -119,3 +120,21 @@ def test_fetched(spark):
     ids = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id long")
     rows = paged.fetched(ids, "tests.test_paged:objects", paged.ROUTES["detections"], "id long, name string", {}, {"limit": 2, "desc": "true"}, tasks=3).collect()
     assert sorted(map(tuple, rows)) == [(1, 10, "true"), (1, 11, "true"), (2, 20, "true"), (2, 21, "true")]
+
+
+def test_a_request_reads_a_part_of_the_tables(spark, tmp_path):
+    """The platform of the queries keeps its tables by month and by stretches of ids; a task holds two parts, whatever tables there are."""
+    from lookout.plans import fake_platform
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    args = fake_platform.lay_out(spark, sf, str(tmp_path / "p"))
+    get = fake_platform.platform(**args)
+    orders = spark.read.parquet(f"{sf}/orders.parquet").collect()
+    day = f"{orders[0].o_orderdate:%Y-%m-%d}"
+    want = sorted(o.o_orderkey for o in orders if f"{o.o_orderdate:%Y-%m-%d}" == day)
+    assert [x["id"] for x in get(paged.ROUTES["sequences"], {"from_date": day, "limit": 10**6, "offset": 0})] == want
+    parts = [len(t) for p in (tmp_path / "p" / "sequences").glob("month=*") if (t := fake_platform._table(str(p), ("id",)))]
+    assert sum(parts) == len(orders) and max(parts) < len(orders) / 20
+    assert fake_platform._sorted.cache_info().maxsize == 2
