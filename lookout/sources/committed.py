@@ -8,18 +8,21 @@ part of either; of two writers that began from one version, the second is told s
 from __future__ import annotations
 
 import json
+import math
 import os
 import uuid
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: What a partition folder of a null is called.
 NULL = "__HIVE_DEFAULT_PARTITION__"
 BUCKET, KEY = "_bucket", "_key"
+#: Rows that a task of a merge sorts.
+ROWS_A_TASK = 1 << 19
 
 
 class Conflict(RuntimeError):
@@ -157,15 +160,24 @@ def merge(rows: DataFrame, root: str, key: list[str], by: list[str] | None = Non
         by = base.by
     if not set(by) <= set(key):
         raise ValueError(f"the key {key} must have the partition columns {by}")
+    sizes = rows.groupBy(*[F.col(c).cast("string") for c in by]).agg(F.count("*")).collect()  # a row a partition
+    touched = {tuple(r[:-1]) for r in sizes}
+    old = _rows(spark, root, base, [p for p in base.parts if _of(p, touched, by)]) if base.number else None
+    total = sum(r[-1] for r in sizes) + (old.count() if base.number else 0)
+    tasks = max(math.ceil(total / ROWS_A_TASK), min(spark.sparkContext.defaultParallelism, 1 + total // 10_000))
+
+    def dealt(df: DataFrame, *columns: str | Column) -> DataFrame:
+        """By the key as one struct, in which nulls are alike, to as many tasks as the rows need: Spark's own number goes by bytes, and sorted keys are a sixtieth of their size there."""
+        return df.select(F.struct(*key).alias("_key"), *columns).repartition(tasks, "_key")
+
     rest = [c for c in rows.columns if c not in key]
-    new = rows.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_x")).select(*key, "_x.*").select(rows.columns) if rest else rows.select(key).distinct()
+    new = dealt(rows, F.struct(*rest).alias("_x")).groupBy("_key").agg(F.max("_x").alias("_x")) if rest else dealt(rows).distinct()
+    added = new.select("_key.*", *["_x.*"] * bool(rest)).select(rows.columns)
     if not base.number:
-        return save(new, root, by, base)
-    touched = {tuple(None if x is None else str(x) for x in r) for r in new.select([F.col(c).cast("string") for c in by]).distinct().collect()} if by else {()}  # a row a partition
-    old = _rows(spark, root, base, [p for p in base.parts if _of(p, touched, by)])
-    kept = old.join(new.select([F.col(c).alias(f"_n_{c}") for c in key]), [F.equal_null(old[c], F.col(f"_n_{c}")) for c in key], "left_anti")
-    folder, parts = _written(kept.unionByName(new, allowMissingColumns=True), root, by)
-    schema = kept.unionByName(new.limit(0), allowMissingColumns=True).schema
+        return save(added, root, by, base)
+    kept = dealt(old, F.struct(*old.columns).alias("_row")).join(new.select("_key"), "_key", "left_anti").select("_row.*")
+    folder, parts = _written(kept.unionByName(added, allowMissingColumns=True), root, by)
+    schema = kept.unionByName(added.limit(0), allowMissingColumns=True).schema
     return _publish(spark, root, base, schema, by, [p for p in base.parts if not _of(p, touched, by)] + parts, base.notes, folder)
 
 

@@ -121,3 +121,16 @@ def test_stream_counts_each_batch_once(spark, tmp_path):
     committed.append_new(batch, root, batch=(str(tmp_path / "c"), 0))
     assert committed.version(spark, root).number == number
     assert committed.read(spark, root).where(F.col("a") == 99).count() == 0
+
+
+def test_merge_deals_rows_by_their_number(spark, tmp_path, monkeypatch):
+    """A merge has as many tasks as its rows need, whatever their size in bytes; nulls in a key are alike."""
+    monkeypatch.setattr(committed, "ROWS_A_TASK", 200)
+    root = f"file://{tmp_path}/t"
+    rows = spark.range(2000).selectExpr("id % 2 AS part", "CASE WHEN id > 1 THEN id END AS k", "'a' AS x")
+    committed.merge(rows, root, ["part", "k"], ["part"])
+    assert len(committed.read(spark, root).inputFiles()) >= 20  # ten tasks, two partitions; of so few bytes Spark makes one task a core
+    committed.merge(rows.where("part = 1").withColumn("x", F.lit("b")), root, ["part", "k"])
+    got = committed.read(spark, root)
+    assert len(got.inputFiles()) >= 18
+    assert {(r.part, r.x): r["count"] for r in got.groupBy("part", "x").count().collect()} == {(0, "a"): 1000, (1, "b"): 1000}
