@@ -10,19 +10,21 @@ run by its rank among the pieces of its length.  Nothing the driver holds grows
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.common import held, materialise, offsets_within, prepare, texts, tidy, tokenizer_path
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers, and the longest of them in characters: under 300 MB, about 150 MB for ordinary words.  When full, they are forgotten; longer ones are kept for a batch.
+#: Words whose ids a worker remembers, and the longest of them in characters: 25 MB for ordinary words.  When full, all but those of a batch are forgotten; longer ones are not kept.
 WORDS_KEPT, LONGEST_KEPT = 700_000, 32
 #: A fixed value: how the public byte-level tokenizer cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -101,13 +103,14 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[in
     return runs
 
 
-class WordIds(dict):
-    """word -> the ids of a space and the word, as little-endian 32-bit bytes; a worker remembers WORDS_KEPT of up to LONGEST_KEPT characters.
+class WordIds:
+    """Words and the ids of a space and the word, as little-endian 32-bit bytes; a worker remembers WORDS_KEPT of up to LONGEST_KEPT characters.
 
     The tokenizer's pattern starts a new word at every space that a character other than white space follows, and looks
     no further back.  So the ids of a text are those of its words, one after another, and words recur.  New words are
-    encoded many at a time, by the rank file of the same vocabulary, and told apart by the lengths of their ids' bytes.  Without a
-    rank file beside it, the tokenizer file encodes whole texts.
+    encoded many at a time, by the rank file of the same vocabulary, and told apart by the lengths of their ids' bytes.  All are
+    Arrow arrays: the distinct words of a batch are looked up, and their ids put in the words' places, without an object a word.  Without a rank file
+    beside it, the tokenizer file encodes whole texts.
     """
 
     def __init__(self, path: str, ranks_path: str):
@@ -121,7 +124,7 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.core = None
+        self.core, self.words, self.ids = None, pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         if not os.path.exists(ranks_path):
             return
         with open(ranks_path, "rb") as f:
@@ -130,7 +133,6 @@ class WordIds(dict):
         self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.bytes_of[i] = len(token)
-        self.odd = re.compile(r" (?:\s|$)")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -138,35 +140,71 @@ class WordIds(dict):
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.core.encode_ordinary(text), "<u4")
 
-    def learn(self, words: list[str]) -> None:
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        ids = self.plain(" " + " ".join(words))
+    def learn(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        if not len(words):
+            return self.ids[:0]
+        ends = np.cumsum(pc.binary_length(words).to_numpy() + 1)
+        ids = self.plain(" " + " ".join(words.to_numpy(zero_copy_only=False)))
         to = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "left") + 1
-        joined, at = ids.tobytes(), 0
-        for word, end in zip(words, (4 * to).tolist(), strict=True):
-            self[word] = joined[at:end]
-            at = end
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.append(0, 4 * to).astype(np.int64)), pa.py_buffer(ids.tobytes())])
+
+    def of_words(self, distinct: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of distinct words.  To look up costs as the words that are kept, so few words are encoded instead."""
+        if 8 * len(distinct) < len(self.words):
+            return self.learn(distinct)
+        known = pc.index_in(distinct, value_set=self.words)
+        missing = known.is_null()
+        new = distinct.filter(missing)
+        learned = self.learn(new)
+        at = known.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[missing.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+        out = pa.concat_arrays([self.ids, learned]).take(pa.array(at))
+        if len(self.words) + len(new) > WORDS_KEPT:  # only those of this batch, if they fit
+            self.words, self.ids = self.words[:0], self.ids[:0]
+            new, learned = (distinct, out) if len(distinct) <= WORDS_KEPT else (new[:0], learned[:0])
+        short = pc.less_equal(pc.utf8_length(new), LONGEST_KEPT)
+        self.words, self.ids = pa.concat_arrays([self.words, new.filter(short)]), pa.concat_arrays([self.ids, learned.filter(short)])
+        return out
+
+    def joined(self, words: pa.LargeStringArray, ends: np.ndarray) -> list[memoryview]:
+        """The ids of the words between each two ends."""
+        coded = words.dictionary_encode()
+        ids = self.of_words(coded.dictionary).take(coded.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        data = memoryview(ids.buffers()[2] or b"")
+        return [data[i:j] for i, j in itertools.pairwise(at)]
+
+    @staticmethod
+    def split(found: list[str]) -> tuple[list[str], pa.LargeStringArray, np.ndarray]:
+        """Each text's first word, all others, and the ends of each text's."""
+        words = pc.split_pattern(pa.array(found, pa.large_string()), " ")
+        at = words.offsets.to_numpy()
+        later = np.ones(len(words.values), bool)
+        later[at[:-1]] = False
+        return words.values.take(pa.array(at[:-1])).to_pylist(), words.values.filter(pa.array(later)), at - np.arange(len(at))
+
+    @staticmethod
+    def odd_texts(words: pa.LargeStringArray, ends: np.ndarray) -> list[int]:
+        """Texts with a space before other white space or the end, at which the tokenizer does not cut."""
+        first = pc.utf8_slice_codeunits(words, 0, 1).dictionary_encode()
+        odd = [i for i, c in enumerate(first.dictionary.to_pylist()) if not c or c.isspace()]
+        return np.unique(np.searchsorted(ends, np.flatnonzero(np.isin(first.indices.to_numpy(), odd)), "right") - 1).tolist() if odd else []
 
     def of(self, found: list[str]) -> Iterator[bytes]:
-        if self.core is None:
+        if self.core is None or not found:
             yield from map(self.whole, found)
             return
-        split = [None if any(s in t for s in self.special) else [*self.odd_split(t)] if self.odd.search(t) else t.split(" ") for t in found]
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words[1:])
-        new = new - self.keys()
-        if len(self) + len(new) > WORDS_KEPT:
-            self.clear()
-            new = set().union(*(words[1:] for words in split if words))
-        if new:
-            self.learn([*new])
-        for text, words in zip(found, split, strict=True):
-            yield self.whole(text) if words is None else self.plain(words[0]).tobytes() + b"".join(map(self.__getitem__, words[1:]))
-        for word in new:
-            if len(word) > LONGEST_KEPT:
-                del self[word]
+        whole = {i for i, t in enumerate(found) if any(s in t for s in self.special)}
+        first, words, ends = self.split(["" if i in whole else t for i, t in enumerate(found)])
+        odd = self.odd_texts(words, ends)
+        if odd:
+            cut = {i: self.odd_split(found[i]) for i in odd}
+            first, words, ends = self.split(["" if i in whole or i in cut else t for i, t in enumerate(found)])
+            odd_ends = np.cumsum([0, *(len(x) - 1 for x in cut.values())])
+            odd_ids = self.joined(pa.array([w for x in cut.values() for w in x[1:]], pa.large_string()), odd_ends)
+            odd_ids = {i: self.plain(x[0]).tobytes() + ids for (i, x), ids in zip(cut.items(), odd_ids, strict=True)}
+        for i, (text, word, ids) in enumerate(zip(found, first, self.joined(words, ends), strict=True)):
+            yield self.whole(text) if i in whole else odd_ids[i] if odd and i in odd_ids else self.plain(word).tobytes() + ids
 
     @staticmethod
     def odd_split(text: str) -> list[str]:

@@ -115,3 +115,21 @@ def test_empty_and_null(spark, encode):
     only = curve_digest(df.where("text IS NULL OR text = ''"))
     assert sorted(only.columns) == sorted(["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
     assert {(r["doc_tokens"], r["length"], r["ids_crc32"]) for r in only.collect()} == {(1, 1, zlib.crc32(b"\1\0\0\0"))}
+
+
+def test_words_are_kept_up_to_a_bound(encode, monkeypatch):
+    """Whatever is remembered or forgotten, a text's ids are the tokenizer's; odd white space and special tokens too."""
+    import random
+
+    import public_tokenizers
+
+    from lookout.llm import packing
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(packing, "WORDS_KEPT", 300)
+    words, rng = packing.WordIds(path, path.removesuffix(".json") + ".tiktoken"), random.Random(6)
+    some = ["", " ", "  ", "\n", "\t", "é", "漢", "'s", "<|endoftext|>", "z" * 40, *(f"w{i}" for i in range(400))]
+    for size in (1, 3, 40, 40, 5, 40):
+        texts = [rng.choice(["", " ", "a"]) + " ".join(rng.choices(some if i % 2 else some[5:], k=rng.randint(0, 20))) for i in range(size)]
+        assert [list(np.frombuffer(x, "<u4")) for x in words.of(texts)] == [encode(t)[:-1] for t in texts]
+        assert 0 < len(words.words) <= 300 and "z" * 40 not in words.words.to_pylist()
