@@ -62,9 +62,10 @@ def square_crop(x1: Column, y1: Column, x2: Column, y2: Column, factor: float =
 
 
 def _tokens(text: Column) -> Column:
-    """The non-blank lines of a label, each as its tokens."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), r"\r?\n"), lambda x: F.trim(x) != "")
-    return F.transform(lines, lambda x: F.split(F.regexp_replace(x, r"^\s+|\s+$", ""), r"\s+"))
+    """The non-blank lines of a label, each as its tokens.  Splits by one character only, as a pattern is compiled again for each value."""
+    text = F.replace(F.coalesce(text, F.lit("")), F.lit("\r\n"), F.lit("\n"))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    return F.transform(lines, lambda x: F.array_remove(F.split(F.translate(x, "\t\x0b\f\r", "    "), " "), ""))
 
 
 def boxes(text: Column, most_tokens: int | None = None) -> Column:
@@ -76,7 +77,9 @@ def boxes(text: Column, most_tokens: int | None = None) -> Column:
     number = lambda t, i: F.get(t, F.lit(i)).try_cast("double")
     box = lambda t: F.struct(number(t, 0).cast("int").alias("class_id"), *[number(t, i).alias(n) for i, n in enumerate(("cx", "cy", "w", "h"), 1)], F.coalesce(F.nanvl(number(t, 5), F.lit(None).cast("double")), F.lit(1.0)).alias("conf"))
     ok = lambda b: b["cx"].isNotNull() & b["cy"].isNotNull() & ~F.isnan(b["cx"]) & ~F.isnan(b["cy"]) & ~F.isnan(b["w"]) & ~F.isnan(b["h"]) & (b["w"] > 0) & (b["h"] > 0)
-    return F.filter(F.transform(F.filter(_tokens(text), lambda t: F.size(t) >= 5), box), ok)
+    lines = F.split(F.translate(F.coalesce(text, F.lit("")), "\t\x0b\f\r", "    "), "\n")  # a line without five tokens, as a blank one, lacks a side and isn't ok
+    tokens = F.transform(lines, lambda x: F.array_remove(F.split(x, " "), ""))  # a step of its own, as box() names its argument for each number
+    return F.filter(F.transform(tokens, box), ok)
 
 
 def normalised(text: Column) -> Column:

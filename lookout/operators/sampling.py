@@ -93,12 +93,13 @@ def prediction_truth(predictions: DataFrame, truths: DataFrame, strict: bool = F
 
     A frame without a truth has none of its boxes, and null text; with `strict` it fails the job.
     """
-    found = boxes(F.col("predicted"))
     truth = truths.select("folder", "stem", "text", F.lit(True).alias("has"))
-    rows = predictions.select("folder", "stem", F.col("text").alias("predicted")).join(truth, ["folder", "stem"], "left")
+    found = predictions.select("folder", "stem", F.transform(boxes(F.col("text")), lambda b: b["conf"]).alias("_confs"))  # a column, so that each text is parsed once
+    counted = found.select("folder", "stem", F.size("_confs").alias("n_predicted"), F.array_min("_confs").alias("least_conf"))
+    rows = counted.join(truth, ["folder", "stem"], "left")
     if strict:
         rows = rows.withColumn("text", F.when(F.col("has"), F.col("text")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("no ground truth for"), "folder", "stem"))))
-    return rows.select("folder", "stem", "text", F.size(boxes(F.col("text"))).alias("n_truth"), F.size(found).alias("n_predicted"), F.array_min(F.transform(found, lambda b: b["conf"])).alias("least_conf"))
+    return rows.select("folder", "stem", "text", F.size(boxes(F.col("text"))).alias("n_truth"), "n_predicted", "least_conf")
 
 
 def hard_examples(frames: DataFrame, most: int, seed: int = 0) -> DataFrame:

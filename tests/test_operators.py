@@ -371,3 +371,13 @@ def test_reports(spark):
     got = {r.source: (r.train, r.val, r.test, r.total) for r in report.breakdown(rows, "source").collect()}
     assert got == {"a": (0.5, 1.0, 0.0, 2), "b": (0.5, 0.0, 0.0, 1)}
     assert report.background_ratio(spark.createDataFrame([], "split string, is_background boolean")).count() == 0
+
+
+def test_prediction_truth_parses_a_text_once(spark):
+    """The texts of predictions and of truths are parsed once each, without patterns that are compiled for every value."""
+    p = spark.createDataFrame([("f", "a", "0 .5\t.5  .1 .1 .9\r\n\n \t\r\n0 .5 .5 .1 .1 .3 \n1 2 3 4")], "folder string, stem string, text string")
+    t = spark.createDataFrame([("f", "a", "\t0 .5 .5 .1 .1\x0b\r\n0 .5 .5 0 .1")], "folder string, stem string, text string")
+    found = sampling.prediction_truth(p, t)
+    assert [(r.n_truth, r.n_predicted, r.least_conf) for r in found.collect()] == [(1, 2, 0.3)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 4 and "\\s" not in plan
