@@ -16,10 +16,11 @@ def last_of(rows: DataFrame, order: str | None = None) -> DataFrame:
 def records(detections: DataFrame, sequences: DataFrame, cameras: DataFrame, organizations: DataFrame, order: str | None = None, strict: bool = False) -> DataFrame:
     """The flat record of each detection; of rows with one id in a dimension the last counts (by `order`).  sequence_is_wildfire is the sequence's own flag, null where it has none.
 
-    Detections of which a dimension is missing are left out; with `strict` they fail the job.  Spark broadcasts the dimensions where they are small.
+    Detections of which a dimension is missing are left out; with `strict` they fail the job.  Spark broadcasts cameras and organizations where they are small.  Detections and
+    sequences grow together and are shuffled, as Spark would take what was fetched, or read from compressed files, for small and send it through the driver.
     """
     flag = F.col("is_wildfire") if "is_wildfire" in sequences.columns else F.lit(None).cast("boolean")
-    s = last_of(sequences, order).select(F.col("id").alias("sequence_id"), "camera_id", flag.alias("sequence_is_wildfire"), F.col("started_at").alias("sequence_started_at"), F.col("last_seen_at").alias("sequence_last_seen_at"), F.col("azimuth").alias("sequence_azimuth"))
+    s = last_of(sequences, order).select(F.col("id").alias("sequence_id"), "camera_id", flag.alias("sequence_is_wildfire"), F.col("started_at").alias("sequence_started_at"), F.col("last_seen_at").alias("sequence_last_seen_at"), F.col("azimuth").alias("sequence_azimuth")).hint("merge")
     c = last_of(cameras, order).select(F.col("id").alias("camera_id"), "organization_id", F.col("name").alias("camera_name"), F.col("lat").alias("camera_lat"), F.col("lon").alias("camera_lon"), F.col("is_trustable").alias("camera_is_trustable"), F.col("angle_of_view").alias("camera_angle_of_view"))
     o = last_of(organizations, order).select(F.col("id").alias("organization_id"), F.col("name").alias("organization_name"))
     d = detections.select(F.col("id").alias("detection_id"), "sequence_id", F.col("created_at").alias("detection_created_at"), F.col("azimuth").alias("detection_azimuth"), F.col("url").alias("detection_url"), F.col("bboxes").alias("detection_bboxes"), F.col("bucket_key").alias("detection_bucket_key"))

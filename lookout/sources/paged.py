@@ -196,5 +196,5 @@ def updates(spark: SparkSession, transport: str, first: str, end: str, schemas:
     again = {"tasks": tasks or 4 * spark.sparkContext.defaultParallelism, "retries": retries, "wait": wait}  # requests wait for answers, so tasks are many however small their rows
     detections = fetched(sequences.select("id"), transport, ROUTES["detections"], schemas["detections"], args, {"limit": limit, "desc": str(newest_first).lower()}, **again)
     one = spark.range(1).select(F.lit(0).cast("long").alias("id"))
-    lists = {name: fetched(one, transport, ROUTES[name], schemas[name], args, retries=retries, wait=wait).drop("of_id") for name in ("cameras", "organizations")}
+    lists = {name: scratch.keep(scratch.cut(fetched(one, transport, ROUTES[name], schemas[name], args, retries=retries, wait=wait).drop("of_id"))) for name in ("cameras", "organizations")}  # written, as Spark takes what one request gives for a row
     return {"sequences": sequences, "detections": detections.withColumn("sequence_id", F.col("of_id")).drop("of_id"), **lists}

@@ -138,3 +138,16 @@ def test_a_request_reads_a_part_of_the_tables(spark, tmp_path):
     parts = [len(t) for p in (tmp_path / "p" / "sequences").glob("month=*") if (t := fake_platform._table(str(p), ("id",)))]
     assert sum(parts) == len(orders) and max(parts) < len(orders) / 20
     assert fake_platform._sorted.cache_info().maxsize == 2
+
+
+def test_fetched_records_are_not_broadcast(spark):
+    """Spark's sizes are the requests', not those of the answers, so detections and sequences must be shuffled, whatever they seem to be."""
+    from lookout.operators import platform
+    from lookout.plans import fake_platform
+
+    ids = spark.range(1).selectExpr("id")
+    t = {name: paged.fetched(ids, "tests.test_paged:objects", paged.ROUTES["detections"], schema, {}, {"limit": 1, "desc": "true"}) for name, schema in fake_platform.SCHEMAS.items()}
+    detections = t["detections"].withColumnRenamed("of_id", "sequence_id")
+    for strict in (False, True):
+        plan = platform.records(detections, t["sequences"].drop("of_id"), t["cameras"].drop("of_id"), t["organizations"].drop("of_id"), strict=strict)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [sequence_id" in plan and "HashJoin [sequence_id" not in plan
