@@ -57,3 +57,20 @@ def test_assign_in_blocks(spark):
         assert {r.id: r.label for r in select.assign(df, table, "label", "id", most).collect()} == want
     assert select.assign(df, table.limit(0), "label", "id").collect() == []
     assert select.assign(df.limit(0), table, "label", "id").where(F.col("id") > 0).collect() == []
+
+
+def test_reading_asks_for_no_sizes(spark, tmp_path, monkeypatch):
+    """One task lists a flat folder, so what it does for each file no other task shortens: it asks for no size that isn't used."""
+    import pyarrow.fs
+
+    from lookout.sources import places as p
+
+    (tmp_path / "d").mkdir()
+    for name in ("a.txt", "d/b.txt"):
+        (tmp_path / name).write_text("text")
+    assert sorted(p._entries(pyarrow.fs.LocalFileSystem(), str(tmp_path), sizes=False)) == [(f"{tmp_path}/a.txt", 0), (f"{tmp_path}/d", None)]
+    assert sorted(map(tuple, p.listed(spark, str(tmp_path)).collect())) == [("a.txt", 4), ("d/b.txt", 4)]
+    asked, whole = [], p.listed
+    monkeypatch.setattr(p, "listed", lambda *a, **k: asked.append(k) or whole(*a, **k))
+    assert sorted(map(tuple, p.read_files(spark, str(tmp_path)).collect())) == [("a.txt", "text"), ("d/b.txt", "text")]
+    assert asked == [{"sizes": False}]
